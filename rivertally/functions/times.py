@@ -69,7 +69,10 @@ def display_date(day: Column | str) -> Column:
 
 
 def display_range(low: Column | str, high: Column | str) -> Column:
-    return F.concat(col(low).cast("string"), F.lit(" - "), col(high).cast("string"))
+    def text(value: Column | str) -> Column:
+        return F.regexp_replace(col(value).cast("string"), r"\.0$", "")
+
+    return F.concat(text(low), F.lit(" - "), text(high))
 
 
 def display_count(value: Column | str) -> Column:

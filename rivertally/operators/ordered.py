@@ -113,12 +113,12 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     here = Window.partitionBy("_slice", *keys).orderBy("_pos")
     local = laid.withColumn("_local", F.sum(weight).over(here) - F.col(weight))
     sums = laid.groupBy(*keys, "_slice").agg(F.sum(weight).alias("_sum"))
-    carry = sums.withColumn("_before", F.sum("_sum").over(_earlier_slices(keys))).where(
-        F.col("_before").isNotNull()
+    carry = sums.withColumn("_carried", F.sum("_sum").over(_earlier_slices(keys))).where(
+        F.col("_carried").isNotNull()
     )
     joined = _with_carry(local, carry.drop("_sum"), keys)
-    return joined.withColumn(into, F.col("_local") + F.coalesce("_before", F.lit(0))).drop(
-        "_local", "_before", "_slice", "_pos"
+    return joined.withColumn(into, F.col("_local") + F.coalesce("_carried", F.lit(0))).drop(
+        "_local", "_carried", "_slice", "_pos"
     )
 
 

@@ -27,15 +27,29 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once and cut its lineage.
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings above to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
-    The files go to the shared folder named by ``spark.checkpoint.dir``, so they outlive any
-    executor. Only where the session names none (tests, local runs) a fresh folder is used.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor can read: the session's checkpoint folder.
+
+    Only where the session names none (tests, local runs) a fresh folder is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="rivertally-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rivertally-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` out once and cut its lineage.
+
+    The files go to the shared checkpoint folder, so they outlive any executor.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
