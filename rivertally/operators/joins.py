@@ -1,8 +1,8 @@
 """Joins with the survey's key rules.
 
-In-memory survey tables match a missing key with a missing key; warehouse views do not. No side
-is hinted to be broadcast here: Spark broadcasts one only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold``, and splits hot keys of the others at run time.
+In-memory survey tables match a missing key with a missing key; warehouse views do not. A side is
+hinted to be broadcast only after its rows were counted (``if_small``). Otherwise the choice is
+Spark's, by ``spark.sql.autoBroadcastJoinThreshold``, and hot keys are split at run time.
 """
 
 from __future__ import annotations
@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+SMALL_ROWS = 50_000
+
+
+def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null keys match. Key columns appear once, first for a full join."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
@@ -79,7 +87,7 @@ def with_lifestage(fish: DataFrame, species_dim: DataFrame, stages: DataFrame, s
         F.col("SpeciesCode").alias("_species"), "MinTotalLength_mm", "MaxTotalLength_mm", F.col("LifeStageAbbr").alias(into)
     )
     inside = F.col(length).between(F.col("MinTotalLength_mm"), F.col("MaxTotalLength_mm"))
-    return fish.join(ranges, (F.col(species) == F.col("_species")) & inside, "left").drop(
+    return fish.join(if_small(ranges), (F.col(species) == F.col("_species")) & inside, "left").drop(
         "_species", "MinTotalLength_mm", "MaxTotalLength_mm"
     )
 

@@ -45,26 +45,27 @@ def collapse_copies(df: DataFrame, count: str = "_copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count))
 
 
-def expand_copies(df: DataFrame, count: str = "_copies", index: str | None = None, block: int = 10_000) -> DataFrame:
+def expand_copies(df: DataFrame, most: int, count: str = "_copies", index: str | None = None, block: int = 10_000) -> DataFrame:
     """One row per copy again, numbered 1..count in ``index`` if named.
 
-    A count beyond ``block`` is spread over blocks first, so no task writes out all its copies.
+    ``most`` is the largest count. Counts beyond ``block`` are cut into blocks that are shuffled
+    apart before they are written out, so no task writes all copies of a row.
     """
     position = index or "_copy"
-
-    small = df.where(F.col(count) <= block).withColumn(
-        position, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count)))
-    )
-    large = df.where(F.col(count) > block)
-    # Blocks are shuffled apart on their row and block number before they are written out.
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / block).cast("long"))
-    apart = large.withColumn("_block", F.explode(blocks))
-    apart = apart.repartition(*[c for c in apart.columns])
-    first = F.col("_block") * block + 1
-    written = apart.withColumn(
-        position, F.explode(F.sequence(first, F.least(first + block - 1, F.col(count))))
-    ).drop("_block")
-    out = small.unionByName(written).drop(count)
+    first = F.lit(1).cast("long")
+    if most == 1:
+        out = df.withColumn(position, first)
+    else:
+        small = df.where(F.col(count) <= block) if most > block else df
+        out = small.withColumn(position, F.explode(F.sequence(first, F.col(count))))
+    if most > block:
+        last = F.floor((F.col(count) - 1) / block).cast("long")
+        cut = df.where(F.col(count) > block).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        start = F.col("_block") * block + 1
+        end = F.least(start + block - 1, F.col(count))
+        apart = cut.repartition(*cut.columns).withColumn(position, F.explode(F.sequence(start, end)))
+        out = out.unionByName(apart.drop("_block"))
+    out = out.drop(count)
     return out if index else out.drop(position)
 
 
@@ -104,12 +105,7 @@ def _with_carry(laid: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
     return laid.join(F.broadcast(renamed), condition, "left").drop(*[f"_c_{c}" for c in [*keys, "_slice"]])
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, into: str) -> DataFrame:
-    """Sum of ``weight`` over the rows of the group that come earlier, for groups of any size.
-
-    ``keys`` and ``order`` together must be unique.
-    """
-    laid = _lay_out(df, [*keys, *order])
+def _carry_sums(laid: DataFrame, keys: Sequence[str], weight: str, into: str) -> DataFrame:
     here = Window.partitionBy("_slice", *keys).orderBy("_pos")
     local = laid.withColumn("_local", F.sum(weight).over(here) - F.col(weight))
     sums = laid.groupBy(*keys, "_slice").agg(F.sum(weight).alias("_sum"))
@@ -122,29 +118,42 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     )
 
 
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, into: str) -> DataFrame:
+    """Sum of ``weight`` over the rows of the group that come earlier, for groups of any size.
+
+    ``keys`` and ``order`` together must be unique.
+    """
+    return _carry_sums(_lay_out(df, [*keys, *order]), keys, weight, into)
+
+
+def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str) -> DataFrame:
+    """Numbers per group for groups, or runs of equal rows, of any size."""
+    laid = _lay_out(collapse_copies(df), [*keys, *order])
+    most = laid.agg(F.max("_copies")).first()[0] or 1
+    counted = _carry_sums(laid, keys, "_copies", "_base")
+    expanded = expand_copies(counted, most, index="_copy")
+    return expanded.withColumn(into, F.col("_base") + F.col("_copy")).drop("_base", "_copy")
+
+
 # ----- numbering ---------------------------------------------------------------------
-def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number all rows start+1, start+2, … in order, nulls last.
 
-    With ``unique`` the order columns are known to be a key, which saves collapsing copies: one
-    range shuffle in all.
+    One range shuffle in all. Rows that tie on the order columns are told apart by the others;
+    where very many tie, exact copies are collapsed first. ``unique`` says that the order columns
+    are a key, which saves measuring the ties.
     """
-    if unique:
-        laid = _lay_out(df, order)
-        sizes = laid.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-        earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        # One row per slice: bounded by the number of shuffle partitions.
-        before = sizes.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-        joined = laid.join(F.broadcast(before), "_slice")
-        return joined.withColumn(into, F.col("_before") + F.col("_pos") + 1 + F.lit(start)).drop(
-            "_slice", "_pos", "_before"
-        )
-    rows = collapse_copies(df)
-    counted = running_total(rows, [], _total_order(df, order), "_copies", "_base")
-    return (
-        expand_copies(counted, index="_copy")
-        .withColumn(into, F.col("_base") + F.col("_copy") + F.lit(start))
-        .drop("_base", "_copy")
+    if not unique and largest_group(df, order) > hot_rows:
+        spread = _number_spread(df, [], _total_order(df, order), into)
+        return spread.withColumn(into, F.col(into) + F.lit(start))
+    laid = _lay_out(df, order if unique else _total_order(df, order))
+    sizes = laid.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice: bounded by the number of shuffle partitions.
+    before = sizes.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = laid.join(F.broadcast(before), "_slice")
+    return joined.withColumn(into, F.col("_before") + F.col("_pos") + 1 + F.lit(start)).drop(
+        "_slice", "_pos", "_before"
     )
 
 
@@ -154,30 +163,19 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], into
     if largest_group(df, keys) <= hot_rows:
         window = Window.partitionBy(*keys).orderBy(*_nulls_last(ordered))
         return df.withColumn(into, F.row_number().over(window).cast("long"))
-    counted = running_total(collapse_copies(df), keys, ordered, "_copies", "_base")
-    return (
-        expand_copies(counted, index="_copy")
-        .withColumn(into, F.col("_base") + F.col("_copy"))
-        .drop("_base", "_copy")
-    )
+    return _number_spread(df, keys, ordered, into)
 
 
 def fill_down(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fill missing values with the last earlier value of the group."""
     ordered = [c for c in _total_order(df, order) if c not in keys]
+    unbounded, current = Window.unboundedPreceding, Window.currentRow
     if largest_group(df, keys) <= hot_rows:
-        window = (
-            Window.partitionBy(*keys)
-            .orderBy(*_nulls_last(ordered))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+        window = Window.partitionBy(*keys).orderBy(*_nulls_last(ordered)).rowsBetween(unbounded, current)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in columns})
     laid = _lay_out(collapse_copies(df), [*keys, *ordered])
-    here = (
-        Window.partitionBy("_slice", *keys)
-        .orderBy("_pos")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    most = laid.agg(F.max("_copies")).first()[0] or 1
+    here = Window.partitionBy("_slice", *keys).orderBy("_pos").rowsBetween(unbounded, current)
     local = laid.withColumns({c: F.last(c, ignorenulls=True).over(here) for c in columns})
     lasts = laid.groupBy(*keys, "_slice").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_last_{c}") for c in columns]
@@ -191,7 +189,8 @@ def fill_down(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     ).where(F.col("_seen") > 0)
     joined = _with_carry(local, carry.drop("_seen"), keys)
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in columns})
-    return expand_copies(filled.drop("_slice", "_pos", *[f"_in_{c}" for c in columns])).select(*df.columns)
+    plain = filled.drop("_slice", "_pos", *[f"_in_{c}" for c in columns])
+    return expand_copies(plain, most).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -17,7 +17,8 @@ from rivertally import fixed_values as fixed
 from rivertally.functions.cleaning import is_in, not_in, study_phase
 from rivertally.functions.numbers import hours, ratio, round_to, total
 from rivertally.operators.joins import null_safe_join
-from rivertally.operators.reshape import level_grid, complete
+from rivertally.operators.reshape import complete, level_grid
+from rivertally.session import durable
 
 
 def tally(fish: DataFrame, keys: Sequence[str], count: str | None = None, into: str = "n_fish", na_rm: bool = True) -> DataFrame:
@@ -98,6 +99,8 @@ def cpue_by_group(sites: DataFrame, fish: DataFrame, key: str, group: Mapping[st
         .agg(F.sum(F.col("_n") * F.col("_times")).alias("fish_ct"))
     )
     hours_of = parents.groupBy(*names).agg(round_to(hours(total(effort, na_rm=False)), 1).alias("effort_hr"))
+    # Small by now, and read twice: for the species seen, and for their catch.
+    catch = durable(catch)
     grid = level_grid(hours_of, catch.select(species).distinct())
     filled = null_safe_join(grid, catch, [*names, species], "left")
     return filled.select(
@@ -163,7 +166,7 @@ def cpue_by_lifestage(sites: DataFrame, fish_staged: DataFrame, labels: Sequence
     summed = joined.groupBy(*parents, "ls").agg(
         F.when(F.sum("_nulls") == 0, F.sum("n_fish")).alias("n_fish")
     )
-    filled = complete(summed, parents, ["ls"], {"n_fish": 0})
+    filled = complete(durable(summed), parents, ["ls"], {"n_fish": 0})
     effort = hours("amt_effort_sec")
     rate = effort * F.col("n_fish") if multiply else ratio("n_fish", effort)
     return filled.withColumn("cpue", rate)
@@ -191,6 +194,7 @@ def area_cpue_native(hauls: DataFrame, counts: DataFrame, native: Sequence[str]
             F.sum(F.col("haul_area") * (F.col("_rows") * F.col("_times") - 1)).alias("_again"),
         )
     )
+    caught = durable(caught)
     areas = tuples.groupBy(*site).agg(F.coalesce(F.sum("haul_area"), F.lit(0)).alias("_area"))
     grid = level_grid(areas, caught.select("species").distinct())
     filled = null_safe_join(grid, caught, [*site, "species"], "left").fillna(0, ["fish_count", "_again"])

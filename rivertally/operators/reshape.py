@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivertally.operators.joins import null_safe_join
 from rivertally.operators.ordered import largest_group, number_within
@@ -60,13 +61,16 @@ def attach_nests(df: DataFrame, key: str, nests: Mapping[str, DataFrame], part:
 def level_grid(parents: DataFrame, levels: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
     """Every parent row with every level row.
 
-    The levels (species, life stages) are counted first. Up to ``max_levels`` of them travel as
-    one array that each parent row explodes, with no shuffle of the parents. More than that are
-    spread, like the parents, over hash buckets that are joined on equality.
+    At most ``max_levels`` + 1 levels (species, life stages) are fetched. If that is all of them,
+    they travel as one array that each parent row explodes, with no shuffle of the parents. Else
+    levels and parents are spread over hash buckets that are joined on equality.
     """
     names = levels.columns
-    if levels.limit(max_levels + 1).count() <= max_levels:
-        every = levels.agg(F.collect_list(F.struct(*names)).alias("_levels"))
+    fetched = levels.limit(max_levels + 1).collect()
+    if len(fetched) <= max_levels:
+        every = parents.sparkSession.createDataFrame(
+            [([tuple(row) for row in fetched],)], T.StructType([T.StructField("_levels", T.ArrayType(levels.schema))])
+        )
         held = parents.withColumn("_levels", every.scalar())
         return held.select(*parents.columns, F.inline("_levels"))
     buckets = 64

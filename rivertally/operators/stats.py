@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivertally.operators.joins import null_safe_join
+from rivertally.operators.joins import if_small, null_safe_join
 from rivertally.operators.ordered import HOT_ROWS, largest_group, running_total
+from rivertally.session import durable
 
 FUNCTIONS = {
     "max": F.max,
@@ -52,7 +53,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         .groupBy(*keys, F.col(value).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    if largest_group(counted, keys) <= hot_rows:
+    # Rows bound distinct values from above and are cheaper to count.
+    if largest_group(df, keys) <= hot_rows or largest_group(counted, keys) <= hot_rows:
         return counted.groupBy(*keys).agg(F.percentile("_value", list(probs), F.col("_count")).alias(into))
     ranked = running_total(counted, keys, ["_value"], "_count", "_before")
     sizes = counted.groupBy(*keys).agg(F.sum("_count").alias("_total"))
@@ -131,6 +133,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     q = quantiles(logs, keys, "_log", [0.25, 0.5, 0.75]).select(
         *keys, F.col("q")[0].alias("_q1"), F.col("q")[1].alias("_q2"), F.col("q")[2].alias("_q3")
     )
+    q = if_small(durable(q))
     reach = 1.5 * (F.col("_q3") - F.col("_q1"))
     inside = F.col("_log").between(F.col("_q1") - reach, F.col("_q3") + reach)
     stats = null_safe_join(logs, q, keys, "left").groupBy(*keys).agg(

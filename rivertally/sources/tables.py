@@ -94,8 +94,11 @@ def append_guarded(df: DataFrame, path: str, key: str = "SiteID", partition: str
         clash = stored.select(key).join(df.select(key).distinct(), key, "left_semi").limit(1)
         if not clash.isEmpty():
             raise DuplicateKeys(f"{path} already holds {key} values of this batch; nothing was written")
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    if partition is None:
+        df.write.mode("append").parquet(path)
+        return
+    # Even files: small partition values are put together, large ones split.
+    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def stage(tables: Mapping[str, DataFrame | None], root: str) -> list[str]:
