@@ -136,14 +136,14 @@ def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], int
 
 
 # ----- numbering ---------------------------------------------------------------------
-def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False, ties: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number all rows start+1, start+2, … in order, nulls last.
 
     One range shuffle in all. Rows that tie on the order columns are told apart by the others;
-    where very many tie, exact copies are collapsed first. ``unique`` says that the order columns
-    are a key, which saves measuring the ties.
+    where very many tie, exact copies are collapsed first. Ties are measured, unless ``ties`` gives
+    a bound that is known already or ``unique`` says that the order columns are a key.
     """
-    if not unique and largest_group(df, order) > hot_rows:
+    if not unique and (largest_group(df, order) if ties is None else ties) > hot_rows:
         spread = _number_spread(df, [], _total_order(df, order), into)
         return spread.withColumn(into, F.col(into) + F.lit(start))
     laid = _lay_out(df, order if unique else _total_order(df, order))

@@ -16,15 +16,16 @@ MAX_LEVELS = 10_000
 
 
 # ----- nest / unnest --------------------------------------------------------------------
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], into: str, order: Sequence[str], part: str = "Part", max_rows: int = MAX_ARRAY_ROWS) -> DataFrame:
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], into: str, order: Sequence[str], part: str = "Part", max_rows: int = MAX_ARRAY_ROWS, largest: int | None = None) -> DataFrame:
     """One row per key with its child rows as an ordered array of structs.
 
     A key with more than ``max_rows`` children gets several rows, ``part`` 0, 1, …, each with the
     next stretch of the children: no group is ever gathered whole by one task, and nothing is
-    dropped. Ordinary keys have part 0 only.
+    dropped. Ordinary keys have part 0 only. ``largest`` is the largest number of children, if it
+    is known already.
     """
     kept = df.select(*dict.fromkeys([*keys, *order, *fields]))
-    if largest_group(kept, keys) <= max_rows:
+    if (largest_group(kept, keys) if largest is None else largest) <= max_rows:
         cut = kept.withColumn(part, F.lit(0).cast("long"))
     else:
         numbered = number_within(kept, keys, order, "_n")

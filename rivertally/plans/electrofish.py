@@ -15,8 +15,8 @@ from rivertally.functions.geo import attach_positions
 from rivertally.functions.times import on_day_of, wall_clock
 from rivertally.operators import quality as qc
 from rivertally.operators.joins import lookup, natural_join, null_safe_join, without_keys
-from rivertally.operators.ordered import fill_down, last_index, number_rows
-from rivertally.operators.reshape import attach_nests, nest
+from rivertally.operators.ordered import fill_down, largest_group, last_index, number_rows
+from rivertally.operators.reshape import MAX_ARRAY_ROWS, attach_nests, nest
 from rivertally.sources.tables import append_guarded, conform, stamp_upload, union_like
 
 Tables = Mapping[str, DataFrame]
@@ -36,7 +36,7 @@ def clean_site(raw: DataFrame, reach_river: DataFrame, study: str, known: DataFr
             "project": F.lit(study),
         }
     ).withColumn("year", F.year("startdatetime").cast("long"))
-    site = number_rows(site, ["enddatetime", "key_a"], "s_index", start)
+    site = number_rows(site, ["enddatetime", "key_a"], "s_index", start, ties=largest_group(raw, ["key_a"]))
     site = site.drop("river").withColumn("site_id", c.sample_id("project", "year", "s_index"))
     site = c.with_missing(lookup(site, reach_river, {"reach": "cd_rch"}), {"pass": "string", "cd_rvr": "string"})
     names = [
@@ -61,18 +61,21 @@ def clean_fish(raw: DataFrame, native: Sequence[str] = fixed.NATIVE_SPECIES) ->
 
 
 def place_fish(fish: DataFrame, samples: DataFrame) -> DataFrame:
-    """Fish with their site, time and mile, numbered in time order, positions as UTM."""
+    """Fish with their site, time and mile, positions as UTM, numbered in time order.
+
+    Numbering comes last: it writes its rows once, and the tables built on the fish start there.
+    """
     placed = null_safe_join(fish, samples, ["key_a"], "left").withColumn("datetime", on_day_of("t_stamp", "time"))
-    placed = c.correct_miles(number_rows(placed, ["datetime", "key_aa"], "f_index"))
-    placed = placed.drop("time", "t_stamp")
-    return attach_positions(placed, ["site_id", "rmi"])
+    placed = c.correct_miles(placed.drop("time", "t_stamp"))
+    placed = attach_positions(placed, ["site_id", "rmi"])
+    return number_rows(placed, ["datetime", "key_aa"], "f_index", ties=largest_group(fish, ["key_aa"]))
 
 
 def place_tags(tags: DataFrame, samples: DataFrame, fish: DataFrame, index: str, key: str) -> DataFrame:
     """Tags or vials with their site and species, numbered in the fish's time order."""
     placed = null_safe_join(tags, samples.select("key_a", "site_id", "s_index"), ["key_a"], "left")
     placed = null_safe_join(placed, fish.select("key_aa", "datetime", "species"), ["key_aa"], "left")
-    return number_rows(placed, ["datetime", key], index).drop("datetime")
+    return number_rows(placed, ["datetime", key], index, ties=largest_group(tags, [key])).drop("datetime")
 
 
 # ----- staging -----------------------------------------------------------------------------
@@ -131,36 +134,38 @@ def stage_electrofish(raw: Tables, reach_river: DataFrame, study: str, target: s
 
 
 # ----- facts ----------------------------------------------------------------------------------
-def nest_tags(staged: Tables, key: str = "key_aa") -> dict[str, DataFrame]:
-    """Pit tags, floy tags and vials as arrays per fish."""
-    nests = {}
+def nest_tags(staged: Tables, key: str = "key_aa") -> tuple[dict[str, DataFrame], bool]:
+    """Pit tags, floy tags and vials as arrays per fish, and whether any fish fits one row."""
+    shapes = {}
     if "pittag" in staged:
-        rows = staged["pittag"].select(
+        shapes["PitTag"] = staged["pittag"].select(
             key,
             F.col("pit_num").alias("PitTagString"),
             c.yes_no("pit_recap").alias("IsPitTagRecapture"),
             F.col("pit_type").cast("string").alias("PitTagType"),
             F.col("pit_notes").alias("Notes"),
         )
-        nests["PitTag"] = nest(rows, [key], rows.columns[1:], "PitTag", ["PitTagString"])
     if "floytag" in staged:
-        rows = staged["floytag"].select(
+        shapes["FloyTag"] = staged["floytag"].select(
             key,
             F.col("floy_num").alias("FloyTagString"),
             F.col("floy_color").alias("FloyTagColorCode"),
             c.yes_no("floy_recap").alias("IsFloyTagRecapture"),
             F.col("floy_notes").alias("Notes"),
         )
-        nests["FloyTag"] = nest(rows, [key], rows.columns[1:], "FloyTag", ["FloyTagString"])
     if "vial" in staged:
-        rows = staged["vial"].select(
+        shapes["Vial"] = staged["vial"].select(
             key,
             F.col("vial_num").alias("VialString"),
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("Notes"),
         )
-        nests["Vial"] = nest(rows, [key], rows.columns[1:], "Vial", ["VialString"])
-    return nests
+    sizes = {name: largest_group(rows, [key]) for name, rows in shapes.items()}
+    nests = {
+        name: nest(rows, [key], rows.columns[1:], name, rows.columns[1:2], largest=sizes[name])
+        for name, rows in shapes.items()
+    }
+    return nests, all(size <= MAX_ARRAY_ROWS for size in sizes.values())
 
 
 def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECIES) -> DataFrame:
@@ -195,7 +200,10 @@ def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECI
     if "fish" in tables:
         fish = tables["fish"].where("key_aa IS NOT NULL")
         fish = c.with_missing(fish, {"st_length": "long"})
-        fish = attach_nests(fish, "key_aa", nest_tags(tables), "FishPart")
+        tags, whole = nest_tags(tables)
+        # A fish repeats only if its tags overflow; else the plain fish tell the largest site.
+        largest = largest_group(fish, ["site_id"]) if whole else None
+        fish = attach_nests(fish, "key_aa", tags, "FishPart")
         arrays = [n for n in ("PitTag", "FloyTag", "Vial") if n in fish.columns]
         fish = fish.select(
             F.col("site_id").alias("SiteID"),
@@ -217,14 +225,15 @@ def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECI
             F.col("epsg").alias("EncounterEPSGCode"),
             F.col("fish_notes").alias("Notes"),
             *arrays,
-            F.col("FishPart").alias("_fish_part"),
+            "FishPart",
             "key_aa",
-        ).withColumnRenamed("_fish_part", "FishPart")
+        )
         fields = [n for n in fish.columns if n not in ("SiteID", "key_aa", "FishPart")]
         shaped = fish.withColumn(
             "_fish", F.struct(*fields, F.col("FishPart").alias("Part"))
         ).select("SiteID", "EncounterDateTime_UTC", "key_aa", "FishPart", "_fish")
-        nested = nest(shaped, ["SiteID"], ["_fish"], "FishData", ["EncounterDateTime_UTC", "key_aa", "FishPart"])
+        order = ["EncounterDateTime_UTC", "key_aa", "FishPart"]
+        nested = nest(shaped, ["SiteID"], ["_fish"], "FishData", order, largest=largest)
         nests["FishData"] = nested.withColumn("FishData", F.transform("FishData", lambda item: item["_fish"]))
     full = attach_nests(site, "SiteID", nests, "Part")
     return conform(full, schemas.F_ELECTROFISH)

@@ -14,9 +14,10 @@ from rivertally.functions import cleaning as c
 from rivertally.functions.numbers import total
 from rivertally.functions.times import parse_date, wall_clock
 from rivertally.operators.joins import lookup, null_safe_join, union_all, without_keys
-from rivertally.operators.ordered import last_index, number_rows, number_within
+from rivertally.operators.ordered import largest_group, last_index, number_rows, number_within
 from rivertally.operators.quality import attach_site
-from rivertally.operators.reshape import attach_nests, nest, pivot_wide
+from rivertally.operators.reshape import MAX_ARRAY_ROWS, attach_nests, nest, pivot_wide
+from rivertally.session import durable
 from rivertally.sources.tables import append_guarded, conform, union_like
 
 Tables = Mapping[str, DataFrame]
@@ -49,12 +50,13 @@ def haul_times(site: DataFrame, haul: DataFrame) -> DataFrame:
     return joined.select("key_a", "key_aa", wall_clock("date", "starttime").alias("ts"))
 
 
-def sample_keys(site: DataFrame, times: DataFrame) -> DataFrame:
+def sample_keys(site: DataFrame, times: DataFrame, ties: int) -> DataFrame:
     """Site and haul ids per haul: hauls are numbered by time, overall and inside their site."""
-    hauls = number_rows(times, ["ts", "key_aa"], "h_idx")
+    hauls = number_rows(times, ["ts", "key_aa"], "h_idx", ties=ties)
     known = null_safe_join(site.select("id_site", "key_a", "s_idx"), hauls, ["key_a"], "left")
     numbered = number_within(known, ["id_site"], ["ts", "key_aa"], "_haul")
-    return numbered.withColumn("id_haul", c.haul_id("id_site", "_haul")).drop("_haul")
+    # Few columns, and joined to every other table: written once.
+    return durable(numbered.withColumn("id_haul", c.haul_id("id_site", "_haul")).drop("_haul"))
 
 
 def place_sites(site: DataFrame, times: DataFrame, reach_river: DataFrame, study: str, start: int) -> DataFrame:
@@ -97,7 +99,7 @@ def stage_seine(raw: Tables, reach_river: DataFrame, study: str, stored_site: Da
     site = c.null_zero(site)
     times = haul_times(site, haul)
     site = place_sites(site, times, reach_river, study, start)
-    keys = sample_keys(site, times)
+    keys = sample_keys(site, times, largest_group(haul, ["key_aa"]))
     on = ["key_a", "key_aa"]
 
     measured = (F.col("haul_width") > 0) & (F.col("haul_lengt") > 0)
@@ -188,7 +190,7 @@ def seine_facts(staged: Tables) -> DataFrame:
     )
     nests = {"WaterQuality": nest(water, ["SiteID"], water.columns[1:], "WaterQuality", water.columns[1:])}
 
-    haul_nests = {}
+    haul_nests, sizes = {}, [0]
     if "fish" in tables:
         fish = c.kinds_to_text(tables["fish"], T.BooleanType)
         fish = fish.select(
@@ -201,7 +203,9 @@ def seine_facts(staged: Tables) -> DataFrame:
             F.col("photo_num").cast("string").alias("PhotoURLorID"),
             F.col("fish_notes").alias("FishEncounterNotes"),
         )
-        haul_nests["FishData"] = nest(fish, ["HaulID"], fish.columns[1:], "FishData", ["SpeciesCode", "TotalLength_mm"])
+        sizes.append(largest_group(fish, ["HaulID"]))
+        order = ["SpeciesCode", "TotalLength_mm"]
+        haul_nests["FishData"] = nest(fish, ["HaulID"], fish.columns[1:], "FishData", order, largest=sizes[-1])
     if "vial" in tables:
         vial = tables["vial"].select(
             F.col("id_haul").alias("HaulID"),
@@ -209,7 +213,10 @@ def seine_facts(staged: Tables) -> DataFrame:
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("VialNotes"),
         )
-        haul_nests["HaulVial"] = nest(vial, ["HaulID"], vial.columns[1:], "HaulVial", ["VialString"])
+        sizes.append(largest_group(vial, ["HaulID"]))
+        haul_nests["HaulVial"] = nest(
+            vial, ["HaulID"], vial.columns[1:], "HaulVial", ["VialString"], largest=sizes[-1]
+        )
 
     hauls = tables["haul"]
     depth = [F.col(name).alias(field) for name, field in DEPTH_FIELDS.items() if name in hauls.columns]
@@ -228,10 +235,12 @@ def seine_facts(staged: Tables) -> DataFrame:
         F.col("haul_notes").alias("HaulNotes"),
         *depth,
     )
+    # A haul repeats only if its fish or vials overflow; else the plain hauls tell the largest site.
+    largest = largest_group(hauls, ["SiteID"]) if max(sizes) <= MAX_ARRAY_ROWS else None
     hauls = attach_nests(c.yes_no_columns(hauls), "HaulID", haul_nests, "HaulPart")
     fields = [n for n in hauls.columns if n not in ("SiteID", "HaulPart")]
     shaped = hauls.select("SiteID", "HaulID", "HaulPart", F.struct(*fields, F.col("HaulPart").alias("Part")).alias("_haul"))
-    nested = nest(shaped, ["SiteID"], ["_haul"], "HaulData", ["HaulID", "HaulPart"])
+    nested = nest(shaped, ["SiteID"], ["_haul"], "HaulData", ["HaulID", "HaulPart"], largest=largest)
     nests["HaulData"] = nested.withColumn("HaulData", F.transform("HaulData", lambda item: item["_haul"]))
 
     site = source.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,21 +36,28 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor can read: the session's checkpoint folder.
+    """The folder that every executor can read: the one the session names for checkpoints.
 
     Only where the session names none (tests, local runs) a fresh folder is made.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rivertally-"))
-    return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        named = tempfile.mkdtemp(prefix="rivertally-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder of its own below the shared one; nothing is created."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once and cut its lineage.
+    """Write ``df`` out once and go on from the written table.
 
-    The files go to the shared checkpoint folder, so they outlive any executor.
+    The table lies in the shared folder, so it outlives any executor, cuts the lineage, and later
+    steps read only the columns they need.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

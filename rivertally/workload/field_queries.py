@@ -6,8 +6,6 @@ seine hauls, customers are seine sites, line items (one per order and line numbe
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from rivertally.functions import cleaning as c
 from rivertally.functions.numbers import round_to
 from rivertally.operators.joins import null_safe_join
 from rivertally.plans import electrofish, products, reports, seine, views
-from rivertally.session import shared_folder
+from rivertally.session import durable, new_folder
 from rivertally.sources import tables as io
 from rivertally.workload import standins as s
 from rivertally.workload.registry import hours_sql, per, query, rounded
@@ -124,10 +122,16 @@ def _stage(spark: SparkSession, folder: str, *kinds: str) -> dict[str, DataFrame
     site = _raw_site(spark, folder)
     raw = {"site": site.where("PASS = 'F'"), "site2": site.where("PASS <> 'F'")}
     makers = {"fish": _raw_fish, "pittag": _raw_pit, "water": _raw_water}
-    raw |= {kind: makers[kind](spark, folder) for kind in kinds}
+    raw |= {kind: durable(makers[kind](spark, folder)) for kind in kinds}  # as landed
     return electrofish.stage_electrofish(raw, _reach_river(spark), "123d", "SM", _stored(spark, folder))
 
 
+def _proofed(spark: SparkSession, staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staged tables written to the staging folder and read back, as they are after proofing."""
+    root = new_folder(spark, "staging")
+    return io.read_staged(spark, root, io.stage(staged, root))
+
+
 _REACH_CASE = s._case("o_custkey % 7", s.REACHES)
 _SITE_SQL = f"""WITH r AS (SELECT 'a' || CAST(o_orderkey AS VARCHAR) AS key_a, o_orderkey, o_custkey, o_orderstatus AS pass, {_REACH_CASE} AS reach,
     o_orderdate + to_seconds(o_orderkey % 80000) AS startdatetime, o_orderdate + to_seconds(o_orderkey % 80000 + o_orderkey % 3600) AS enddatetime,
@@ -206,7 +210,7 @@ FROM s LEFT JOIN x USING (s_index) WHERE river IS NOT NULL"""
 )
 def electrofish_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Nested facts from raw tables, read back as totals per site."""
-    staged = _stage(spark, folder, "fish", "pittag", "water")
+    staged = _proofed(spark, _stage(spark, folder, "fish", "pittag", "water"))
     staged["site"] = staged["site"].where("river IS NOT NULL")
     facts = electrofish.electrofish_facts(staged)
 
@@ -278,7 +282,7 @@ def finalise_site(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ----- seining ------------------------------------------------------------------------------------
-def _raw_seine(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _raw_seine(spark: SparkSession, folder: str, *kinds: str) -> dict[str, DataFrame]:
     cust = F.col("c_custkey")
     site = s.table(spark, folder, "customer").select(
         _key("c_custkey").alias("key_a"),
@@ -336,7 +340,8 @@ def _raw_seine(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.col("flag").alias("sub_1"),
         F.col("species").alias("sub_2"),
     )
-    return {"site": site, "haul": haul, "fish": fish, "count": count, "depth": depth}
+    raw = {"site": site, "haul": haul, "fish": fish, "count": count, "depth": depth}
+    return {kind: durable(raw[kind]) for kind in kinds}  # as landed
 
 
 _SEINE_SQL = f"""WITH times AS (SELECT o_custkey, o_orderkey, TIMESTAMP '2021-01-01' + to_days(CAST(o_custkey % 300 AS INTEGER)) + to_seconds(o_orderkey % 86400) AS ts FROM orders),
@@ -354,7 +359,7 @@ f AS (SELECT k.*, species AS cd_spp, CAST(1 AS BIGINT) AS n_fish, nullif(qty % 4
 @query(_SEINE_SQL + f"""SELECT id_haul, id_site, h_idx, s_idx, pass, cd_rch, {s._case('cd_rch', RIVER_OF_REACH)} AS cd_rvr FROM h""")
 def stage_seine_haul(spark: SparkSession, folder: str) -> DataFrame:
     """Seine hauls from raw tables, numbered by time inside their site, with their site's place."""
-    raw = {k: v for k, v in _raw_seine(spark, folder).items() if k in ("site", "haul")}
+    raw = _raw_seine(spark, folder, "site", "haul")
     out = seine.stage_seine(raw, _reach_river(spark), "160se")["haul"]
     return out.select("id_haul", "id_site", "h_idx", "s_idx", "pass", "cd_rch", "cd_rvr")
 
@@ -362,7 +367,7 @@ def stage_seine_haul(spark: SparkSession, folder: str) -> DataFrame:
 @query(_SEINE_SQL + "SELECT f.id_haul, f.id_site, cd_spp, n_fish, tot_length, cd_disp, h.pass, h.cd_rch FROM f LEFT JOIN h ON f.id_haul = h.id_haul")
 def stage_seine_fish(spark: SparkSession, folder: str) -> DataFrame:
     """Seine fish and counts from raw tables, as one table."""
-    raw = {k: v for k, v in _raw_seine(spark, folder).items() if k != "depth"}
+    raw = _raw_seine(spark, folder, "site", "haul", "fish", "count")
     out = seine.stage_seine(raw, _reach_river(spark), "160se")["fish"]
     return out.select("id_haul", "id_site", "cd_spp", "n_fish", "tot_length", "cd_disp", "pass", "cd_rch")
 
@@ -375,7 +380,7 @@ SELECT id_haul, d1.qty AS loc1_depth, d2.flag AS loc2_sub_1, d3.species AS mx_su
 )
 def stage_seine_depth(spark: SparkSession, folder: str) -> DataFrame:
     """Seine hauls with the depths measured at three places."""
-    raw = {k: v for k, v in _raw_seine(spark, folder).items() if k in ("site", "haul", "depth")}
+    raw = _raw_seine(spark, folder, "site", "haul", "depth")
     out = seine.stage_seine(raw, _reach_river(spark), "160se", depths=True)["haul"]
     return out.select("id_haul", "loc1_depth", "loc2_sub_1", "mx_sub_2")
 
@@ -390,8 +395,8 @@ FROM s LEFT JOIN n USING (id_site) WHERE river IS NOT NULL"""
 )
 def seine_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Nested seine facts from raw tables, read back as totals per site."""
-    raw = {k: v for k, v in _raw_seine(spark, folder).items() if k != "depth"}
-    staged = seine.stage_seine(raw, _reach_river(spark), "160se")
+    raw = _raw_seine(spark, folder, "site", "haul", "fish", "count")
+    staged = _proofed(spark, seine.stage_seine(raw, _reach_river(spark), "160se"))
     staged["site"] = staged["site"].where("cd_rvr IS NOT NULL")
     # Fish of hauls that were dropped have no place to be nested in.
     facts = seine.seine_facts(staged)
@@ -464,10 +469,6 @@ def product_fish(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ----- sources and sinks --------------------------------------------------------------------------------
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query(
     """SELECT o_orderkey AS "SiteID", '123d' AS "StudyCode", o_custkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1998"""
 )
@@ -477,7 +478,7 @@ def append_and_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("SiteID"), F.lit("123d").alias("StudyCode"), "o_custkey", "o_totalprice",
         F.year("o_orderdate").cast("long").alias("Year"),
     )
-    path = _folder(spark, "store")
+    path = new_folder(spark, "store")
     io.append_guarded(orders.where("Year < 1998"), path)
     io.append_guarded(orders.where("Year >= 1998"), path)
     try:
@@ -493,7 +494,7 @@ def append_and_scan(spark: SparkSession, folder: str) -> DataFrame:
 )
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Report extract written as CSV with NA for missing values, and read back by its file name."""
-    root = _folder(spark, "extract")
+    root = new_folder(spark, "extract")
     counts = s.catch(spark, folder).select(
         F.col("SiteID").cast("string").alias("id_site"),
         F.col("SpeciesCode").alias("cd_spp"),
@@ -508,7 +509,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def stage_and_read(spark: SparkSession, folder: str) -> DataFrame:
     """Staging creates a table, appends to it, and leaves empty tables out."""
     orders = s.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    root = _folder(spark, "staging")
+    root = new_folder(spark, "staging")
     io.stage({"site": orders, "none": orders.where("o_orderstatus = 'nothing'")}, root)
     io.stage({"site": orders.where("o_orderstatus = 'P'")}, root)
     return io.read_staged(spark, root, ["site", "none"])["site"]
