@@ -17,7 +17,7 @@ from rivertally import fixed_values as fixed
 from rivertally.functions.cleaning import is_in, not_in, study_phase
 from rivertally.functions.numbers import hours, ratio, round_to, total
 from rivertally.operators.joins import null_safe_join
-from rivertally.operators.reshape import complete, level_grid
+from rivertally.operators.reshape import fill_levels, level_grid
 from rivertally.session import durable
 
 
@@ -166,7 +166,7 @@ def cpue_by_lifestage(sites: DataFrame, fish_staged: DataFrame, labels: Sequence
     summed = joined.groupBy(*parents, "ls").agg(
         F.when(F.sum("_nulls") == 0, F.sum("n_fish")).alias("n_fish")
     )
-    filled = complete(durable(summed), parents, ["ls"], {"n_fish": 0})
+    filled = fill_levels(durable(summed), parents, "ls", {"n_fish": 0})
     effort = hours("amt_effort_sec")
     rate = effort * F.col("n_fish") if multiply else ratio("n_fish", effort)
     return filled.withColumn("cpue", rate)
@@ -194,10 +194,8 @@ def area_cpue_native(hauls: DataFrame, counts: DataFrame, native: Sequence[str]
             F.sum(F.col("haul_area") * (F.col("_rows") * F.col("_times") - 1)).alias("_again"),
         )
     )
-    caught = durable(caught)
     areas = tuples.groupBy(*site).agg(F.coalesce(F.sum("haul_area"), F.lit(0)).alias("_area"))
-    grid = level_grid(areas, caught.select("species").distinct())
-    filled = null_safe_join(grid, caught, [*site, "species"], "left").fillna(0, ["fish_count", "_again"])
+    filled = fill_levels(durable(caught), site, "species", {"fish_count": 0, "_again": 0}, parents=areas)
     area = F.col("_area") + F.col("_again")
     return filled.select(
         *site,

@@ -59,19 +59,28 @@ def attach_nests(df: DataFrame, key: str, nests: Mapping[str, DataFrame], part:
 
 
 # ----- complete -------------------------------------------------------------------------
+def _fetch_levels(levels: DataFrame, max_levels: int) -> DataFrame | None:
+    """All levels as one row with one array, or None if there are more than ``max_levels``.
+
+    At most ``max_levels`` + 1 rows reach the driver.
+    """
+    fetched = levels.limit(max_levels + 1).collect()
+    if len(fetched) > max_levels:
+        return None
+    schema = T.StructType([T.StructField("_levels", T.ArrayType(levels.schema))])
+    return levels.sparkSession.createDataFrame([([tuple(row) for row in fetched],)], schema)
+
+
 def level_grid(parents: DataFrame, levels: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
     """Every parent row with every level row.
 
-    At most ``max_levels`` + 1 levels (species, life stages) are fetched. If that is all of them,
-    they travel as one array that each parent row explodes, with no shuffle of the parents. Else
-    levels and parents are spread over hash buckets that are joined on equality.
+    Up to ``max_levels`` levels (species, life stages) travel as one array that each parent row
+    explodes, with no shuffle of the parents. More than that are spread, like the parents, over
+    hash buckets that are joined on equality.
     """
     names = levels.columns
-    fetched = levels.limit(max_levels + 1).collect()
-    if len(fetched) <= max_levels:
-        every = parents.sparkSession.createDataFrame(
-            [([tuple(row) for row in fetched],)], T.StructType([T.StructField("_levels", T.ArrayType(levels.schema))])
-        )
+    every = _fetch_levels(levels, max_levels)
+    if every is not None:
         held = parents.withColumn("_levels", every.scalar())
         return held.select(*parents.columns, F.inline("_levels"))
     buckets = 64
@@ -85,6 +94,35 @@ def level_grid(parents: DataFrame, levels: DataFrame, max_levels: int = MAX_LEVE
     return left.join(right, ["_p", "_l"]).select(*parents.columns, *names)
 
 
+def fill_levels(counts: DataFrame, keys: Sequence[str], level: str, fill: Mapping[str, object], parents: DataFrame | None = None, max_levels: int = MAX_LEVELS) -> DataFrame:
+    """Every key with every level seen, from counts that hold one row per key and level.
+
+    Each key's counts are put into one map (no more entries than there are levels), and the level
+    array is read off against it. So what is shuffled are the counts, never the far larger table of
+    all pairs. Keys come from ``counts``, or from ``parents``, which may carry further columns.
+    Measures in ``fill`` replace missing values, in absent pairs and elsewhere.
+    """
+    types = dict(counts.dtypes)
+    every = _fetch_levels(counts.select(level).distinct(), max_levels)
+    if every is None:
+        base = counts.select(*keys).distinct() if parents is None else parents
+        grid = level_grid(base, counts.select(level).distinct(), max_levels)
+        filled = null_safe_join(grid, counts.select(*keys, level, *fill), [*keys, level], "left")
+        return filled.withColumns({m: F.coalesce(F.col(m), F.lit(v).cast(types[m])) for m, v in fill.items()})
+    entry = F.struct(F.struct(level).alias("key"), F.struct(*fill).alias("value"))
+    packed = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_counts"))
+    held = packed if parents is None else null_safe_join(parents, packed, keys, "left")
+    held = held.withColumn("_levels", every.scalar())
+
+    def pair(one: Column) -> Column:
+        found = F.try_element_at("_counts", one)
+        measures = [F.coalesce(found[m], F.lit(v).cast(types[m])).alias(m) for m, v in fill.items()]
+        return F.struct(one[level].alias(level), *measures)
+
+    kept = [c for c in held.columns if c not in ("_counts", "_levels")]
+    return held.select(*kept, F.inline(F.transform("_levels", pair)))
+
+
 def complete(df: DataFrame, parents: Sequence[str], levels: Sequence[str], fill: Mapping[str, object], keep_level: Column | None = None, max_levels: int = MAX_LEVELS) -> DataFrame:
     """Add a row for every (observed parent tuple, observed level) that is absent.
 

@@ -79,3 +79,14 @@ def test_split(spark, rows):
     df = spark.createDataFrame([("ls_1", " SM  WE "), ("ls_2", None), ("ls_3", "")], "c string, codes string")
     assert rows(reshape.split_codes(df, "codes", "s").select("c", "s")) == [("ls_1", "SM"), ("ls_1", "WE")]
     assert reshape.split_by(df, "c", ["ls_1"])["ls_1"].count() == 1
+
+
+@pytest.mark.parametrize("max_levels", [100, 1])
+@pytest.mark.parametrize("with_parents", [True, False])
+def test_fill_levels_equals_complete(spark, rows, max_levels, with_parents):
+    df = spark.createDataFrame([("a", None, "SM", 3), ("a", None, None, 1), ("b", 2, "WE", None), (None, 1, "SM", 2)], "site string, reach long, species string, n long")
+    keys = ["site", "reach"]
+    parents = df.select(*keys).distinct().withColumn("extra", F.lit(1)) if with_parents else None
+    got = reshape.fill_levels(df, keys, "species", {"n": 0}, parents=parents, max_levels=max_levels)
+    assert rows(got, *keys, "species", "n") == rows(reshape.complete(df, keys, ["species"], {"n": 0}), *keys, "species", "n")
+    assert ("extra" in got.columns) == with_parents
