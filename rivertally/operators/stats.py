@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivertally.operators.joins import if_small, null_safe_join
-from rivertally.operators.ordered import HOT_ROWS, largest_group, running_total
+from rivertally.operators.ordered import largest_group, running_total
 from rivertally.session import durable
 
 FUNCTIONS = {
@@ -41,12 +41,15 @@ def day_of_extreme(day: str, value: str, largest: bool = True) -> Column:
     return F.date_from_unix_date(best["d"])
 
 
+QUANTILE_VALUES = 500_000  # distinct values of one group that one task may hold
+
+
 # ----- quantiles ----------------------------------------------------------------------------
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], into: str = "q", hot_rows: int = HOT_ROWS) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], into: str = "q", most_values: int = QUANTILE_VALUES) -> DataFrame:
     """Exact quantiles with linear interpolation, as an array per key; missing values are ignored.
 
     Values are counted first (combined map-side), so a group costs its distinct values only. A
-    group with more than ``hot_rows`` distinct values is ranked across tasks instead of in one.
+    group with more than ``most_values`` distinct values is ranked across tasks instead of in one.
     """
     counted = (
         df.where(F.col(value).isNotNull())
@@ -54,7 +57,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         .agg(F.count(F.lit(1)).alias("_count"))
     )
     # Rows bound distinct values from above and are cheaper to count.
-    if largest_group(df, keys) <= hot_rows or largest_group(counted, keys) <= hot_rows:
+    if largest_group(df, keys) <= most_values or largest_group(counted, keys) <= most_values:
         return counted.groupBy(*keys).agg(F.percentile("_value", list(probs), F.col("_count")).alias(into))
     ranked = running_total(counted, keys, ["_value"], "_count", "_before")
     sizes = counted.groupBy(*keys).agg(F.sum("_count").alias("_total"))

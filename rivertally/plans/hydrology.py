@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivertally import fixed_values as fixed
 from rivertally.functions.times import display_date
-from rivertally.operators.joins import null_safe_join
+from rivertally.operators.joins import natural_join, null_safe_join
 from rivertally.operators.reshape import nest
 from rivertally.operators.stats import across, day_of_extreme, quantiles
 
@@ -28,7 +28,7 @@ def daily_series(values: DataFrame) -> DataFrame:
 
     discharge = one(fixed.DISCHARGE_PARAMETER, "discharge")
     temperature = one(fixed.TEMPERATURE_PARAMETER, "temp")
-    return null_safe_join(discharge, temperature, ["staid", "date"], "full")
+    return natural_join(discharge, temperature, "full")
 
 
 def waterdata(values: DataFrame, stations: Sequence[StationRow] = fixed.STATIONS, name: str = "sta_name", river: str = "rvr_code", reach: str | None = "rch_code") -> DataFrame:

@@ -102,12 +102,18 @@ def append_guarded(df: DataFrame, path: str, key: str = "SiteID", partition: str
 
 
 def stage(tables: Mapping[str, DataFrame | None], root: str) -> list[str]:
-    """Append each table that has rows to its folder below ``root``; returns the names written."""
+    """Append each table that has rows to its folder below ``root``; returns the names written.
+
+    A table is worked out once, into the shared folder, and then looked at and appended from there.
+    """
     written = []
     for name, df in tables.items():
-        if df is None or df.isEmpty():
+        if df is None:
+            continue
+        made = durable(df)
+        if made.isEmpty():
             continue
-        df.write.mode("append").parquet(f"{root}/{name}")
+        made.write.mode("append").parquet(f"{root}/{name}")
         written.append(name)
     return written
 

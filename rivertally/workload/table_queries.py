@@ -576,7 +576,7 @@ def report_extract_count(spark: SparkSession, folder: str) -> DataFrame:
 )
 def quantiles_spread(spark: SparkSession, folder: str) -> DataFrame:
     """Exact quantiles by the form for groups with too many distinct values for one task."""
-    q = stats.quantiles(s.table(spark, folder, "events"), ["event_type"], "value", [0.1, 0.5, 0.9], hot_rows=0)
+    q = stats.quantiles(s.table(spark, folder, "events"), ["event_type"], "value", [0.1, 0.5, 0.9], most_values=0)
     return q.select("event_type", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"))
 
 

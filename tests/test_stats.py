@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from rivertally.operators import stats
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_quantiles_match_linear_interpolation(spark, hot_rows):
+@pytest.mark.parametrize("most_values", [10**6, 0])
+def test_quantiles_match_linear_interpolation(spark, most_values):
     rng = random.Random(3)
     data = [("hot", float(rng.randrange(40))) for _ in range(400)] + [("copy", 1.5)] * 300
     data += [(g, rng.random()) for g in "abc" for _ in range(1, 30)] + [("one", 2.0), ("none", None), (None, 4.0), (None, 5.0)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {r["g"]: r["q"] for r in stats.quantiles(df, ["g"], "v", probs, hot_rows=hot_rows).collect()}
+    got = {r["g"]: r["q"] for r in stats.quantiles(df, ["g"], "v", probs, most_values=most_values).collect()}
     want = {}
     for g, v in data:
         if v is not None:
