@@ -76,7 +76,9 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         F.max(F.when(covers(high), F.col("_value"))).alias("_high"),
         F.first(spot - low).alias("_share"),
     )
-    step = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")
+    # The weighting of the built-in percentile, so that both forms agree to the last digit.
+    share = F.col("_share")
+    step = F.when(share == 0, F.col("_low")).otherwise((1 - share) * F.col("_low") + share * F.col("_high"))
     found = picked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_prob", step.alias("_q")))).alias("_all"))
     # The inner array holds one entry per asked probability.
     return found.select(*keys, F.transform("_all", lambda pair: pair["_q"]).alias(into))

@@ -17,6 +17,7 @@ from rivertally.operators import quality as qc
 from rivertally.operators.joins import lookup, natural_join, null_safe_join, without_keys
 from rivertally.operators.ordered import fill_down, largest_group, last_index, number_rows
 from rivertally.operators.reshape import MAX_ARRAY_ROWS, attach_nests, nest
+from rivertally.session import durable
 from rivertally.sources.tables import append_guarded, conform, stamp_upload, union_like
 
 Tables = Mapping[str, DataFrame]
@@ -96,7 +97,8 @@ def stage_electrofish(raw: Tables, reach_river: DataFrame, study: str, target: s
     raw_site = union_like(tables, "site")
     if raw_site is None:
         raise ValueError("a batch needs its site table")
-    site = clean_site(raw_site, reach_river, study, known, start)
+    # Every other table is placed by the sites: worked out once.
+    site = durable(clean_site(raw_site, reach_river, study, known, start))
     samples = site.select("key_a", "site_id", "s_index", F.col("enddatetime").alias("t_stamp"), "reach")
     out["site"] = qc.qc_site(site)
 
