@@ -209,7 +209,6 @@ def apply_corrections(df: DataFrame, fixes: DataFrame, key: str) -> DataFrame:
     ``fixes`` holds one row per (key, column): ``key``, ``column``, ``value`` as text. Only the
     named columns of the named keys change, and a value may be null.
     """
-    names = [c for c in df.columns if c != key]
     types = dict(df.dtypes)
     wide = fixes.groupBy(F.col(key).alias("_fix_key")).agg(
         F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("_fixes")
@@ -222,7 +221,7 @@ def apply_corrections(df: DataFrame, fixes: DataFrame, key: str) -> DataFrame:
             F.col(name)
         )
 
-    return joined.select(*[F.col(c) if c == key else corrected(c).alias(c) for c in df.columns]) if names else df
+    return joined.select(*[F.col(c) if c == key else corrected(c).alias(c) for c in df.columns])
 
 
 def append_rows(df: DataFrame, rows: DataFrame) -> DataFrame:

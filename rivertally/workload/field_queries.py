@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from rivertally import schemas
 from rivertally.functions import cleaning as c
-from rivertally.functions.numbers import round_to
-from rivertally.operators.joins import null_safe_join
-from rivertally.plans import electrofish, products, reports, seine, views
+from rivertally.plans import electrofish, products, reports, seine
 from rivertally.session import durable, new_folder
 from rivertally.sources import tables as io
 from rivertally.workload import standins as s
