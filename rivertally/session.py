@@ -38,10 +38,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can read: the one the session names for checkpoints.
 
-    Only where the session names none (tests, local runs) a fresh folder is made.
+    Only where the session names none and all work is done on this machine (tests, local runs) a fresh
+    folder is made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="rivertally-")
         spark.sparkContext.setCheckpointDir(named)
     return named
