@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivertally.llm import checking_sql, quality_rules, simhash
+from rivertally.llm import checking_sql, mixing, quality_rules, simhash, substrings
 from rivertally.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,5 @@ def register(name: str, table: str, operator: Callable[[DataFrame], DataFrame],
 
 register("op6_quality_rules", "documents", quality_rules.quality_rules, checking_sql.QUALITY_RULES)
 register("op7_simhash_dedup", "documents", simhash.simhash_report)
+register("op9_substring_dedup", "documents", substrings.substring_report)
+register("op10_mixing", "documents", mixing.mixing_report)
