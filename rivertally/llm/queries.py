@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rivertally.llm import checking_sql, mixing, quality_rules, simhash, substrings
+from rivertally.llm import checking_sql, mixing, packing, quality_rules, simhash, substrings, token_counts
 from rivertally.session import configure
 
+#: The vocabulary that the queries use; the operators take its path.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,6 +30,8 @@ def register(name: str, table: str, operator: Callable[[DataFrame], DataFrame],
         ORACLES[name] = sql
 
 
+register("op4_token_counts", "documents", lambda docs: token_counts.token_counts(docs, VOCABULARY))
+register("op5_packing", "documents", lambda docs: packing.pack(docs, VOCABULARY))
 register("op6_quality_rules", "documents", quality_rules.quality_rules, checking_sql.QUALITY_RULES)
 register("op7_simhash_dedup", "documents", simhash.simhash_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
