@@ -1,5 +1,7 @@
 """SQL over the same tables, for those operators that SQL can express. Numbers and lists are written out anew."""
 
+from rivertally.llm.licenses import RULES, SENTENCES
+
 QUALITY_RULES = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
@@ -32,3 +34,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_st
        base_failed, NOT base_failed AND broken = '' AS kept, broken
 FROM v
 """
+
+_SENTENCES = ", ".join(f"('{sentence}', '{name}')" for name, sentence in SENTENCES.items())
+_RULES = ", ".join(f"({i}, '{r.licence}', '|{'|'.join(r.sentences)}|')" for i, r in enumerate(RULES))
+
+LICENCE_SCAN = rf"""
+WITH known(sentence, name) AS (VALUES {_SENTENCES}),
+rules(i, licence, stretch) AS (VALUES {_RULES}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT rid, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS s
+  FROM (SELECT rid, string_split_regex(regexp_replace(lower(t), '[.;:!?](\s|$)', E'\n', 'g'), '\n') AS parts FROM d)),
+ids AS (SELECT rid, pos, name FROM cut JOIN known ON trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) = sentence),
+line AS (SELECT rid, count(*) AS n, string_agg(name, ', ' ORDER BY pos) AS names, '|' || string_agg(name || '|', '' ORDER BY pos) AS line FROM ids GROUP BY rid),
+steps AS (
+  WITH RECURSIVE r(rid, i, line, found) AS (
+    SELECT rid, 0, line, [] :: VARCHAR[] FROM line
+    UNION ALL
+    SELECT rid, r.i + 1, replace(r.line, stretch, '||'),
+           CASE WHEN contains(r.line, stretch) AND NOT list_contains(found, licence) THEN list_append(found, licence) ELSE found END
+    FROM r JOIN rules ON rules.i = r.i)
+  SELECT rid, line AS rest, found FROM r WHERE i = (SELECT count(*) FROM rules))
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, coalesce(names, '') AS sentences,
+       coalesce(array_to_string(found, ', '), '') AS licences,
+       coalesce(array_to_string(list_filter(string_split(rest, '|'), lambda x: x <> ''), ', '), '') AS unmatched
+FROM d LEFT JOIN line USING (rid) LEFT JOIN steps USING (rid)
+"""

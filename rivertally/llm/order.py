@@ -34,18 +34,20 @@ def running_total(df: DataFrame, groups: list[str], order: list[str], value: str
     return total.select(*df.columns, name)
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
+def row_keys(docs: DataFrame, carry: bool = False) -> DataFrame:
     """``rk``, ``did`` and ``text`` (as bytes, empty where missing): one long per document that tells it from all others.
 
     It is the identifier itself (see ``known_id``) where identifiers don't repeat. Else documents are numbered in order
     of identifier and text hash, so that rows of one identifier stay apart; rows equal in both are one document.
+    With ``carry`` the whole row comes along as the struct ``row``.
     """
-    text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.select(known_id("doc_id").alias("did"), text.alias("text"))
+    more = [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
+    rows = docs.select(known_id("doc_id").alias("did"), F.coalesce(docs["text"], F.lit("")).alias("text"), *more)
+    kept = ["did", F.col("text").cast("binary").alias("text"), *(["row"] if carry else [])]
     repeats = rows.groupBy("did").count().where("count > 1").limit(1)
     if not repeats.take(1):
-        return rows.select(F.col("did").alias("rk"), "did", F.col("text").cast("binary").alias("text"))
+        return rows.select(F.col("did").alias("rk"), *kept)
     named = rows.withColumn("th", F.xxhash64("text"))
     distinct = named.select("did", "th").distinct().withColumn("one", F.lit(1).cast("long"))
     numbered = durable(running_total(distinct, [], ["did", "th"], "one", "rk").select("did", "th", "rk"))
-    return named.join(numbered, ["did", "th"]).select("rk", "did", F.col("text").cast("binary").alias("text"))
+    return named.join(numbered, ["did", "th"]).select("rk", *kept)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rivertally.llm import checking_sql, embeddings, mixing, packing, quality_rules, simhash, substrings, token_counts
+from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, quality_rules, simhash, substrings, token_counts
 from rivertally.session import configure
 
 #: The vocabulary that the queries use; the operators take its path.
@@ -31,9 +31,11 @@ def register(name: str, table: str, operator: Callable[[DataFrame], DataFrame],
 
 
 register("op1_embedding_dedup", "embeddings", embeddings.embedding_groups)
+register("op2_license_scan", "documents", licenses.licence_scan, checking_sql.LICENCE_SCAN)
 register("op4_token_counts", "documents", lambda docs: token_counts.token_counts(docs, VOCABULARY))
 register("op5_packing", "documents", lambda docs: packing.pack(docs, VOCABULARY))
 register("op6_quality_rules", "documents", quality_rules.quality_rules, checking_sql.QUALITY_RULES)
 register("op7_simhash_dedup", "documents", simhash.simhash_report)
+register("op8_line_dedup", "documents", line_dedup.line_dedup_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
 register("op10_mixing", "documents", mixing.mixing_report)
