@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, quality_rules, simhash, substrings, token_counts
+import corpus_pipeline
+from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substrings, token_counts
 from rivertally.session import configure
 
 #: The vocabulary that the queries use; the operators take its path.
@@ -30,8 +31,14 @@ def register(name: str, table: str, operator: Callable[[DataFrame], DataFrame],
         ORACLES[name] = sql
 
 
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    read = configure(spark).read
+    return perplexity.quality_classifier(read.parquet(f"{folder}/documents.parquet"), read.parquet(f"{folder}/labels.parquet"))
+
+
 register("op1_embedding_dedup", "embeddings", embeddings.embedding_groups)
 register("op2_license_scan", "documents", licenses.licence_scan, checking_sql.LICENCE_SCAN)
+QUERIES["op3_quality_classifier"] = quality_classifier
 register("op4_token_counts", "documents", lambda docs: token_counts.token_counts(docs, VOCABULARY))
 register("op5_packing", "documents", lambda docs: packing.pack(docs, VOCABULARY))
 register("op6_quality_rules", "documents", quality_rules.quality_rules, checking_sql.QUALITY_RULES)
@@ -39,3 +46,4 @@ register("op7_simhash_dedup", "documents", simhash.simhash_report)
 register("op8_line_dedup", "documents", line_dedup.line_dedup_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
 register("op10_mixing", "documents", mixing.mixing_report)
+QUERIES["pipeline"] = corpus_pipeline.run
