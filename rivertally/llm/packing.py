@@ -7,6 +7,7 @@ every ``LENGTH`` ids. A document that crosses a cut goes on in the next sequence
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,49 +34,64 @@ WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 # The characters that str.split() takes for white space beyond those.
 SPLIT_ONLY = re.compile(r"[\x1c-\x1f]")
 
-#: Pieces of text whose ids are remembered in one worker. The memory starts anew when it is full.
-REMEMBERED = 400_000
+#: Pieces of text whose ids one worker remembers, in each of two generations.
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
+#: Pieces that the library is asked about in one text.
+ASKED_AT_ONCE = 200
 
 
 class Encoder:
     """Ids of whole texts by the ``tokenizers`` library, asked once for each distinct piece between white space.
 
     The vocabulary never joins characters across white space (its normaliser makes each run of it one space, and its
-    splitter leaves spaces out), so the ids of a text are those of its pieces, one after the other. A piece
-    that holds a special token's string is treated by the library as its default is.
+    splitter leaves spaces out), so the ids of a text are those of its pieces, one after the other. Pieces are asked about
+    many at a time, with a special token between them. A piece that holds a special token's string is asked about by
+    itself and treated as the library's default is. Pieces not used for a generation are forgotten.
     """
 
     def __init__(self, path: str):
+        # Tasks run side by side already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _ask(self, pieces: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.asarray(e.ids, np.uint16 if self.narrow else np.uint32).tobytes() for e in found]
-
-    @property
-    def narrow(self) -> bool:
-        return self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.type = np.uint16 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items() if t.special}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ask(self, pieces: list[str]) -> dict[str, bytes]:
+        alone = [p for p in pieces if not self.special or any(s in p for s in self.special)]
+        found = dict(zip(alone, (np.asarray(e.ids, self.type).tobytes() for e in self.library.encode_batch_fast(alone, add_special_tokens=False)), strict=True))
+        others = [p for p in pieces if p not in found] if alone else pieces
+        if others:
+            mark, mark_id = next(iter(self.special.items()))
+            lots = [others[i : i + ASKED_AT_ONCE] for i in range(0, len(others), ASKED_AT_ONCE)]
+            width = np.dtype(self.type).itemsize
+            for lot, e in zip(lots, self.library.encode_batch_fast([f" {mark} ".join(lot) for lot in lots], add_special_tokens=False), strict=True):
+                ids = np.asarray(e.ids, self.type)
+                ends = (np.append(np.flatnonzero(ids == mark_id), len(ids)) * width).tolist()
+                data, start = ids.tobytes(), 0
+                for piece, end in zip(lot, ends, strict=True):
+                    found[piece] = data[start:end]
+                    start = end + width
+        return found
 
     def ids(self, text: str) -> np.ndarray:
         pieces = [p for p in WHITE.split(text) if p] if SPLIT_ONLY.search(text) else text.split()
-        known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known = self.known = {}
-            new = list(dict.fromkeys(pieces))
-        long = {}
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for piece, ids in zip(some, self._ask(some), strict=True):
-                (known if len(piece) <= LONGEST_REMEMBERED else long)[piece] = ids
-        look = known if not long else known | long
-        return np.frombuffer(b"".join(map(look.__getitem__, pieces)), np.uint16 if self.narrow else np.uint32)
+        got = [*map(self.young.get, pieces)]
+        if None in got:
+            missing = dict.fromkeys(p for p, g in zip(pieces, got, strict=True) if g is None)
+            known = {p: b for p in missing if (b := self.old.get(p)) is not None}
+            known |= self._ask([p for p in missing if p not in known])
+            got = [known[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+            self.young.update((p, b) for p, b in known.items() if len(p) <= LONGEST_REMEMBERED)
+            if len(self.young) > REMEMBERED:
+                self.old, self.young = self.young, {}
+        return np.frombuffer(b"".join(got), self.type)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -130,7 +146,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     ask = encoder(path)
     entry, sign, projection = _hash_tables()
     for batch in batches:
-        ids = [np.append(ask.ids(t.as_py()), ask.ids("")[:0].dtype.type(END_ID)) for t in batch["text"]]
+        ids = [np.append(ask.ids(t.as_py()), ask.type(END_ID)) for t in batch["text"]]
         vectors = np.zeros((len(ids), HASHED))
         for v, own in zip(vectors, ids, strict=True):
             low = own & 0xFFFF
@@ -151,13 +167,13 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         )
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], length: int, narrow: bool) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], length: int, kind: type) -> Iterator[pa.RecordBatch]:
     """Cut each document where its place in the stream says, and digest the ids of every piece."""
     names = ["did", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     for batch in batches:
         rows = []
         for did, ids, place in zip(batch["did"].to_pylist(), batch["ids"], batch["place"].to_pylist(), strict=True):
-            own = np.frombuffer(ids.as_buffer(), np.uint16 if narrow else np.uint32).astype("<u4")
+            own = np.frombuffer(ids.as_buffer(), kind).astype("<u4")
             at = 0
             while at < len(own):
                 sequence, offset = divmod(place + at, length)
@@ -182,9 +198,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     named = encoded.select("did", "th", "n", "key", "ids", F.struct("_metadata.file_name", "_metadata.row_index").alias("row"))
     placed = running_total(named.select("did", "th", "n", "key", "row"), [], ["key", "did", "th"], "n", "place")
     stream = named.select("row", "did", "ids").join(placed.select("row", "place"), "row").select("did", "ids", "place")
-    narrow = encoder(path).narrow
     cut = stream.mapInArrow(
-        partial(_pieces, length=length, narrow=narrow),
+        partial(_pieces, length=length, kind=encoder(path).type),
         "did long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )
     return cut.select(given_id("did").alias("doc_id"), *cut.columns[1:])
