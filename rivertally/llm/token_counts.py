@@ -1,10 +1,9 @@
 """Token counts by a finite-state transducer that is compiled from a byte-pair vocabulary.
 
-Within a word, the encoding of a prefix ends in exactly one token, and which one it is depends on the prefix's last
-symbols and on the tokens that ended at each of them: a new symbol ends the token that fits the one
-before it, where two tokens fit if the merges leave them apart. These suffixes are the states of a deterministic
-transducer over symbols (bytes, and bytes at a word's end); a transition carries the number of tokens by which
-the encoding grows or shrinks. States are made when a text first needs them.
+Within a word, the encoding of a prefix ends in exactly one token: the suffix token that fits the one before it, where
+two tokens fit if the merges leave them apart. So the prefixes of words are the states of a deterministic
+transducer over symbols (bytes, and bytes at a word's end), and a transition carries the number of tokens by which the
+encoding grows or shrinks. States are made when a text first needs them, up to a bound on depth and number.
 
 White space ends every word, so it brings the transducer back to its start from any state. A chunk of text is
 thus a map from states to states with three parts: what it reads before its first white space, the count
@@ -31,10 +30,12 @@ LIMIT = 2048
 CHUNK = 1 << 16
 # Small letters that Unicode 16 added for capitals that Python may not know yet.
 NEWER_SMALL = {0xA7CB: 0x0264, 0xA7DC: 0x019B}
-#: States and pieces that one worker keeps; beyond that it compiles anew.
-MOST_STATES = 250_000
-MOST_PIECES = 400_000
+#: States that one worker keeps, and pieces whose count it remembers in each of two generations; beyond that it starts anew.
+MOST_STATES = 400_000
+MOST_PIECES = 250_000
 LONGEST_KEPT = 64
+#: States lie at most so deep; beyond it a word is read on without making any.
+DEEPEST = 48
 
 
 def byte_names() -> list[str]:
@@ -56,82 +57,121 @@ class Transducer:
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         names = byte_names()
         self.inner, self.last = [vocab[c] for c in names], [vocab[c + end] for c in names]
-        self.merged: dict[tuple[int, int], tuple[int, int]] = {}
-        self.leaves: dict[int, tuple[int, ...]] = {i: (i,) for i in (*self.inner, *self.last)}
-        for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
-            token = vocab[a + b]
-            self.merged.setdefault((vocab[a], vocab[b]), (rank, token))
-            if token not in self.leaves:
-                self.leaves[token] = self.leaves[vocab[a]] + self.leaves[vocab[b]]
-        self.longest = max(map(len, self.leaves.values()))
+        # Symbols and merges by number: 0 to 511 for the symbols, then the merges in order of rank.
+        number = {t: i for i, t in enumerate((*self.inner, *self.last))}
+        self.inner, self.last = list(range(256)), list(range(256, 512))
+        self.halves: list[tuple[int, int]] = [(i, i) for i in range(512)]
+        self.merged: dict[tuple[int, int], int] = {}
+        symbols: list[tuple[int, ...]] = [(i,) for i in range(512)]
+        for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
+            left, right, token = number[vocab[a]], number[vocab[b]], vocab[a + b]
+            if token not in number:
+                number[token] = len(symbols)
+                symbols.append(symbols[left] + symbols[right])
+                self.halves.append((left, right))
+            self.merged.setdefault((left, right), number[token])
         # Tokens by their symbols, read backwards. A token that the merges never leave whole ends nothing.
         self.backwards: dict = {}
-        for token, symbols in self.leaves.items():
-            if self.encode(symbols) == [token]:
+        for token, own in enumerate(symbols):
+            if token < 512 or self.encode(own) == [token]:
                 node = self.backwards
-                for s in reversed(symbols):
+                for s in reversed(own):
                     node = node.setdefault(s, {})
                 node[-1] = token
-        self.fits: dict[tuple[int, int], bool] = {}
         self.restart()
 
     def restart(self) -> None:
-        self.states: dict[tuple, int] = {(): 0}
-        self.windows: list[tuple] = [()]
-        self.moves: dict[tuple[int, int], tuple[int, int]] = {}
-        self.pieces: dict[str, int] = {}
+        """Forget all states. State 0 is the start of a word."""
+        self.moves: dict[int, int] = {}
+        self.symbol, self.token, self.tokens, self.before, self.depth = [-1], [-1], [0], [-1], [0]
+        self.fits: dict[tuple[int, int], bool] = {}
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def encode(self, symbols: Iterable[int]) -> list[int]:
-        """The merges applied one after the other, lowest rank first. Used for pairs of tokens, which are short."""
+        """The merges applied one after the other, lowest rank first."""
         out = list(symbols)
         while True:
-            best = min(((self.merged[p][0], i) for i, p in enumerate(zip(out, out[1:])) if p in self.merged), default=None)
+            best, at = None, 0
+            for i, pair in enumerate(zip(out, out[1:])):
+                token = self.merged.get(pair)
+                if token is not None and (best is None or token < best):
+                    best, at = token, i
             if best is None:
                 return out
-            i = best[1]
-            out[i : i + 2] = [self.merged[out[i], out[i + 1]][1]]
+            out[at : at + 2] = [best]
 
     def _fit(self, a: int, b: int) -> bool:
-        known = self.fits.get((a, b))
+        """Do the merges leave these tokens apart? Their merges are undone from the last one back: at every step, a merge
+        across the border that comes before the one undone last would have been made."""
+        key = (a, b)
+        known = self.fits.get(key)
         if known is None:
-            known = self.fits[a, b] = self.encode(self.leaves[a] + self.leaves[b]) == [a, b]
+            known, undone = True, 1 << 62
+            while True:
+                across = self.merged.get((a, b))
+                # On equal rank the pair further left goes first.
+                if across is not None and across < undone:
+                    known = False
+                    break
+                if a < 512 and b < 512:
+                    break
+                if a > b:
+                    undone, a = a, self.halves[a][1]
+                else:
+                    undone, b = b + 1, self.halves[b][0]
+            if len(self.fits) > 4 * MOST_STATES:
+                self.fits.clear()
+            self.fits[key] = known
         return known
 
-    def _move(self, state: int, symbol: int) -> tuple[int, int]:
-        """The next state and the change of the count. A window lists (symbol, last token, count less the newest count)."""
-        window = self.windows[state]
-        node, found, size = self.backwards[symbol], [], 1
-        while True:
+    def _last_token(self, symbol: int, back: Iterable[tuple[int, int, int]]) -> tuple[int, int]:
+        """The token that ends at ``symbol`` and the number of tokens up to it. ``back`` gives symbol, last token and number
+        of tokens of the prefixes before, from the longest down to the empty one (symbol -1)."""
+        node, found = self.backwards[symbol], []
+        for s, token, tokens in back:
             if -1 in node:
-                found.append((size, node[-1]))
-            if size > len(window) or window[-size][0] not in node:
-                break
-            node, size = node[window[-size][0]], size + 1
-        # A window shorter than the longest token starts where the word starts.
-        for size, token in reversed(found):
-            before = len(window) + 1 - size
-            if before == 0 or self._fit(window[before - 1][1], token):
+                found.append((node[-1], token, tokens))
+            if s not in node:
                 break
-        else:
-            raise ValueError("no token fits: the vocabulary's merges are not in rank order")
-        # The first symbol of a word is one token; counts in the window are relative, so that is where zero lies.
-        base = window[before - 1][2] if before else window[0][2] - 1 if window else 0
-        grown = base + 1
-        fresh = (*((s, t, c - grown) for s, t, c in window), (symbol, token, 0))[-self.longest :]
-        to = self.states.get(fresh)
-        if to is None:
-            to = self.states[fresh] = len(self.windows)
-            self.windows.append(fresh)
-        self.moves[state, symbol] = to, grown
-        return to, grown
+            node = node[s]
+        for own, token, tokens in reversed(found):
+            if token < 0 or self._fit(token, own):
+                return own, tokens + 1
+        raise ValueError("no token fits: the vocabulary's merges are not in rank order")
+
+    def _prefixes(self, state: int) -> Iterator[tuple[int, int, int]]:
+        while state >= 0:
+            yield self.symbol[state], self.token[state], self.tokens[state]
+            state = self.before[state]
+
+    def _move(self, state: int, symbol: int) -> int:
+        token, tokens = self._last_token(symbol, self._prefixes(state))
+        to = self.moves[state << 9 | symbol] = len(self.symbol)
+        self.symbol.append(symbol)
+        self.token.append(token)
+        self.tokens.append(tokens)
+        self.before.append(state)
+        self.depth.append(self.depth[state] + 1)
+        return to
+
+    def _long_word(self, symbols: list[int]) -> int:
+        """The same transitions without states: a list of the prefixes so far, longest last."""
+        seen = [(-1, -1, 0)]
+        for s in symbols:
+            seen.append((s, *self._last_token(s, reversed(seen))))
+        return seen[-1][2]
 
     def word(self, data: bytes) -> int:
-        state, count, moves = 0, 0, self.moves
-        for b in data[:-1]:
-            step = moves.get((state, self.inner[b])) or self._move(state, self.inner[b])
-            state, count = step[0], count + step[1]
-        step = moves.get((state, self.last[data[-1]])) or self._move(state, self.last[data[-1]])
-        return count + step[1]
+        """Tokens of one word: what its transitions emit, summed up in its last state."""
+        symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+        if len(symbols) > DEEPEST:
+            return self._long_word(symbols)
+        state, moves = 0, self.moves
+        for s in symbols:
+            to = moves.get(state << 9 | s)
+            state = self._move(state, s) if to is None else to
+        return self.tokens[state]
 
     def _plain(self, text: str) -> int:
         text = unicodedata.normalize("NFC", text)
@@ -142,22 +182,27 @@ class Transducer:
 
     def piece(self, piece: str) -> int:
         """Tokens of a piece of text without white space. A special token's string in it is that token."""
-        known = self.pieces.get(piece)
+        known = self.young.get(piece)
         if known is None:
-            if len(self.windows) > MOST_STATES or len(self.pieces) > MOST_PIECES:
-                self.restart()
-            special = self.added.findall(piece) if self.added else []
-            known = len(special) + sum(map(self._plain, self.added.split(piece) if special else [piece]))
+            known = self.old.get(piece)
+            if known is None:
+                if len(self.symbol) > MOST_STATES:
+                    young, old = self.young, self.old
+                    self.restart()
+                    self.young, self.old = young, old
+                special = self.added.findall(piece) if self.added else []
+                known = len(special) + sum(map(self._plain, self.added.split(piece) if special else [piece]))
             if len(piece) <= LONGEST_KEPT:
-                self.pieces[piece] = known
+                self.young[piece] = known
+                if len(self.young) > MOST_PIECES:
+                    self.old, self.young = self.young, {}
         return known
 
     def count(self, text: str) -> int:
-        pieces = WHITE.split(text) if SPLIT_ONLY.search(text) else text.split()
-        known = self.pieces.get
-        counts = [known(p) for p in pieces]
+        pieces = [p for p in WHITE.split(text) if p] if SPLIT_ONLY.search(text) else text.split()
+        counts = [*map(self.young.get, pieces)]
         if None in counts:
-            counts = [self.piece(p) if p else 0 for p in pieces]
+            counts = [self.piece(p) if n is None else n for p, n in zip(pieces, counts, strict=True)]
         return sum(counts)
 
     # Chunk maps: (before the first white space, count, after the last white space, is there any).

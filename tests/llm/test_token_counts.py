@@ -42,7 +42,7 @@ def test_long_words_need_few_states(machine, library):
     machine.restart()
     for word in ("a" * 3000, "ab" * 2000, "the" * 1500):
         assert machine.count(word) == library(word)
-    assert len(machine.windows) < 1000
+    assert len(machine.symbol) < 1000
 
 
 def test_states_start_anew(monkeypatch, machine, library):
