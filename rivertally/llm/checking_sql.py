@@ -36,7 +36,7 @@ FROM v
 """
 
 _SENTENCES = ", ".join(f"('{sentence}', '{name}')" for name, sentence in SENTENCES.items())
-_RULES = ", ".join(f"({i}, '{r.licence}', '|{'|'.join(r.sentences)}|')" for i, r in enumerate(RULES))
+_RULES = ", ".join(f"({i}, '{r.licence}', '|{'||'.join(r.sentences)}|')" for i, r in enumerate(RULES))
 
 LICENCE_SCAN = rf"""
 WITH known(sentence, name) AS (VALUES {_SENTENCES}),
@@ -46,7 +46,7 @@ cut AS (
   SELECT rid, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS s
   FROM (SELECT rid, string_split_regex(regexp_replace(lower(t), '[.;:!?](\s|$)', E'\n', 'g'), '\n') AS parts FROM d)),
 ids AS (SELECT rid, pos, name FROM cut JOIN known ON trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) = sentence),
-line AS (SELECT rid, count(*) AS n, string_agg(name, ', ' ORDER BY pos) AS names, '|' || string_agg(name || '|', '' ORDER BY pos) AS line FROM ids GROUP BY rid),
+line AS (SELECT rid, count(*) AS n, string_agg(name, ', ' ORDER BY pos) AS names, string_agg('|' || name || '|', '' ORDER BY pos) AS line FROM ids GROUP BY rid),
 steps AS (
   WITH RECURSIVE r(rid, i, line, found) AS (
     SELECT rid, 0, line, [] :: VARCHAR[] FROM line

@@ -132,8 +132,8 @@ def licence_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     hinted = texts.select("doc_id", "text", F.greatest(*(small.contains(h) for h in HINTS)).alias("hint"))
     found = hinted.select("doc_id", F.when(F.col("hint"), sentence_ids(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("ids"))
     # Identifiers stand between bars, so that a rule is a stretch of the sequence and matches whole identifiers only.
-    found = found.select("doc_id", "ids", F.concat(F.lit("|"), F.array_join(F.transform("ids", lambda i: F.concat(i, F.lit("|"))), "")).alias("line"))
-    table = F.array(*(F.struct(F.lit(r.licence).alias("licence"), F.lit("|" + "|".join(r.sentences) + "|").alias("stretch")) for r in rules))
+    found = found.select("doc_id", "ids", F.array_join(F.transform("ids", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "").alias("line"))
+    table = F.array(*(F.struct(F.lit(r.licence).alias("licence"), F.lit("".join(f"|{i}|" for i in r.sentences)).alias("stretch")) for r in rules))
 
     def apply(done: Column, rule: Column) -> Column:
         return F.struct(

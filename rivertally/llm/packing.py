@@ -35,7 +35,7 @@ WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 SPLIT_ONLY = re.compile(r"[\x1c-\x1f]")
 
 #: Pieces of text whose ids one worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 #: Pieces that the library is asked about in one text.
 ASKED_AT_ONCE = 200
@@ -86,7 +86,11 @@ class Encoder:
         if None in got:
             missing = dict.fromkeys(p for p, g in zip(pieces, got, strict=True) if g is None)
             known = {p: b for p in missing if (b := self.old.get(p)) is not None}
-            known |= self._ask([p for p in missing if p not in known])
+            parts = {p: _parts(p) for p in missing if p not in known}
+            simple = {q for own in parts.values() for q in own}
+            held = {q: b for q in simple if (b := self.young.get(q) or self.old.get(q)) is not None}
+            held |= self._ask([q for q in simple if q not in held])
+            known |= held | {p: b"".join(map(held.__getitem__, own)) for p, own in parts.items()}
             got = [known[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
             self.young.update((p, b) for p, b in known.items() if len(p) <= LONGEST_REMEMBERED)
             if len(self.young) > REMEMBERED:
@@ -94,6 +98,15 @@ class Encoder:
         return np.frombuffer(b"".join(got), self.type)
 
 
+def _parts(piece: str) -> tuple[str, ...]:
+    """What a piece has the same ids as: a word and the mark after it stand for themselves, and ASCII capitals for small letters."""
+    word, mark = (piece[:-1], piece[-1:]) if piece[-1] in ",.!?;:" else (piece, "")
+    if not word.isalpha():
+        return (piece,)
+    word = word.lower() if word.isascii() else word
+    return (word, mark) if mark else (word,)
+
+
 _encoders: dict[str, Encoder] = {}
 
 

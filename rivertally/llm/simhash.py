@@ -79,12 +79,12 @@ def _close(x: Column, y: Column) -> Column:
 
 
 def close_groups(prints: DataFrame) -> DataFrame:
-    """``node`` and ``root`` for the representatives of fingerprints that links of up to DISTANCE bits join.
+    """``node`` and ``root``: the fingerprints that links of up to DISTANCE bits join to a smaller one, and the smallest of those.
 
-    ``prints`` has one row per distinct fingerprint: ``fp`` and ``rep`` (its smallest document). Each print goes to one
-    bucket per choice of blocks. First every member is compared with its bucket's smallest print, which joins
-    the bulk of a dense group with one row per member. Then members of a bucket are compared with each other,
-    but a link comes out only where the two are not joined yet, and in the first bucket they share.
+    ``prints`` has one row per distinct fingerprint, ``fp``. Each print goes to one bucket per choice of blocks. First every
+    member is compared with its bucket's smallest print, which joins the bulk of a dense group with one row per
+    member. Then members of a bucket are compared with each other, but a link comes out only where the two are
+    not joined yet, and in the first bucket they share.
     """
     masks = [_signed(m) for m in _masks(block_count(prints.count()))]
     keys = F.explode(F.array(*(F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks))))
@@ -92,15 +92,13 @@ def close_groups(prints: DataFrame) -> DataFrame:
     def spread(rows: DataFrame) -> DataFrame:
         return rows.select("*", keys.alias("k")).select(*rows.columns, "k.choice", "k.key")
 
-    member = spread(prints)
-    first = member.groupBy("choice", "key").agg(F.min_by(F.struct("fp", "rep"), F.struct("fp", "rep")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    near = member.join(first, ["choice", "key"]).where((F.col("fp") != F.col("f.fp")) & _close(F.col("fp"), F.col("f.fp")))
-    by_first = components(near.select("rep", F.col("f.rep").alias("other")), "rep", "other")
-    joined = durable(
-        prints.join(by_first, F.col("rep") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "rep").alias("part"))
-    )
+    member = spread(prints.select("fp"))
+    first = member.groupBy("choice", "key").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    near = member.join(first, ["choice", "key"]).where((F.col("fp") != F.col("first")) & _close(F.col("fp"), F.col("first")))
+    by_first = components(near.select("fp", "first"), "fp", "first")
+    joined = durable(prints.join(by_first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("part")))
     x = spread(joined)
-    y = x.select("choice", "key", F.col("fp").alias("fp2"), F.col("rep").alias("rep2"), F.col("part").alias("part2"))
+    y = x.select("choice", "key", F.col("fp").alias("fp2"), F.col("part").alias("part2"))
     differ = F.col("fp").bitwiseXOR(F.col("fp2"))
     shared = reduce(lambda rest, im: F.when(differ.bitwiseAND(F.lit(im[1])) == 0, im[0]).otherwise(rest), reversed(list(enumerate(masks))), F.lit(-1))
     apart = (
@@ -112,20 +110,19 @@ def close_groups(prints: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame) -> DataFrame:
-    """``did``, ``th``, ``fp`` and ``component`` (smallest identifier reachable) of every row of ``docs``.
+    """``did``, ``th``, ``fp``, ``root`` (smallest print of the group) and ``component`` (smallest identifier reachable) of every row.
 
     A missing or empty text has fingerprint 0 and is linked like any other. Repeated rows come back as often as
     they come. A missing ``doc_id`` counts as smaller than all others.
     """
     rows = durable(fingerprints(docs))
     prints = durable(rows.groupBy("fp").agg(F.min("did").alias("rep")))
-    # One document can carry several fingerprints (rows of one identifier); its identifier then joins them.
-    groups = close_groups(prints)
-    return (
-        rows.join(prints, "fp")
-        .join(groups, F.col("rep") == F.col("node"), "left")
-        .select("did", "th", "fp", F.coalesce("root", "rep").alias("component"))
+    rooted = durable(
+        prints.join(close_groups(prints), F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     )
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
+    named = rooted.join(least, "root").select("fp", "root", "component")
+    return rows.join(named, "fp").select("did", "th", "fp", "root", "component")
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
@@ -134,7 +131,7 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     Rows that repeat both identifier and text count as one.
     """
     groups = simhash_groups(docs)
-    stays = groups.where("did = component").groupBy("component").agg(F.min("th").alias("th"))
+    stays = groups.where("did = component").groupBy("root", "component").agg(F.min("th").alias("th"))
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumns({"__did": known_id("doc_id"), "__th": F.xxhash64(text)})
     kept = keyed.join(stays.select(F.col("component").alias("__did"), F.col("th").alias("__th")), ["__did", "__th"], "left_semi")
