@@ -26,8 +26,9 @@ from rivertally.llm.order import row_keys
 
 #: Jaccard similarity from which a line is removed, as a fraction.
 SHARED, OF = 4, 5
-#: Frequent words that are told apart by frequency (the rest are rare ones), and those that the sketch follows.
-FREQUENT, FOLLOWED = 1_000, 10_000
+#: Frequent words that are told apart by frequency (the rest are rare ones), and those that the sketch follows. They are
+#: part of the plan's text, which Spark logs over and over, so they are few.
+FREQUENT, FOLLOWED = 96, 10_000
 #: Lines under one word up to which all pairs are compared at once.
 SMALL_GROUP = 32
 
@@ -56,8 +57,7 @@ def rarity_key(frequent: list[tuple[int, int]]) -> str:
         return f"h IN ({', '.join(f'{i}L' if i > -(2**63) else 'bigint(-9223372036854775808)' for i in items)})"
 
     cases = " ".join(f"WHEN {among(items)} THEN {step}L" for step, items in sorted(steps.items()))
-    step = f"CASE WHEN NOT ({among([i for i, _ in frequent])}) THEN 0L {cases} ELSE 0L END"
-    return f"shiftleft({step}, 57) | shiftrightunsigned(h, 7)"
+    return f"shiftleft(CASE {cases} ELSE 0L END, 57) | shiftrightunsigned(h, 7)"
 
 
 def prefix_rows(rows: DataFrame, key: str) -> DataFrame:
