@@ -12,7 +12,7 @@ def col(c: Column | str) -> Column:
 
 def round_to(value: Column | str, digits: int) -> Column:
     """Half-up rounding on the decimal text of a double, so 1.005 gives 1.01."""
-    return F.round(col(value).cast("decimal(38,6)"), digits).cast("double")
+    return F.round(col(value).cast("double"), digits)
 
 
 def total(value: Column | str, na_rm: bool = True) -> Column:
@@ -36,10 +36,5 @@ def hours(seconds: Column | str) -> Column:
     return col(seconds).cast("double") / F.lit(3600.0)
 
 
-def mean(value: Column | str) -> Column:
-    """Mean that skips missing values."""
-    return F.avg(col(value))
-
-
 def area(length: str, width: str) -> Column:
     return F.col(length) * F.col(width)

@@ -82,4 +82,4 @@ def display_count(value: Column | str) -> Column:
 
 def display_decimal(value: Column | str, digits: int = 1) -> Column:
     """Fixed number of decimals, without thousands marks."""
-    return F.round(col(value).cast("decimal(38,6)"), digits).cast(f"decimal(38,{digits})").cast("string")
+    return F.round(col(value).cast("double"), digits).cast(f"decimal(38,{digits})").cast("string")

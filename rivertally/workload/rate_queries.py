@@ -97,17 +97,16 @@ def cpue_week(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 , placed AS (SELECT "SiteID", "RiverCode" AS river, effort FROM sites),
 counted AS (SELECT river, "SpeciesCode" AS species, count(*) AS n FROM placed JOIN fish USING ("SiteID") GROUP BY 1, 2)
-SELECT river, species, n FROM counted WHERE species IN ('SM', 'WE')""",
+SELECT river, species, n FROM counted""",
     ["sites", "fish"],
 )
 def species_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Fish per river and target species."""
+    """Fish per river and species."""
     sites, fish = _staged(spark, folder)
     # Fish are counted per site first; the sites then add their river.
     counted = rates.tally(fish, ["key_a", "species"], into="n")
     joined = counted.join(sites.select("key_a", "river"), "key_a")
-    totals = joined.groupBy("river", "species").agg(F.sum("n").alias("n"))
-    return rates.target_only(totals, ["SM", "WE"])
+    return joined.groupBy("river", "species").agg(F.sum("n").alias("n"))
 
 
 # ----- report rates ---------------------------------------------------------------------

@@ -32,7 +32,7 @@ def query(sql: str | None = None, frames: list[str] | None = None) -> Callable[[
 
 def rounded(value: str, digits: int) -> str:
     """SQL for half-up rounding on the decimal text of a double."""
-    return f"CAST(round(CAST(({value}) AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(({value}) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def hours_sql(seconds: str, digits: int) -> str:
