@@ -188,7 +188,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     judged = met.select(
         "rk",
         "at",
-        F.row_number().over(equal).alias("turn"),
+        F.rank().over(equal).alias("turn"),
         F.min("name").over(around).alias("low"),
         F.max("name").over(around).alias("high"),
     )
@@ -199,7 +199,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     to_compare = marks.where(F.exists("marks", lambda m: m % 2 == 0))
     singles = rows.join(to_compare, "rk").select("rk", "text", "marks").mapInArrow(_single_windows, "anchor long, hash long, rk long, start long")
-    turn = F.row_number().over(Window.partitionBy("anchor", "hash").orderBy("rk", "start"))
+    turn = F.rank().over(Window.partitionBy("anchor", "hash").orderBy("rk", "start"))
     later = singles.withColumn("turn", turn).where("turn > 1").groupBy("rk").agg(F.collect_list("start").alias("starts"))
 
     everything = flagged.join(marks, "rk", "left").join(later, "rk", "left").select("did", "text", "copy", "marks", "starts")
