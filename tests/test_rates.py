@@ -135,3 +135,8 @@ def test_target_catch_and_trend(spark, rows):
     assert rows(rates.trend_by_year(sites, catch, "WE")) == [(2020, 3, 2.0, 1.5), (2021, 0, 0.5, 0.0)]
     got = rates.target_catch(sites, catch, "WE", "SiteID", "SpeciesCode", "FishCount")
     assert rows(got, "SiteID", "WE") == [("s", 3), ("t", 0), ("u", 0)]
+
+
+def test_rounding_looks_at_the_value_once(spark):
+    values = spark.createDataFrame([(1.0049996, 1.0), (2.3449995, 2.34), (1.005, 1.01), (-1.005, -1.01), (None, None)], "x double, want double")
+    assert all(r.got == r.want for r in values.withColumn("got", round_to("x", 2)).collect())
