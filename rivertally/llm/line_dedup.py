@@ -11,7 +11,8 @@ The join is laid out so that groups of copies cost rows in proportion to their s
 3. In small groups all pairs are compared. In large groups only lines that are still in question are, so that
    the members of a group of near copies, which step 2 has settled, aren't paired with each other.
 
-It is one plan: the texts and the prefix words are shuffled once each and read again where they are needed.
+The prefix words are worked out and shuffled once; what they have shown is written, and each later step is a plan
+of its own that reads from there.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rivertally.llm.common import given_id, words_of
 from rivertally.llm.order import row_keys
+from rivertally.session import durable
 
 #: Jaccard similarity from which a line is removed, as a fraction.
 SHARED, OF = 4, 5
@@ -102,30 +104,32 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     met = prefix_rows(rows, rarity_key(frequent_words(rows))).repartition(parts, "key")
     group = Window.partitionBy("key", "set")
     leader = F.first(F.struct("rk", "no", "n", "pos")).over(group.orderBy("rk", "no"))
-    seen = met.withColumn("set", F.when(F.col("pos") < 0, F.col("n")).otherwise(0)).select("*", leader.alias("first"), F.count(F.lit(1)).over(group).alias("members"))
+    whole = F.col("pos") < 0
+    seen = met.withColumn("set", F.when(whole, F.col("n")).otherwise(0)).select("*", leader.alias("first"), F.count(F.lit(1)).over(group).alias("members"))
     later = (F.col("first.rk") != F.col("rk")) | (F.col("first.no") != F.col("no"))
-
-    copies = seen.where((F.col("pos") < 0) & later).select("rk", "no").distinct()
-
-    words = seen.where("pos >= 0 and members > 1")
-    near_first = (
-        words.where(later & _may_match(F.col("n"), F.col("pos"), F.col("first.n"), F.col("first.pos")))
-        .select("rk", "no", F.col("first.rk").alias("rk2"), F.col("first.no").alias("no2"))
-        .distinct()
-        .join(copies, ["rk", "no"], "left_anti")
+    like_first = later & (whole | _may_match(F.col("n"), F.col("pos"), F.col("first.n"), F.col("first.pos")))
+    # What the prefix words have shown is written once: equal lines, lines to be compared with the first, and groups of three and more.
+    columns = ["key", "rk", "no", "n", "pos"]
+    found = durable(
+        seen.where("members > 1")
+        .select(*columns, "members", *(F.when(like_first, F.col(f"first.{c}")).alias(f"{c}2") for c in ("rk", "no")))
+        .where((whole & F.col("rk2").isNotNull()) | (~whole & (F.col("rk2").isNotNull() | (F.col("members") > 2))))
     )
-    settled = copies.union(_verified(near_first, rows)).distinct()
+
+    copies = durable(found.where(whole).select("rk", "no").distinct())
+    near_first = found.where(~whole & F.col("rk2").isNotNull()).select("rk", "no", "rk2", "no2").distinct().join(copies, ["rk", "no"], "left_anti")
+    settled = durable(copies.union(_verified(durable(near_first), rows)).distinct())
 
     def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
         z = y.select("key", F.col("rk").alias("rk2"), F.col("no").alias("no2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
         before = (F.col("rk2") < F.col("rk")) | ((F.col("rk2") == F.col("rk")) & (F.col("no2") < F.col("no")))
         return x.join(z, "key").where(before & _may_match(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).select("rk", "no", "rk2", "no2")
 
-    columns = ["key", "rk", "no", "n", "pos"]
-    small = words.where(f"members between 3 and {SMALL_GROUP}").select(*columns)
-    large = words.where(f"members > {SMALL_GROUP}").select(*columns).join(copies, ["rk", "no"], "left_anti")
-    open_pairs = pairs(small, small).union(pairs(large.join(settled, ["rk", "no"], "left_anti"), large)).distinct().join(settled, ["rk", "no"], "left_anti")
-    return settled.union(_verified(open_pairs, rows)).distinct()
+    small = found.where(~whole & F.expr(f"members between 3 and {SMALL_GROUP}")).select(*columns)
+    large = found.where(~whole & (F.col("members") > SMALL_GROUP)).select(*columns).join(copies, ["rk", "no"], "left_anti")
+    in_question = durable(large.join(settled, ["rk", "no"], "left_anti"))
+    open_pairs = pairs(small, small).union(pairs(in_question, large)).distinct().join(settled, ["rk", "no"], "left_anti")
+    return settled.union(_verified(durable(open_pairs), rows)).distinct()
 
 
 def without_repeated_lines(rows: DataFrame) -> DataFrame:
