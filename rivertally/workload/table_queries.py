@@ -344,12 +344,13 @@ def codes_to_lifestage(spark: SparkSession, folder: str) -> DataFrame:
     return coded
 
 
-@query("SELECT user_id AS id, value, 'a' AS source FROM events WHERE event_type = 'click' UNION ALL SELECT user_id, NULL, 'b' FROM events WHERE event_type = 'view'")
+@query("SELECT user_id AS id, CASE WHEN event_type <> 'view' THEN value END AS value, CASE event_type WHEN 'click' THEN 'a' WHEN 'view' THEN 'b' ELSE 'c' END AS source FROM events")
 def union_like_tables(spark: SparkSession, folder: str) -> DataFrame:
     events = s.table(spark, folder, "events")
     tables = {
         "site": events.where("event_type = 'click'").select(F.col("user_id").alias("id"), "value", F.lit("a").alias("source")),
         "site2": events.where("event_type = 'view'").select(F.col("user_id").alias("id"), F.lit("b").alias("source")),
+        "old_site": events.where("event_type not in ('click', 'view')").select(F.lit("c").alias("source"), "value", F.col("user_id").alias("id")),
         "fish": events,
     }
     return union_like(tables, "site")
