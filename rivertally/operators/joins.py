@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 SMALL_ROWS = 50_000
@@ -95,7 +94,3 @@ def with_lifestage(fish: DataFrame, species_dim: DataFrame, stages: DataFrame, s
 def union_all(*frames: DataFrame) -> DataFrame:
     """Union by name; columns a frame lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def empty_like(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema or df.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivertally.functions.cleaning import rename_select
+from rivertally.functions.cleaning import rename_select, trailing_number
 from rivertally.operators.reshape import split_codes
 
 # --- Fixed values: life-stage lookup columns, new name: source name -----------------------
@@ -21,9 +21,11 @@ LIFESTAGE_NAMES = {
 
 
 def species_to_lifestage(stages: DataFrame, code: str = "id_lifestage", species: str = "cd_spp") -> DataFrame:
-    """Life-stage code of every listed species; the first code wins where several list it."""
+    """Life-stage code of every listed species; where several codes list it, the one with the smallest number at its end wins."""
     listed = split_codes(stages.select(code, species).distinct(), species, "_species")
-    return listed.groupBy(F.col("_species").alias("SpeciesCode")).agg(F.min(code).alias("LifeStageCode"))
+    number = trailing_number(code)
+    first = F.min_by(code, F.struct(number.isNull(), number, F.col(code)))
+    return listed.groupBy(F.col("_species").alias("SpeciesCode")).agg(first.alias("LifeStageCode"))
 
 
 def rebuild_species(d_species: DataFrame, stages: DataFrame) -> tuple[DataFrame, DataFrame]:

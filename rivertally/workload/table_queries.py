@@ -334,7 +334,7 @@ def pivot_depth(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """, x AS (SELECT code, unnest(string_split(codes, ' ')) AS species FROM stages), m AS (SELECT species, min(code) AS code FROM x GROUP BY 1)
+    """, x AS (SELECT code, unnest(string_split(codes, ' ')) AS species FROM stages), m AS (SELECT species, (list(code ORDER BY try_cast(nullif(regexp_extract(code, '[0-9]+$'), '') AS BIGINT) NULLS LAST, code))[1] AS code FROM x GROUP BY 1)
 SELECT d."SpeciesCode", "CommonName", m.code AS "LifeStageCode" FROM species_dim d LEFT JOIN m ON d."SpeciesCode" = m.species""",
     ["stages", "species_dim"],
 )
