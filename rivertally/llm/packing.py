@@ -7,6 +7,7 @@ every ``LENGTH`` ids. A document that crosses a cut goes on in the next sequence
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -59,6 +60,8 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.type = np.uint16 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        normaliser = json.loads(self.library.to_str())["normalizer"]
+        self.small = '"Lowercase"' in json.dumps(normaliser)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items() if t.special}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -81,12 +84,14 @@ class Encoder:
         return found
 
     def ids(self, text: str) -> np.ndarray:
+        if self.small and text.isascii() and not any(s in text.lower() for s in self.special):
+            text = text.lower()  # what the library would make of it; capitals then need no entries of their own
         pieces = [p for p in WHITE.split(text) if p] if SPLIT_ONLY.search(text) else text.split()
         got = [*map(self.young.get, pieces)]
         if None in got:
             missing = dict.fromkeys(p for p, g in zip(pieces, got, strict=True) if g is None)
             known = {p: b for p in missing if (b := self.old.get(p)) is not None}
-            parts = {p: _parts(p) for p in missing if p not in known}
+            parts = {p: _parts(p, self.small) for p in missing if p not in known}
             simple = {q for own in parts.values() for q in own}
             held = {q: b for q in simple if (b := self.young.get(q) or self.old.get(q)) is not None}
             held |= self._ask([q for q in simple if q not in held])
@@ -98,12 +103,13 @@ class Encoder:
         return np.frombuffer(b"".join(got), self.type)
 
 
-def _parts(piece: str) -> tuple[str, ...]:
-    """What a piece has the same ids as: a word and the mark after it stand for themselves, and ASCII capitals for small letters."""
+def _parts(piece: str, small: bool) -> tuple[str, ...]:
+    """What a piece has the same ids as: a word and the mark after it stand for themselves, and ASCII capitals for small
+    letters if the vocabulary makes letters ``small``."""
     word, mark = (piece[:-1], piece[-1:]) if piece[-1] in ",.!?;:" else (piece, "")
     if not word.isalpha():
         return (piece,)
-    word = word.lower() if word.isascii() else word
+    word = word.lower() if small and word.isascii() else word
     return (word, mark) if mark else (word,)
 
 
