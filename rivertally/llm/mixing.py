@@ -3,29 +3,40 @@
 A source is cut into blocks of equal size. Block ``b`` of a source of weight ``w`` may be placed from slot
 ``floor(b / w)`` on and must be placed before slot ``ceil((b + 1) / w)``; each slot goes to the waiting block with
 the earliest deadline. As the weights add up to one, all deadlines are met, and after any number of slots a
-source has had its weighted share to within less than one block.
+source has had its weighted share to within less than one block. A source that runs out leaves, and the others go on
+at their relative weights.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
+from itertools import islice
+from math import ceil, lcm
+from numbers import Rational
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivertally.llm.common import given_id, known_id
 from rivertally.llm.order import running_total
-from rivertally.session import durable
+from rivertally.session import durable, new_folder
 
 BLOCK_BYTES = 16 * 1024
-#: Slots after which the schedule repeats. Weights are rounded to this fraction.
+#: Weights are rounded to this fraction.
 PERIOD = 1000
 #: A source with less than this share of all bytes shares the lane of all such sources, so lanes are at most PERIOD + 1.
 LEAST_SHARE = 1 / PERIOD
 #: Unless weights are given, sources weigh what they hold, but none more than this.
 MOST_WEIGHT = 0.25
 POOL = "rest"
+#: A source beside others that hold less than this share together is in the mix whole.
+LEAST_OTHERS = Fraction(1, 1000)
+#: So many blocks of the run are held at once.
+AT_ONCE = 1 << 17
 
 
 def capped_shares(supply: dict[str, int], most: float = MOST_WEIGHT) -> dict[str, float]:
@@ -55,31 +66,91 @@ def shares(weights: dict[str, float], period: int) -> dict[str, int]:
     return given
 
 
-def schedule(given: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """One period, earliest deadline first: (lane, block, release, deadline, slot). Its length is the period."""
-    period = sum(given.values())
-    coming = [(0, k, 0) for k in sorted(given)]
-    heapq.heapify(coming)
-    ready: list[tuple[int, str, int, int]] = []
-    placed = []
-    for slot in range(period):
+def placements(weights: Mapping[str, Rational], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """The whole run, earliest deadline first: (lane, block, release, deadline, slot), a slot for each of the ``blocks``.
+
+    While all lanes have blocks, each has its weighted share of the slots. A lane whose share is used up leaves, and the others
+    go on at their relative weights. Windows are exact: a block may be placed from the slot in which the share of its
+    lane reaches it until the share has passed it. Memory is that of the lanes, however many blocks there are.
+    """
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    scale = lcm(*(w.denominator for w in exact.values()))
+    parts = {k: int(w * scale) for k, w in exact.items()}
+    # A lane has left after blocks / parts units of time, in each of which all lanes that go on get their parts.
+    leaving: dict[Fraction, list[str]] = {}
+    for k in parts:
+        leaving.setdefault(Fraction(blocks[k], parts[k]), []).append(k)
+    ends = sorted(leaving)
+    done, going, phases = 0, sum(parts.values()), []
+    for end in ends:
+        phases.append((done, going))
+        done += sum(blocks[k] for k in leaving[end])
+        going -= sum(parts[k] for k in leaving[end])
+    phase = dict.fromkeys(parts, 0)
+
+    def reached(k: str, b: int) -> tuple[int, int]:
+        """First and last slot edge around the moment in which lane ``k`` has had ``b`` blocks."""
+        end = ends[phase[k]]
+        if b * end.denominator > end.numerator * parts[k]:
+            phase[k] = bisect_left(ends, Fraction(b, parts[k]), phase[k])
+        before, at = phases[phase[k]]
+        whole, over = divmod(at * b, parts[k])
+        return before + whole, before + whole + (over > 0)
+
+    coming = [(0, k, 0) for k in sorted(parts)]
+    ready: list[tuple[int, str, int, int, int]] = []
+    for slot in range(done):
         while coming and coming[0][0] <= slot:
             release, k, b = heapq.heappop(coming)
-            heapq.heappush(ready, (-(-(b + 1) * period // given[k]), k, b, release))
-        deadline, k, b, release = heapq.heappop(ready)
-        placed.append((k, b, release, deadline, slot))
-        if b + 1 < given[k]:
-            heapq.heappush(coming, ((b + 1) * period // given[k], k, b + 1))
-    return placed
+            following, deadline = reached(k, b + 1)
+            heapq.heappush(ready, (deadline, k, b, release, following))
+        deadline, k, b, release, following = heapq.heappop(ready)
+        yield k, b, release, deadline, slot
+        if b + 1 < blocks[k]:
+            heapq.heappush(coming, (following, k, b + 1))
+
+
+def schedule(given: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """The run of lanes that have as many blocks as their weight says, so that all end together."""
+    return list(placements(given, given))
+
+
+def blocks_in_mix(weights: Mapping[str, Rational], held: Mapping[str, int], block_bytes: int) -> dict[str, int]:
+    """Blocks of each lane that are in the mix: all of them, except for the lane that would be left alone at the end.
+
+    That one stops with the last of the others: what it holds above its weight beside them is left over. Where the others hold less
+    than ``LEAST_OTHERS`` of all bytes together, there is nothing to mix with, and it is in the mix whole.
+    """
+    blocks = {k: max(1, -(-v // block_bytes)) for k, v in held.items()}
+    if len(held) < 2:
+        return blocks
+    ends = {k: Fraction(max(1, v)) / Fraction(weights[k]) for k, v in held.items()}
+    longest = max(ends, key=lambda k: (ends[k], k))
+    if sum(held.values()) - held[longest] >= LEAST_OTHERS * sum(held.values()):
+        stop = max(v for k, v in ends.items() if k != longest) * Fraction(weights[longest])
+        blocks[longest] = min(blocks[longest], max(1, ceil(stop / block_bytes)))
+    return blocks
+
+
+def _written(spark: SparkSession, placed: Iterable[tuple[str, int, int, int, int]]) -> DataFrame:
+    """The run as a table, written in pieces as it comes."""
+    path, schema = new_folder(spark, "schedule"), "lane string, block long, release long, deadline long, slot long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    names = ["lane", "block", "release", "deadline", "slot"]
+    placed = iter(placed)
+    while piece := list(islice(placed, AT_ONCE)):
+        table = pa.table([pa.array(c) for c in zip(*piece, strict=True)], names)
+        spark.createDataFrame(table).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: int = BLOCK_BYTES, period: int = PERIOD) -> DataFrame:
     """``did``, ``th``, ``source``, ``lane``, ``block``, ``release``, ``deadline``, ``slot``, ``place``, ``in_mix`` per row.
 
     A source's rows stand in order of identifier and text hash; ``place`` is the number of bytes before a row in its
-    lane and ``block`` the block in which it begins. Sorting by slot and place gives the mixed stream. ``in_mix`` is
-    false from the first slot on whose lane has nothing left to fill it: beyond it the weights can't be kept, and
-    the rows there are what the given weights leave over.
+    lane and ``block`` the block in which it begins. Sorting by slot and place gives the mixed stream. A source that runs out
+    leaves, and the others go on at their relative weights. ``in_mix`` is false for what the one source that lasts longest
+    holds above its weight beside the others (see ``blocks_in_mix``); those rows follow after the mix.
 
     A missing text is empty, a missing source is a source of its own, repeated rows each take their place, and
     an empty table gives an empty result. Given ``weights`` name sources; sources that they leave out are not in the mix.
@@ -99,37 +170,31 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: i
         chosen = capped_shares({k: max(1, v) for k, v in supply.items()})
     else:
         chosen = {f"={k}": v for k, v in weights.items() if v > 0 and f"={k}" in supply}
-    spark = docs.sparkSession
-    template = spark.createDataFrame(
-        schedule(shares(chosen, period)) if chosen else [], "lane string, turn long, release0 long, deadline0 long, slot0 long"
-    )
-    sizes = template.groupBy("lane").agg(F.count(F.lit(1)).alias("per"))
-    turns = template.join(sizes, "lane")
-    length = sum(shares(chosen, period).values()) if chosen else 1
+    given = shares(chosen, period) if chosen else {}
+    inside = blocks_in_mix(given, {k: supply[k] for k in given}, block_bytes)
+    run = _written(docs.sparkSession, placements(given, inside) if given else [])
+    length = sum(inside.values())
+    known = [(k, inside[k], max(1, -(-supply[k] // block_bytes))) for k in given]
+    bounds = docs.sparkSession.createDataFrame(known, "lane string, inside long, blocks long")
 
     lane_of = lanes.select(F.col("source").alias("__source"), "lane")
     in_lane = rows.join(lane_of, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    placed = running_total(in_lane, ["lane"], ["did", "th"], "size", "place").withColumn("block", F.expr(f"place div {block_bytes}"))
-
-    def slots(df: DataFrame, block: str) -> DataFrame:
-        """Blocks go round the template: each round is one period later."""
-        per = df.join(sizes, "lane", "left").withColumns({"turn": F.col(block) % F.col("per"), "round": F.expr(f"{block} div per") * length})
-        return per.join(turns.drop("per"), ["lane", "turn"], "left")
-
-    ends = in_lane.groupBy("lane").agg(F.greatest(F.lit(1), F.expr(f"(sum(size) + {block_bytes - 1}) div {block_bytes}")).alias("blocks"))
-    horizon = slots(ends, "blocks").agg(F.min(F.col("slot0") + F.col("round"))).first()[0]
-    slot = F.col("slot0") + F.col("round")
-    return slots(placed, "block").select(
+    # Empty texts at the very end of a lane belong to its last block.
+    block = F.least(F.expr(f"place div {block_bytes}"), F.col("blocks") - 1)
+    placed = running_total(in_lane, ["lane"], ["did", "th"], "size", "place").join(bounds, "lane", "left").withColumn("block", block)
+    # What is left over follows block by block.
+    late = F.when(F.col("block") >= F.col("inside"), F.col("block") - F.col("inside") + length)
+    return placed.join(run, ["lane", "block"], "left").select(
         "did",
         "th",
         "source",
         "lane",
         "block",
-        (F.col("release0") + F.col("round")).alias("release"),
-        (F.col("deadline0") + F.col("round")).alias("deadline"),
-        slot.alias("slot"),
+        F.coalesce("release", late).alias("release"),
+        F.coalesce("deadline", late + 1).alias("deadline"),
+        F.coalesce("slot", late).alias("slot"),
         "place",
-        F.coalesce(slot < F.lit(horizon), F.lit(False)).alias("in_mix"),
+        F.col("slot").isNotNull().alias("in_mix"),
     )
 
 

@@ -48,6 +48,28 @@ def test_mix_of_sources(spark):
         assert all(abs(n.get(k, 0) - 0.25 * t) < 1.01 for k in ("=a", "=b", "=c", "=d"))
 
 
+def test_small_sources_dont_end_the_mix(spark):
+    rows = [(i, "x" * 100, "abc"[i % 3]) for i in range(3000)] + [(5000, "tiny", "t"), (5001, "", "e"), (5002, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, block_bytes=1000).toPandas()
+    assert len(got) == 3003 and got.in_mix.all() and got.slot.notna().all()
+    blocks = got[["lane", "block", "slot", "release", "deadline"]].drop_duplicates()
+    assert blocks.slot.is_unique and blocks.slot.max() == len(blocks) - 1 and ((blocks.slot >= blocks.release) & (blocks.slot < blocks.deadline)).all()
+    assert mixing.mixed(docs).count() == 3003
+    alone = spark.createDataFrame([(i, "x" * 100, "a" if i else "t") for i in range(3000)], "doc_id long, text string, source string")
+    assert mixing.mixed(alone).count() == 3000
+
+
+def test_lanes_leave():
+    weights, blocks = {"a": 5, "b": 3, "c": 1, "d": 1}, {"a": 40, "b": 50, "c": 1, "d": 30}
+    placed = list(mixing.placements(weights, blocks))
+    assert [p[4] for p in placed] == list(range(121)) and Counter(p[0] for p in placed) == blocks
+    assert all(release <= slot < deadline for _, _, release, deadline, slot in placed)
+    # The last to go beside d is b, after 50 / 3 units.
+    assert mixing.blocks_in_mix(weights, {k: 10 * v for k, v in blocks.items()}, 10) == {"a": 40, "b": 50, "c": 1, "d": 17}
+    assert mixing.blocks_in_mix({"a": 1, "b": 1}, {"a": 10**9, "b": 1}, 10) == {"a": 10**8, "b": 1}
+
+
 def test_given_weights(spark):
     docs = spark.createDataFrame([(i, "y" * 50, "ab c"[i % 4]) for i in range(400)], "doc_id long, text string, source string")
     kept = mixing.mixed(docs, {"a": 3.0, "b": 1.0, "unknown": 9.0}).groupBy("source").count().collect()
