@@ -26,12 +26,10 @@ from rivertally.llm.order import running_total
 from rivertally.session import durable, new_folder
 
 BLOCK_BYTES = 16 * 1024
-#: Weights are rounded to this fraction.
 PERIOD = 1000
-#: A source with less than this share of all bytes shares the lane of all such sources, so lanes are at most PERIOD + 1.
-LEAST_SHARE = 1 / PERIOD
 #: Unless weights are given, sources weigh what they hold, but none more than this.
 MOST_WEIGHT = 0.25
+#: The lane of sources that given weights leave out.
 POOL = "rest"
 #: A source beside others that hold less than this share together is in the mix whole.
 LEAST_OTHERS = Fraction(1, 1000)
@@ -39,27 +37,27 @@ LEAST_OTHERS = Fraction(1, 1000)
 AT_ONCE = 1 << 17
 
 
-def capped_shares(supply: dict[str, int], most: float = MOST_WEIGHT) -> dict[str, float]:
-    """Weights in proportion to the supply, none above ``most`` (or an even share, where that is larger)."""
-    most = max(most, 1 / max(1, len(supply)))
+def capped_shares(supply: Mapping[str, int], most: float = MOST_WEIGHT) -> dict[str, Fraction]:
+    """Exact weights in proportion to the supply, none above ``most`` (or an even share, where that is larger)."""
+    most = max(Fraction(most), Fraction(1, max(1, len(supply))))
     weights, fixed = {}, set()
     while len(fixed) < len(supply):
         free = sum(v for k, v in supply.items() if k not in fixed)
         rest = 1 - most * len(fixed)
         weights = {k: most if k in fixed else rest * v / free for k, v in supply.items()}
-        over = {k for k, v in weights.items() if k not in fixed and v > most * (1 + 1e-12)}
+        over = {k for k, v in weights.items() if k not in fixed and v > most}
         if not over:
             break
         fixed |= over
     return weights
 
 
-def shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots per period: at least one each, largest remainders first, ``period`` in all."""
+def shares(weights: Mapping[str, Rational | float], period: int) -> dict[str, int]:
+    """Weights rounded to whole slots of a period (one per lane at least in all), largest remainders first. ``mix`` doesn't round."""
     period = max(period, len(weights))
-    whole = sum(weights.values())
-    exact = {k: Fraction(v) / Fraction(whole) * (period - len(weights)) for k, v in weights.items()}
-    given = {k: 1 + int(v) for k, v in exact.items()}
+    whole = sum(map(Fraction, weights.values()))
+    exact = {k: Fraction(v) / whole * period for k, v in weights.items()}
+    given = {k: int(v) for k, v in exact.items()}
     left = period - sum(given.values())
     for k in sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))[:left]:
         given[k] += 1
@@ -154,6 +152,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: i
 
     A missing text is empty, a missing source is a source of its own, repeated rows each take their place, and
     an empty table gives an empty result. Given ``weights`` name sources; sources that they leave out are not in the mix.
+    Weights are kept exactly and every source is a lane of its own; ``period`` has no effect any more.
     """
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(
@@ -161,16 +160,16 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_bytes: i
     )
     rows = durable(rows)
     held = rows.groupBy("source").agg(F.sum("size").alias("size"))
-    whole = held.agg(F.sum("size")).first()[0] or 0
-    own = F.col("size") >= F.lit(max(1, whole) * LEAST_SHARE) if weights is None else F.col("source").isin(*weights)
-    lanes = held.select("source", F.when(own, F.coalesce(F.concat(F.lit("="), "source"), F.lit("none"))).otherwise(POOL).alias("lane"), "size")
-    # At most 1 / LEAST_SHARE lanes of their own, or as many as there are given weights.
+    own = F.coalesce(F.concat(F.lit("="), "source"), F.lit("none"))
+    if weights is not None:
+        own = F.when(F.col("source").isin(*weights), own).otherwise(POOL)
+    lanes = held.select("source", own.alias("lane"), "size")
+    # One row for each source.
     supply = {r[0]: r[1] for r in lanes.groupBy("lane").agg(F.sum("size")).collect()}
     if weights is None:
-        chosen = capped_shares({k: max(1, v) for k, v in supply.items()})
+        given = capped_shares({k: max(1, v) for k, v in supply.items()})
     else:
-        chosen = {f"={k}": v for k, v in weights.items() if v > 0 and f"={k}" in supply}
-    given = shares(chosen, period) if chosen else {}
+        given = {f"={k}": Fraction(v) for k, v in weights.items() if v > 0 and f"={k}" in supply}
     inside = blocks_in_mix(given, {k: supply[k] for k in given}, block_bytes)
     run = _written(docs.sparkSession, placements(given, inside) if given else [])
     length = sum(inside.values())

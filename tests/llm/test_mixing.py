@@ -70,6 +70,36 @@ def test_lanes_leave():
     assert mixing.blocks_in_mix({"a": 1, "b": 1}, {"a": 10**9, "b": 1}, 10) == {"a": 10**8, "b": 1}
 
 
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"a": Fraction(1, 2000), "b": Fraction(1999, 2000)},
+        {"a": Fraction(1, 4), **{f"s{i}": Fraction(3, 1600) for i in range(400)}},
+        {"a": Fraction(1, 4), **{f"s{i}": Fraction(3, 80) for i in range(20)}},
+        {"a": Fraction(1, 3), "b": Fraction(2, 7), "c": Fraction(8, 21)},
+    ],
+)
+def test_exact_weights_in_a_long_run(weights):
+    slots, done = 5000, Counter()
+    placed = mixing.placements(weights, {k: int(20 * slots * w) + 1 for k, w in weights.items()})
+    for slot, (lane, block, release, deadline, at) in zip(range(slots), placed, strict=False):
+        assert at == slot and block == done[lane]
+        assert release == block / weights[lane] // 1 and deadline == -(-(block + 1) / weights[lane] // 1) and release <= slot < deadline
+        done[lane] += 1
+        if slot % 97 == 0 or slot > slots - 10:
+            assert all(abs(done[k] - w * (slot + 1)) < 1 for k, w in weights.items())
+
+
+def test_every_source_is_a_lane(spark):
+    rows = [(i, "x" * 1000, "ab"[i % 2]) for i in range(4000)] + [(5000 + i, "y" * 10, f"small{i:02}") for i in range(30)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_bytes=1000).toPandas()
+    assert got.in_mix.all() and set(got.lane) == {"=a", "=b", *(f"=small{i:02}" for i in range(30))}
+    few = spark.createDataFrame([(i, "z" * 100, "ab"[i % 2]) for i in range(4000)], "doc_id long, text string, source string")
+    got = mixing.mix(few, {"a": 1 / 2048, "b": 2047 / 2048}, block_bytes=100).toPandas()
+    inside = got[got.in_mix]
+    assert (inside.source == "b").sum() == 2000 and (inside.source == "a").sum() == 1
+
+
 def test_given_weights(spark):
     docs = spark.createDataFrame([(i, "y" * 50, "ab c"[i % 4]) for i in range(400)], "doc_id long, text string, source string")
     kept = mixing.mixed(docs, {"a": 3.0, "b": 1.0, "unknown": 9.0}).groupBy("source").count().collect()
