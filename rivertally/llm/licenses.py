@@ -1,7 +1,8 @@
 """Licence scan by sentences: known sentences become identifiers, and ordered rules read the sequence of identifiers.
 
-A text is cut into sentences, each is normalised (small letters and digits, single spaces) and looked up in a table of
-sentences that licences are made of. The identifiers found, in order, are matched against the rules from
+A text is normalised (small letters and digits, single spaces) with its cuts marked, and read for the
+sentences that licences are made of. A known sentence stands between two cuts; colons, semicolons and line ends are cuts
+too, but may also lie within it, so that wrapped texts and headers match. The identifiers found, in order, are matched against the rules from
 the first to the last; what a rule matches is used up, so that a full licence text isn't reported again by
 the shorter rules below it.
 """
@@ -104,19 +105,31 @@ RULES = (
     Rule("All-Rights-Reserved", ("rights",)),
 )
 
-#: Every known sentence holds one of these, so that a text without any of them has none.
-HINTS = ("licen", "permission", "warrant", "redistribution", "rights reserved", "copyright", "public domain")
-
-#: A sentence ends at a line end, or at a mark that white space or the text's end follows.
-SENTENCE_END = r"\n|[.;:!?](?=\s|$)"
+#: Every known sentence holds one of these (single words, as any blank may be a line end), so that a text without any of them has none.
+HINTS = ("licen", "permission", "warrant", "redistribution", "reserved", "copyright", "domain")
+
+#: A sentence ends at one of these marks, where white space or the text's end follows.
+SENTENCE_END = r"[.!?](?=\s|$)"
+#: It may end here, or go on.
+PART_END = r"\n|[;:](?=\s|$)"
+
+#: Stand for the two kinds of cut in a normalised text.
+_CUT, _PART = "\x01", "\x02"
+#: Any known sentence from cut to cut, the longest first. Between its words there may be part ends.
+_KNOWN = (
+    rf"(?<=[{_CUT}{_PART}] {{0,1}})(?:"
+    + "|".join(s.replace(" ", f"[ {_PART}]++") for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    + rf")(?= ?[{_CUT}{_PART}])"
+)
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     table = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)))
-    plain = F.transform(F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    known = F.filter(plain, lambda s: s.isin(*SENTENCES.values()))
-    return F.transform(known, lambda s: F.element_at(table, s))
+    marked = F.regexp_replace(F.translate(F.lower(text), _CUT + _PART, "  "), SENTENCE_END, _CUT)
+    plain = F.regexp_replace(F.regexp_replace(marked, PART_END, _PART), f"[^a-z0-9{_CUT}{_PART}]+", " ")
+    known = F.regexp_extract_all(F.concat(F.lit(_CUT), plain, F.lit(_CUT)), F.lit(_KNOWN), F.lit(0))
+    return F.transform(known, lambda s: F.element_at(table, F.regexp_replace(s, f"[ {_PART}]+", " ")))
 
 
 def licence_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
