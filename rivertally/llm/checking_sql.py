@@ -60,3 +60,11 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, coalesce(names, ''
        coalesce(array_to_string(list_filter(string_split(rest, '|'), lambda x: x <> ''), ', '), '') AS unmatched
 FROM d LEFT JOIN line USING (rid) LEFT JOIN steps USING (rid)
 """
+
+WARC = """
+WITH d AS (SELECT page_id, sha1(coalesce(html, '')) AS s, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+t AS (SELECT s, n, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY s, n)
+SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM d LEFT JOIN t USING (s, n)
+"""

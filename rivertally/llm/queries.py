@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substrings, token_counts
+from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substrings, token_counts, warc
 from rivertally.session import configure
 
 #: The vocabulary that the queries use; the operators take its path.
@@ -46,4 +46,5 @@ register("op7_simhash_dedup", "documents", simhash.simhash_report)
 register("op8_line_dedup", "documents", line_dedup.line_dedup_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
 register("op10_mixing", "documents", mixing.mixing_report)
+register("op13_warc", "pages", warc.warc_report, checking_sql.WARC)
 QUERIES["pipeline"] = corpus_pipeline.run
