@@ -68,3 +68,21 @@ SELECT page_id, n AS payload_bytes, s AS payload_digest, CASE WHEN page_id < top
        CASE WHEN page_id < top THEN top END AS refers_to
 FROM d LEFT JOIN t USING (s, n)
 """
+
+RANKED_SEARCH = r"""
+WITH cut AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+d AS (SELECT rid, doc_id, CAST(len(t) AS BIGINT) AS n FROM cut WHERE len(t) > 0),
+sizes AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM cut) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, sizes GROUP BY term, n_docs),
+item AS (
+  SELECT item_id, row_number() OVER () AS ik, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark),
+s AS (
+  SELECT ik, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item JOIN w USING (term) JOIN tf USING (term) JOIN d USING (rid), sizes GROUP BY ALL)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY ik ORDER BY score DESC, doc_id NULLS FIRST) AS r FROM s WHERE score > 0) WHERE r <= 50
+"""

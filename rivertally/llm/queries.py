@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substrings, token_counts, warc
+from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, ranked_search, simhash, substrings, token_counts, warc
 from rivertally.session import configure
 
 #: The vocabulary that the queries use; the operators take its path.
@@ -36,6 +36,11 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_classifier(read.parquet(f"{folder}/documents.parquet"), read.parquet(f"{folder}/labels.parquet"))
 
 
+def ranked(spark: SparkSession, folder: str) -> DataFrame:
+    read = configure(spark).read
+    return ranked_search.ranked_search(read.parquet(f"{folder}/documents.parquet"), read.parquet(f"{folder}/benchmark.parquet"))
+
+
 register("op1_embedding_dedup", "embeddings", embeddings.embedding_groups)
 register("op2_license_scan", "documents", licenses.licence_scan, checking_sql.LICENCE_SCAN)
 QUERIES["op3_quality_classifier"] = quality_classifier
@@ -46,5 +51,7 @@ register("op7_simhash_dedup", "documents", simhash.simhash_report)
 register("op8_line_dedup", "documents", line_dedup.line_dedup_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
 register("op10_mixing", "documents", mixing.mixing_report)
+QUERIES["op12_ranked_search"] = ranked
+ORACLES["op12_ranked_search"] = checking_sql.RANKED_SEARCH
 register("op13_warc", "pages", warc.warc_report, checking_sql.WARC)
 QUERIES["pipeline"] = corpus_pipeline.run
