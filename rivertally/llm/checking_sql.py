@@ -86,3 +86,30 @@ s AS (
 SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY ik ORDER BY score DESC, doc_id NULLS FIRST) AS r FROM s WHERE score > 0) WHERE r <= 50
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS pid, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f1 AS (SELECT lang, w[i] AS x, count(*) AS f FROM spots GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM spots WHERE i + 1 <= len(w) GROUP BY ALL),
+f3 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM spots WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+around AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, 1 AS k, f2.f AS a, l.f AS l, r.f AS r
+  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+  LEFT JOIN around ON around.lang = f2.lang AND around.x = f2.x AND around.y = f2.y
+  WHERE f2.f >= 10 AND NOT coalesce(100 * around.f >= 50 * f2.f, false)
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 1, f3.f, l.f, r.f
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.x = f3.x JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, 2, f3.f, l.f, r.f
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z),
+scored AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS c FROM scored) WHERE c = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest) JOIN n USING (lang) WHERE rank <= 2000
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivertally.llm import checking_sql, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, ranked_search, simhash, substrings, token_counts, warc
+from rivertally.llm import checking_sql, collocations, embeddings, licenses, line_dedup, mixing, packing, perplexity, quality_rules, ranked_search, simhash, substrings, token_counts, warc
 from rivertally.session import configure
 
 #: The vocabulary that the queries use; the operators take its path.
@@ -51,6 +51,7 @@ register("op7_simhash_dedup", "documents", simhash.simhash_report)
 register("op8_line_dedup", "documents", line_dedup.line_dedup_report)
 register("op9_substring_dedup", "documents", substrings.substring_report)
 register("op10_mixing", "documents", mixing.mixing_report)
+register("op11_collocations", "documents", collocations.collocations, checking_sql.COLLOCATIONS)
 QUERIES["op12_ranked_search"] = ranked
 ORACLES["op12_ranked_search"] = checking_sql.RANKED_SEARCH
 register("op13_warc", "pages", warc.warc_report, checking_sql.WARC)
