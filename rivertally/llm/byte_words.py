@@ -31,7 +31,7 @@ def byte_class(pattern: bytes) -> np.ndarray:
 
 def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, pa.Array]]:
     """Stretches of at most ``most`` bytes (one row at least), and the number of each one's first row. Missing texts become empty."""
-    texts = texts.fill_null("")
+    texts = texts.fill_null("") if texts.null_count else texts
     if not len(texts):
         return
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)

@@ -34,8 +34,8 @@ from rivertally.session import durable
 LEAST = 10  # occurrences of a candidate
 INSIDE = 50  # a phrase goes if a longer one around it has this percentage of its occurrences
 TOP = 2000
-CHUNK = 6 << 20  # bytes of text whose edges are summed at once
-RUN = 1_000_000  # edges that are summed at once before they are sorted
+CHUNK = 2 << 20  # bytes of text whose edges are summed at once
+RUN = 500_000  # edges that are summed at once before they are sorted
 STRETCH = 1024  # edges of a path that lie in one row
 HOT = 1000  # a pair with more than this part of the text is dealt out by its third word too
 HOT_PARTS = 64
