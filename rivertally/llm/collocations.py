@@ -203,9 +203,11 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batch(_summed(x[order], y[order], z[order], n[order]))
 
     for batch in batches:
-        for names, grams, times in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-            x, y, z = np.frombuffer(names, np.int64)[np.frombuffer(grams, np.uint32)].reshape(3, -1)
-            held.append((x, y, z, np.frombuffer(times, np.uint32).astype(np.int64)))
+        for block in zip(*batch.columns[1:], strict=True):
+            # Blocks are read where they lie; a batch may hold a whole partition's.
+            names, grams, times = (np.frombuffer(value.as_buffer(), kind) for value, kind in zip(block, (np.int64, np.uint32, np.uint32), strict=True))
+            x, y, z = names[grams].reshape(3, -1)
+            held.append((x, y, z, times.astype(np.int64)))
             count += len(x)
             if count >= RUN:
                 yield run()
