@@ -135,6 +135,22 @@ def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], int
     return expanded.withColumn(into, F.col("_base") + F.col("_copy")).drop("_base", "_copy")
 
 
+def sum_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, into: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Sum of ``weight`` over the rows of the group that come earlier, in a total order; 0 for the first.
+
+    Exact copies stand side by side. ``weight`` is never missing.
+    """
+    ordered = [c for c in _total_order(df, order) if c not in keys]
+    if largest_group(df, keys) <= hot_rows:
+        window = Window.partitionBy(*keys).orderBy(*_nulls_last(ordered)).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(into, F.coalesce(F.sum(weight).over(window), F.lit(0)).cast("long"))
+    laid = _lay_out(collapse_copies(df).withColumn("_all", F.col(weight) * F.col("_copies")), [*keys, *ordered])
+    most = laid.agg(F.max("_copies")).first()[0] or 1
+    summed = _carry_sums(laid, keys, "_all", "_base")
+    expanded = expand_copies(summed.drop("_all"), most, index="_copy")
+    return expanded.withColumn(into, (F.col("_base") + (F.col("_copy") - 1) * F.col(weight)).cast("long")).drop("_base", "_copy")
+
+
 # ----- numbering ---------------------------------------------------------------------
 def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False, ties: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Number all rows start+1, start+2, … in order, nulls last.

@@ -167,8 +167,8 @@ def cpue_by_lifestage(sites: DataFrame, fish_staged: DataFrame, labels: Sequence
         F.when(F.sum("_nulls") == 0, F.sum("n_fish")).alias("n_fish")
     )
     filled = fill_levels(durable(summed), parents, "ls", {"n_fish": 0})
-    effort = hours("amt_effort_sec")
-    rate = effort * F.col("n_fish") if multiply else ratio("n_fish", effort)
+    # One division, so that a rate that lies on a rounding tie is exactly that.
+    rate = hours("amt_effort_sec") * F.col("n_fish") if multiply else ratio(F.col("n_fish") * 3600, "amt_effort_sec")
     return filled.withColumn("cpue", rate)
 
 
@@ -261,7 +261,7 @@ def trend_by_year(sites: DataFrame, catch: DataFrame, species: str, key: str = "
     return joined.groupBy(F.col(year).alias("yr")).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_fish"),
         round_to(hours(F.sum(effort)), 2).alias("tot_effort"),
-        round_to(ratio(F.coalesce(F.sum("_n"), F.lit(0)), hours(F.sum(effort))), 2).alias("cpue"),
+        round_to(ratio(F.coalesce(F.sum("_n"), F.lit(0)) * 3600, F.sum(effort)), 2).alias("cpue"),
     )
 
 

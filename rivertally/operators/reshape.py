@@ -3,33 +3,96 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivertally.operators.joins import null_safe_join
-from rivertally.operators.ordered import largest_group, number_within
+from rivertally.operators.ordered import sum_before
 
-MAX_ARRAY_ROWS = 50_000
+MAX_WEIGHT = 50_000  # rows, at all levels, that the arrays of one row should hold
 MAX_LEVELS = 10_000
 
 
 # ----- nest / unnest --------------------------------------------------------------------
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], into: str, order: Sequence[str], part: str = "Part", max_rows: int = MAX_ARRAY_ROWS, largest: int | None = None) -> DataFrame:
+class Children(NamedTuple):
+    """Child rows to be nested: the fields of an element, and the order of the elements.
+
+    ``weight`` names a column with the number of rows that an element stands for, itself and all below it; 1 if there is none.
+    """
+
+    rows: DataFrame
+    fields: Sequence[str]
+    order: Sequence[str]
+    weight: str | None = None
+
+
+def nest_weighted(children: Mapping[str, Children], key: str, max_weight: int | None = None, part: str = "Part", parts: str = "Parts") -> DataFrame:
+    """One row per key and part, with all kinds of children as ordered arrays.
+
+    The kinds of a key follow each other, and so do the elements of a kind; a running sum of their weights
+    tells the part that an element falls into. So the arrays of a row hold about ``max_weight`` rows at most, at all levels together (one
+    element more, at worst), whatever a key has in all. Part 0 is always there; ``parts`` is the number of a key's rows. An array
+    that has nothing in a part is empty there. The layout depends on the rows only, not on how they were worked out.
+    """
+    bound = MAX_WEIGHT if max_weight is None else max_weight
+    kinds = list(children.items())
+    every = None
+    for i, (_, kind) in enumerate(kinds):
+        rank = F.struct(*[p for c in kind.order for p in (F.col(c).isNull(), F.col(c))])
+        item = F.struct(*kind.fields)
+        weight = F.lit(1) if kind.weight is None else F.col(kind.weight)
+        rows = kind.rows.select(F.col(key), F.lit(i).alias("_kind"), rank.alias(f"_rank{i}"), item.alias(f"_item{i}"), weight.cast("long").alias("_weight"))
+        every = rows if every is None else every.unionByName(rows, allowMissingColumns=True)
+    order = ["_kind", *[f"_{what}{i}" for i in range(len(kinds)) for what in ("rank", "item")]]
+    summed = sum_before(every, [key], order, "_weight", "_before")
+    cut = summed.withColumn(part, F.floor(F.col("_before") / bound).cast("long"))
+    found = cut.groupBy(key, part).agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("_kind") == i, F.struct(f"_rank{i}", f"_item{i}")))).alias(name) for i, (name, _) in enumerate(kinds)]
+    )
+    items = {name: F.col(name)[f"_item{i}"] for i, (name, _) in enumerate(kinds)}
+    return found.withColumns(items).withColumn(parts, F.count(F.lit(1)).over(Window.partitionBy(key)).cast("long"))
+
+
+def attach_children(parents: DataFrame, children: Mapping[str, Children], key: str, max_weight: int | None = None, part: str = "Part", parts: str = "Parts") -> DataFrame:
+    """Parents with their children nested; one that has too many comes on several rows, numbered in ``part``."""
+    first = {part: F.lit(0).cast("long"), parts: F.lit(1).cast("long")}
+    if not children:
+        return parents.withColumns(first)
+    nested = nest_weighted(children, key, max_weight, part, parts).withColumnRenamed(key, "_key")
+    joined = parents.join(nested, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return joined.withColumns({name: F.coalesce(F.col(name), value) for name, value in first.items()})
+
+
+def weight_of(*arrays: str) -> Column:
+    """Weight of a row: itself and what its arrays hold."""
+    return sum((F.coalesce(F.size(a), F.lit(0)) for a in arrays), F.lit(1)).cast("long")
+
+
+def merge_parts(df: DataFrame, keys: Sequence[str], arrays: Sequence[str], part: str = "Part", parts: str = "Parts") -> DataFrame:
+    """The reverse of nesting in parts: one row per key, with its whole arrays; ``part`` and ``parts`` go.
+
+    Only rows of keys that have several parts are shuffled. Keys match if they are both missing. All parts of a key must be there.
+    """
+    others = [c for c in df.columns if c not in (*keys, *arrays, part, parts)]
+    kept = [c for c in df.columns if c not in (part, parts)]
+    rows = F.array_sort(F.collect_list(F.struct(part, *[F.coalesce(a, F.array().cast(df.schema[a].dataType)).alias(a) for a in arrays])))
+    merged = df.where(F.col(parts) > 1).groupBy(*keys).agg(rows.alias("_parts"), F.min_by(F.struct(F.lit(1).alias("_one"), *others), part).alias("_row"))
+    whole = merged.select(*keys, *[F.flatten(F.col("_parts")[a]).alias(a) for a in arrays], *[F.col("_row")[c].alias(c) for c in others])
+    return df.where(F.col(parts) == 1).select(*kept).unionByName(whole.select(*kept))
+
+
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], into: str, order: Sequence[str], part: str = "Part", max_rows: int = MAX_WEIGHT) -> DataFrame:
     """One row per key with its child rows as an ordered array of structs.
 
     A key with more than ``max_rows`` children gets several rows, ``part`` 0, 1, …, each with the
     next stretch of the children: no group is ever gathered whole by one task, and nothing is
-    dropped. Ordinary keys have part 0 only. ``largest`` is the largest number of children, if it
-    is known already.
+    dropped. Ordinary keys have part 0 only.
     """
-    kept = df.select(*dict.fromkeys([*keys, *order, *fields]))
-    if (largest_group(kept, keys) if largest is None else largest) <= max_rows:
-        cut = kept.withColumn(part, F.lit(0).cast("long"))
-    else:
-        numbered = number_within(kept, keys, order, "_n")
-        cut = numbered.withColumn(part, F.floor((F.col("_n") - 1) / max_rows).cast("long")).drop("_n")
+    kept = df.select(*dict.fromkeys([*keys, *order, *fields])).withColumn("_one", F.lit(1).cast("long"))
+    cut = sum_before(kept, keys, order, "_one", "_before").withColumn(part, F.floor(F.col("_before") / max_rows).cast("long"))
     rank = [p for c in order for p in (F.col(c).isNull(), F.col(c))]
     item = F.struct(F.struct(*rank).alias("_rank"), F.struct(*fields).alias("_item"))
     grouped = cut.groupBy(*keys, part).agg(F.array_sort(F.collect_list(item)).alias(into))
@@ -42,22 +105,6 @@ def unnest(df: DataFrame, column: str, keep: Sequence[str], outer: bool = False)
     return df.select(*keep, rows)
 
 
-def attach_nests(df: DataFrame, key: str, nests: Mapping[str, DataFrame], part: str) -> DataFrame:
-    """Attach nested children to their parents and mark continuation rows in ``part``.
-
-    All nests are aligned by (key, part), so a parent repeats only for its own continuations and
-    an array that is used up is null there.
-    """
-    aligned = None
-    for frame in nests.values():
-        renamed = frame.withColumnsRenamed({"Part": "_part", key: "_key"})
-        aligned = renamed if aligned is None else null_safe_join(aligned, renamed, ["_key", "_part"], "full")
-    if aligned is None:
-        return df.withColumn(part, F.lit(0).cast("long"))
-    joined = df.join(aligned, F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined.withColumn(part, F.coalesce("_part", F.lit(0).cast("long"))).drop("_key", "_part")
-
-
 # ----- complete -------------------------------------------------------------------------
 def _fetch_levels(levels: DataFrame, max_levels: int) -> DataFrame | None:
     """All levels as one row with one array, or None if there are more than ``max_levels``.
@@ -159,19 +206,6 @@ def pivot_wide(df: DataFrame, keys: Sequence[str], names_from: str, measures: Se
     return df.groupBy(*keys).agg(*[pick.alias(name) for name, pick in picks.items()])
 
 
-def pivot_values(df: DataFrame, names_from: str, limit: int = 1000) -> list[str]:
-    """The distinct values that become columns, sorted. More than ``limit`` is an error."""
-    rows = df.select(names_from).where(F.col(names_from).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{names_from} has over {limit} values; they cannot all become columns")
-    return sorted(row[0] for row in rows)
-
-
-def split_by(df: DataFrame, key: str, values: Sequence[object]) -> dict[object, DataFrame]:
-    """One lazily filtered frame per key value."""
-    return {value: df.where(F.col(key) == value) for value in values}
-
-
 def split_codes(df: DataFrame, codes: str, into: str) -> DataFrame:
     """One row per space-separated code."""
     return df.withColumn(into, F.explode(F.split(F.trim(codes), " +"))).where(F.col(into) != "")

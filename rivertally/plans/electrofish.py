@@ -16,9 +16,11 @@ from rivertally.functions.times import on_day_of, wall_clock
 from rivertally.operators import quality as qc
 from rivertally.operators.joins import lookup, natural_join, null_safe_join, without_keys
 from rivertally.operators.ordered import fill_down, largest_group, last_index, number_rows
-from rivertally.operators.reshape import MAX_ARRAY_ROWS, attach_nests, nest
+from rivertally.operators.reshape import Children, attach_children, weight_of
 from rivertally.session import durable
-from rivertally.sources.tables import append_guarded, conform, stamp_upload, union_like
+from rivertally.sources.store import Loaded, append_all
+from rivertally.sources.tables import conform, stamp_upload, union_like
+from rivertally.sources.validation import load_checked
 
 Tables = Mapping[str, DataFrame]
 
@@ -136,11 +138,11 @@ def stage_electrofish(raw: Tables, reach_river: DataFrame, study: str, target: s
 
 
 # ----- facts ----------------------------------------------------------------------------------
-def nest_tags(staged: Tables, key: str = "key_aa") -> tuple[dict[str, DataFrame], bool]:
-    """Pit tags, floy tags and vials as arrays per fish, and whether any fish fits one row."""
-    shapes = {}
+def tag_children(staged: Tables, key: str = "key_aa") -> dict[str, Children]:
+    """Pit tags, floy tags and vials of the fish."""
+    found = {}
     if "pittag" in staged:
-        shapes["PitTag"] = staged["pittag"].select(
+        found["PitTag"] = staged["pittag"].select(
             key,
             F.col("pit_num").alias("PitTagString"),
             c.yes_no("pit_recap").alias("IsPitTagRecapture"),
@@ -148,7 +150,7 @@ def nest_tags(staged: Tables, key: str = "key_aa") -> tuple[dict[str, DataFrame]
             F.col("pit_notes").alias("Notes"),
         )
     if "floytag" in staged:
-        shapes["FloyTag"] = staged["floytag"].select(
+        found["FloyTag"] = staged["floytag"].select(
             key,
             F.col("floy_num").alias("FloyTagString"),
             F.col("floy_color").alias("FloyTagColorCode"),
@@ -156,23 +158,26 @@ def nest_tags(staged: Tables, key: str = "key_aa") -> tuple[dict[str, DataFrame]
             F.col("floy_notes").alias("Notes"),
         )
     if "vial" in staged:
-        shapes["Vial"] = staged["vial"].select(
+        found["Vial"] = staged["vial"].select(
             key,
             F.col("vial_num").alias("VialString"),
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("Notes"),
         )
-    sizes = {name: largest_group(rows, [key]) for name, rows in shapes.items()}
-    nests = {
-        name: nest(rows, [key], rows.columns[1:], name, rows.columns[1:2], largest=sizes[name])
-        for name, rows in shapes.items()
-    }
-    return nests, all(size <= MAX_ARRAY_ROWS for size in sizes.values())
+    return {name: Children(rows, rows.columns[1:], rows.columns[1:2]) for name, rows in found.items()}
+
 
+def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECIES, max_weight: int | None = None) -> DataFrame:
+    """Nested facts from proofed staging tables: tags in fish, fish and water in sites.
 
-def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECIES) -> DataFrame:
-    """Nested facts from proofed staging tables: tags in fish, fish and water in sites."""
-    tables = {name: c.drop_matching(df, fixed.FLAG_OR_INDEX_COLUMNS) for name, df in staged.items()}
+    ``FishNumber`` tells the fish of a batch apart; a fish with very many tags has several elements with one number. What a required column
+    lacks is left missing; see ``load_electrofish``.
+    """
+    fish_number = "f_index"
+    tables = {
+        name: c.drop_matching(df.withColumn("_number", F.col(fish_number)) if name == "fish" else df, fixed.FLAG_OR_INDEX_COLUMNS)
+        for name, df in staged.items()
+    }
     site = tables["site"].select(
         F.col("site_id").alias("SiteID"),
         F.col("project").alias("StudyCode"),
@@ -188,7 +193,7 @@ def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECI
         F.col("crew").alias("CrewNames"),
         F.col("site_notes").alias("Notes"),
     )
-    nests = {}
+    children = {}
     if "water_qual" in tables:
         water = tables["water_qual"].select(
             F.col("site_id").alias("SiteID"),
@@ -198,15 +203,12 @@ def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECI
             F.col("secchi").alias("SecchiDepthMain_mm"),
             F.col("water_notes").alias("Notes"),
         )
-        nests["WaterQuality"] = nest(water, ["SiteID"], water.columns[1:], "WaterQuality", water.columns[1:])
+        children["WaterQuality"] = Children(water, water.columns[1:], water.columns[1:])
     if "fish" in tables:
         fish = tables["fish"].where("key_aa IS NOT NULL")
         fish = c.with_missing(fish, {"st_length": "long"})
-        tags, whole = nest_tags(tables)
-        # A fish repeats only if its tags overflow; else the plain fish tell the largest site.
-        largest = largest_group(fish, ["site_id"]) if whole else None
-        fish = attach_nests(fish, "key_aa", tags, "FishPart")
-        arrays = [n for n in ("PitTag", "FloyTag", "Vial") if n in fish.columns]
+        tags = tag_children(tables)
+        fish = attach_children(fish, tags, "key_aa", max_weight)
         fish = fish.select(
             F.col("site_id").alias("SiteID"),
             F.col("datetime").alias("EncounterDateTime_UTC"),
@@ -226,25 +228,24 @@ def electrofish_facts(staged: Tables, native: Sequence[str] = fixed.NATIVE_SPECI
             F.col("loc_y").alias("EncounterNorthing_UTM"),
             F.col("epsg").alias("EncounterEPSGCode"),
             F.col("fish_notes").alias("Notes"),
-            *arrays,
-            "FishPart",
-            "key_aa",
+            *tags,
+            F.col("_number").cast("long").alias("FishNumber"),
+            "Part",
+            "Parts",
         )
-        fields = [n for n in fish.columns if n not in ("SiteID", "key_aa", "FishPart")]
-        shaped = fish.withColumn(
-            "_fish", F.struct(*fields, F.col("FishPart").alias("Part"))
-        ).select("SiteID", "EncounterDateTime_UTC", "key_aa", "FishPart", "_fish")
-        order = ["EncounterDateTime_UTC", "key_aa", "FishPart"]
-        nested = nest(shaped, ["SiteID"], ["_fish"], "FishData", order, largest=largest)
-        nests["FishData"] = nested.withColumn("FishData", F.transform("FishData", lambda item: item["_fish"]))
-    full = attach_nests(site, "SiteID", nests, "Part")
-    return conform(full, schemas.F_ELECTROFISH)
+        fields = [n for n in fish.columns if n != "SiteID"]
+        weighed = fish.withColumn("_weight", weight_of(*tags))
+        children["FishData"] = Children(weighed, fields, ["EncounterDateTime_UTC", "FishNumber", "Part"], "_weight")
+    return conform(attach_children(site, children, "SiteID", max_weight), schemas.F_ELECTROFISH)
 
 
-def load_electrofish(staged: Tables, path: str, native: Sequence[str] = fixed.NATIVE_SPECIES) -> None:
-    """Nest and append, unless a site of the batch is already stored."""
-    facts = electrofish_facts(staged, native)
-    append_guarded(facts.withColumn("Year", F.year("StartDateTime_UTC").cast("long")), path)
+def load_electrofish(staged: Tables, path: str, rejects: str | None = None, native: Sequence[str] = fixed.NATIVE_SPECIES, max_weight: int | None = None, skip_repeats: bool = False) -> DataFrame:
+    """Nest and append, unless a site of the batch is already stored; returns the rows that lack a required value.
+
+    Those rows go, with the names of what they lack, to ``rejects`` (beside the facts, if not named) and not to the facts.
+    """
+    facts = electrofish_facts(staged, native, max_weight).withColumn("Year", F.year("StartDateTime_UTC").cast("long"))
+    return load_checked(facts, schemas.F_ELECTROFISH, path, rejects, skip_repeats=skip_repeats)
 
 
 # ----- flat load and vial extract -------------------------------------------------------------
@@ -270,6 +271,12 @@ def finalise_for_load(staged: Tables, stored_site: DataFrame | None) -> dict[str
     return out
 
 
+def load_flat(staged: Tables, root: str) -> Loaded:
+    """Append the flat tables under the next upload number; the same tables again, in any order of rows, change nothing."""
+    flat = finalise_for_load(staged, None)
+    return append_all({name: df.drop("upload_id") for name, df in flat.items()}, root)
+
+
 def vial_extract(site: DataFrame, fish: DataFrame, vials: DataFrame, tags: DataFrame | None = None, fixes: DataFrame | None = None) -> dict[str, DataFrame]:
     """Fish with vials, and the sites they came from.
 

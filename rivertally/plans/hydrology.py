@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rivertally import fixed_values as fixed
 from rivertally.functions.times import display_date
 from rivertally.operators.joins import natural_join, null_safe_join
-from rivertally.operators.reshape import nest
+from rivertally.operators.reshape import Children, attach_children
 from rivertally.operators.stats import across, day_of_extreme, quantiles
 
 StationRow = tuple[str, str, str, str]
@@ -45,8 +45,11 @@ def waterdata(values: DataFrame, stations: Sequence[StationRow] = fixed.STATIONS
     return tagged if reach else tagged.drop("_reach")
 
 
-def station_facts(series: DataFrame, stations: DataFrame) -> DataFrame:
-    """Nested hydrology facts from flat series; ``stations`` holds the station columns."""
+def station_facts(series: DataFrame, stations: DataFrame, max_weight: int | None = None) -> DataFrame:
+    """Nested hydrology facts from flat series; ``stations`` holds the station columns.
+
+    A station with a very long series has several rows, numbered in ``Part``; ``merge_parts`` puts them together.
+    """
     flat = series.select(
         F.col("staid").alias("StationID"),
         F.col("date").cast("timestamp_ntz").alias("ObservationDateTime_Local"),
@@ -54,8 +57,7 @@ def station_facts(series: DataFrame, stations: DataFrame) -> DataFrame:
         F.col("temp").cast("double").alias("WaterTemperature_C"),
     )
     fields = ["ObservationDateTime_Local", "Discharge_CFS", "WaterTemperature_C"]
-    nested = nest(flat, ["StationID"], fields, "WaterData", ["ObservationDateTime_Local"])
-    return stations.join(nested, "StationID", "left")
+    return attach_children(stations, {"WaterData": Children(flat, fields, ["ObservationDateTime_Local"])}, "StationID", max_weight)
 
 
 def water_summary(water: DataFrame, river: str = "cd_rvr", display: bool = True) -> DataFrame:

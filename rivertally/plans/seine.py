@@ -16,9 +16,10 @@ from rivertally.functions.times import parse_date, wall_clock
 from rivertally.operators.joins import lookup, null_safe_join, union_all, without_keys
 from rivertally.operators.ordered import largest_group, last_index, number_rows, number_within
 from rivertally.operators.quality import attach_site
-from rivertally.operators.reshape import MAX_ARRAY_ROWS, attach_nests, nest, pivot_wide
+from rivertally.operators.reshape import Children, attach_children, pivot_wide, weight_of
 from rivertally.session import durable
-from rivertally.sources.tables import append_guarded, conform, union_like
+from rivertally.sources.tables import conform, union_like
+from rivertally.sources.validation import load_checked
 
 Tables = Mapping[str, DataFrame]
 
@@ -175,8 +176,11 @@ def stage_seine(raw: Tables, reach_river: DataFrame, study: str, stored_site: Da
 
 
 # ----- facts ------------------------------------------------------------------------------------
-def seine_facts(staged: Tables) -> DataFrame:
-    """Nested facts from proofed staging tables: fish in hauls, hauls and water in sites."""
+def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
+    """Nested facts from proofed staging tables: fish in hauls, hauls and water in sites.
+
+    A haul with very many fish has several elements with one ``HaulID``.
+    """
     tables = {name: c.drop_matching(df, fixed.HELPER_COLUMNS) for name, df in staged.items()}
     source = tables["site"]
     water = source.select(
@@ -188,9 +192,9 @@ def seine_facts(staged: Tables) -> DataFrame:
         F.col("hab_secchi").isNull().alias("IsSecchiMaxDepth"),
         c.secchi_note("site_notes").alias("WaterQualityNotes"),
     )
-    nests = {"WaterQuality": nest(water, ["SiteID"], water.columns[1:], "WaterQuality", water.columns[1:])}
+    children = {"WaterQuality": Children(water, water.columns[1:], water.columns[1:])}
 
-    haul_nests, sizes = {}, [0]
+    in_hauls = {}
     if "fish" in tables:
         fish = c.kinds_to_text(tables["fish"], T.BooleanType)
         fish = fish.select(
@@ -203,9 +207,7 @@ def seine_facts(staged: Tables) -> DataFrame:
             F.col("photo_num").cast("string").alias("PhotoURLorID"),
             F.col("fish_notes").alias("FishEncounterNotes"),
         )
-        sizes.append(largest_group(fish, ["HaulID"]))
-        order = ["SpeciesCode", "TotalLength_mm"]
-        haul_nests["FishData"] = nest(fish, ["HaulID"], fish.columns[1:], "FishData", order, largest=sizes[-1])
+        in_hauls["FishData"] = Children(fish, fish.columns[1:], ["SpeciesCode", "TotalLength_mm"])
     if "vial" in tables:
         vial = tables["vial"].select(
             F.col("id_haul").alias("HaulID"),
@@ -213,10 +215,7 @@ def seine_facts(staged: Tables) -> DataFrame:
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("VialNotes"),
         )
-        sizes.append(largest_group(vial, ["HaulID"]))
-        haul_nests["HaulVial"] = nest(
-            vial, ["HaulID"], vial.columns[1:], "HaulVial", ["VialString"], largest=sizes[-1]
-        )
+        in_hauls["HaulVial"] = Children(vial, vial.columns[1:], ["VialString"])
 
     hauls = tables["haul"]
     depth = [F.col(name).alias(field) for name, field in DEPTH_FIELDS.items() if name in hauls.columns]
@@ -235,13 +234,10 @@ def seine_facts(staged: Tables) -> DataFrame:
         F.col("haul_notes").alias("HaulNotes"),
         *depth,
     )
-    # A haul repeats only if its fish or vials overflow; else the plain hauls tell the largest site.
-    largest = largest_group(hauls, ["SiteID"]) if max(sizes) <= MAX_ARRAY_ROWS else None
-    hauls = attach_nests(c.yes_no_columns(hauls), "HaulID", haul_nests, "HaulPart")
-    fields = [n for n in hauls.columns if n not in ("SiteID", "HaulPart")]
-    shaped = hauls.select("SiteID", "HaulID", "HaulPart", F.struct(*fields, F.col("HaulPart").alias("Part")).alias("_haul"))
-    nested = nest(shaped, ["SiteID"], ["_haul"], "HaulData", ["HaulID", "HaulPart"], largest=largest)
-    nests["HaulData"] = nested.withColumn("HaulData", F.transform("HaulData", lambda item: item["_haul"]))
+    hauls = attach_children(c.yes_no_columns(hauls), in_hauls, "HaulID", max_weight)
+    fields = [n for n in hauls.columns if n != "SiteID"]
+    weighed = hauls.withColumn("_weight", weight_of(*in_hauls))
+    children["HaulData"] = Children(weighed, fields, ["HaulID", "Part"], "_weight")
 
     site = source.select(
         F.col("id_site").alias("SiteID"),
@@ -262,10 +258,13 @@ def seine_facts(staged: Tables) -> DataFrame:
         F.col("crew").alias("CrewNames"),
         F.col("site_notes").alias("SiteNotes"),
     )
-    return conform(attach_nests(site, "SiteID", nests, "Part"), schemas.F_SEINE)
+    return conform(attach_children(site, children, "SiteID", max_weight), schemas.F_SEINE)
 
 
-def load_seine(staged: Tables, path: str) -> None:
-    """Nest and append, unless a site of the batch is already stored."""
-    facts = seine_facts(staged)
-    append_guarded(facts.withColumn("Year", F.year("SiteDate_Local").cast("long")), path)
+def load_seine(staged: Tables, path: str, rejects: str | None = None, max_weight: int | None = None, skip_repeats: bool = False) -> DataFrame:
+    """Nest and append, unless a site of the batch is already stored; returns the rows that lack a required value.
+
+    Those rows go, with the names of what they lack, to ``rejects`` (beside the facts, if not named) and not to the facts.
+    """
+    facts = seine_facts(staged, max_weight).withColumn("Year", F.year("SiteDate_Local").cast("long"))
+    return load_checked(facts, schemas.F_SEINE, path, rejects, skip_repeats=skip_repeats)

@@ -19,10 +19,6 @@ from rivertally.session import durable
 log = logging.getLogger(__name__)
 
 
-class DuplicateKeys(ValueError):
-    """An incoming batch holds keys that the store already has."""
-
-
 # ----- reading ----------------------------------------------------------------------
 def union_like(tables: Mapping[str, DataFrame], kind: str) -> DataFrame | None:
     """All landed tables whose name contains ``kind``, as one; None (and a message) if there are none."""
@@ -43,8 +39,8 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def scan(spark: SparkSession, path: str, study: str | None = None, year: int | None = None) -> DataFrame:
-    """A stored table, restricted to a study and a year (the partition column)."""
-    df = spark.read.parquet(path)
+    """A stored table, restricted to a study and a year (a partition column)."""
+    df = spark.read.parquet(path).drop("batch")
     if study is not None:
         df = df.where(F.col("StudyCode") == study)
     if year is not None:
@@ -87,20 +83,6 @@ def write_dim(df: DataFrame, path: str) -> None:
     durable(df).write.mode("overwrite").parquet(path)
 
 
-def append_guarded(df: DataFrame, path: str, key: str = "SiteID", partition: str | None = "Year") -> None:
-    """Append a batch, or refuse all of it if any of its keys is already stored."""
-    stored = read_if_present(df.sparkSession, path)
-    if stored is not None:
-        clash = stored.select(key).join(df.select(key).distinct(), key, "left_semi").limit(1)
-        if not clash.isEmpty():
-            raise DuplicateKeys(f"{path} already holds {key} values of this batch; nothing was written")
-    if partition is None:
-        df.write.mode("append").parquet(path)
-        return
-    # Even files: small partition values are put together, large ones split.
-    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
-
-
 def stage(tables: Mapping[str, DataFrame | None], root: str) -> list[str]:
     """Append each table that has rows to its folder below ``root``; returns the names written.
 
@@ -171,7 +153,7 @@ def _shaped(value: Column, have: T.DataType, want: T.DataType) -> Column:
 def conform(df: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
     """Cast and reorder to a fact schema: extras drop, absent columns are null, arrays never null.
 
-    A null in a required column fails the job that meets it.
+    A null in a required column stays; ``validation.failed_constraints`` tells of it.
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     columns = []
@@ -180,8 +162,5 @@ def conform(df: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> Da
             made = _shaped(F.col(field.name), present[field.name], field.dataType)
         else:
             made = _shaped(F.lit(None), T.NullType(), field.dataType)
-        if not field.nullable:
-            failure = F.raise_error(F.lit(f"{field.name} is required")).cast(field.dataType)
-            made = F.coalesce(made, failure)
         columns.append(made.alias(field.name))
     return df.select(*columns, *keep)

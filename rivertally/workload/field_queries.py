@@ -1,7 +1,7 @@
 """Queries of the staging, fact-load, product and source/sink compositions.
 
 Raw collection tables are derived from the whole driver tables: orders are electrofishing sites and
-seine hauls, customers are seine sites, line items (one per order and line number) are fish.
+seine hauls, customers are seine sites, line items (every one of them) are fish.
 """
 
 from __future__ import annotations
@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from rivertally import schemas
 from rivertally.functions import cleaning as c
-from rivertally.plans import electrofish, products, reports, seine
+from rivertally.operators.ordered import number_within
+from rivertally.operators.reshape import merge_parts
+from rivertally.plans import electrofish, products, reports, seine, views
 from rivertally.session import durable, new_folder
+from rivertally.sources import store
 from rivertally.sources import tables as io
+from rivertally.sources.validation import FAILED
 from rivertally.workload import standins as s
 from rivertally.workload.registry import hours_sql, per, query, rounded
 
@@ -56,19 +60,29 @@ def _raw_site(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order and line number."""
-    return s.table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"), F.min("l_quantity").cast("long").alias("qty"),
-        F.min("l_returnflag").alias("flag"),
+    """All line items, with a key of their own: order, line number, and a number among the lines that share both."""
+    numbered = number_within(s.table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], [], "copy")
+    return numbered.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.concat_ws("-", *[F.col(n).cast("string") for n in ("l_orderkey", "l_linenumber", "copy")]).alias("line_key"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supp"),
+        F.col("l_quantity").cast("long").alias("qty"),
+        F.col("l_returnflag").alias("flag"),
     )
 
 
+def _line_key(letter: str) -> Column:
+    return F.concat_ws("-", F.lit(letter), "line_key")
+
+
 def _raw_fish(spark: SparkSession, folder: str) -> DataFrame:
     species = s.species_of_parts(spark, folder).withColumnRenamed("l_partkey", "part")
     line, part = F.col("l_linenumber"), F.col("part")
     return _lines(spark, folder).join(species, "part").select(
         _key("l_orderkey").alias("key_a"),
-        F.concat_ws("-", F.lit("f"), F.col("l_orderkey").cast("string"), line.cast("string")).alias("key_aa"),
+        _line_key("f").alias("key_aa"),
         _clock((line * 10007 + part) % 86400).alias("time"),
         (part % 120).cast("double").alias("rmi"),
         F.coalesce("species", F.lit("Z")).alias("species"),
@@ -90,8 +104,8 @@ def _raw_pit(spark: SparkSession, folder: str) -> DataFrame:
     number = F.when(line % 2 == 0, F.concat(F.lit("3d9.abc"), F.lpad((F.col("part") % 10**7).cast("string"), 7, "0")))
     return _lines(spark, folder).select(
         _key("l_orderkey").alias("key_a"),
-        F.concat_ws("-", F.lit("f"), F.col("l_orderkey").cast("string"), line.cast("string")).alias("key_aa"),
-        F.concat_ws("-", F.lit("p"), F.col("l_orderkey").cast("string"), line.cast("string")).alias("key_aaa"),
+        _line_key("f").alias("key_aa"),
+        _line_key("p").alias("key_aaa"),
         F.when(line % 4 == 0, "134").otherwise("400").alias("pit_type"),
         number.alias("pit_num"),
         F.when(F.col("flag") == "A", "Y").when(F.col("flag") == "N", "NNF").otherwise("Z").alias("pit_recap"),
@@ -99,6 +113,31 @@ def _raw_pit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _raw_floy(spark: SparkSession, folder: str) -> DataFrame:
+    line = F.col("l_linenumber")
+    return _lines(spark, folder).select(
+        _key("l_orderkey").alias("key_a"),
+        _line_key("f").alias("key_aa"),
+        _line_key("y").alias("key_aab"),
+        F.lit("id").alias("floy_id"),
+        F.when(line % 2 == 0, "R").otherwise("Z").alias("floy_color"),
+        F.when(line % 3 != 2, F.col("supp").cast("string")).alias("floy_num"),
+        F.when(F.col("flag") == "A", "Y").when(F.col("flag") == "N", "N").otherwise("Z").alias("floy_recap"),
+        F.when(line == 1, "torn").otherwise("Z").alias("floy_notes"),
+    )
+
+
+def _raw_vial(spark: SparkSession, folder: str) -> DataFrame:
+    return _lines(spark, folder).where("l_linenumber = 3").select(
+        _key("l_orderkey").alias("key_a"),
+        _line_key("f").alias("key_aa"),
+        _line_key("v").alias("key_aac"),
+        _key("part", "v").alias("vial_num"),
+        F.lit("fin").alias("vial_type"),
+        F.lit("Z").alias("vial_notes"),
+    )
+
+
 def _raw_water(spark: SparkSession, folder: str) -> DataFrame:
     return s.table(spark, folder, "orders").select(
         _key("o_orderkey").alias("key_a"),
@@ -119,7 +158,7 @@ def _stored(spark: SparkSession, folder: str) -> DataFrame:
 def _stage(spark: SparkSession, folder: str, *kinds: str) -> dict[str, DataFrame]:
     site = _raw_site(spark, folder)
     raw = {"site": site.where("PASS = 'F'"), "site2": site.where("PASS <> 'F'")}
-    makers = {"fish": _raw_fish, "pittag": _raw_pit, "water": _raw_water}
+    makers = {"fish": _raw_fish, "pittag": _raw_pit, "floytag": _raw_floy, "vial": _raw_vial, "water": _raw_water}
     raw |= {kind: durable(makers[kind](spark, folder)) for kind in kinds}  # as landed
     return electrofish.stage_electrofish(raw, _reach_river(spark), "123d", "SM", _stored(spark, folder))
 
@@ -130,6 +169,9 @@ def _proofed(spark: SparkSession, staged: dict[str, DataFrame]) -> dict[str, Dat
     return io.read_staged(spark, root, io.stage(staged, root))
 
 
+_LINE_SQL = """line AS (SELECT l_orderkey, l_linenumber, l_partkey AS part, l_suppkey AS supp, CAST(l_quantity AS BIGINT) AS qty, l_returnflag AS flag,
+    concat_ws('-', l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) AS line_key FROM lineitem)"""
 _REACH_CASE = s._case("o_custkey % 7", s.REACHES)
 _SITE_SQL = f"""WITH r AS (SELECT 'a' || CAST(o_orderkey AS VARCHAR) AS key_a, o_orderkey, o_custkey, o_orderstatus AS pass, {_REACH_CASE} AS reach,
     o_orderdate + to_seconds(o_orderkey % 80000) AS startdatetime, o_orderdate + to_seconds(o_orderkey % 80000 + o_orderkey % 3600) AS enddatetime,
@@ -140,8 +182,8 @@ site AS (SELECT (SELECT max(o_orderkey) FROM orders WHERE o_orderdate < TIMESTAM
     m + CASE WHEN reach IN ('DESO', 'ECHO') THEN 120 ELSE 0 END AS start_rmi, m - o_custkey % 8 + 1 + CASE WHEN reach IN ('DESO', 'ECHO') THEN 120 ELSE 0 END AS end_rmi,
     CASE WHEN o_orderkey % 5 <> 0 THEN 'R' END AS shoreline FROM r),
 s AS (SELECT *, printf('123d_%d_%03d', year, s_index) AS site_id FROM site),
-line AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, max(l_suppkey) AS supp, CAST(min(l_quantity) AS BIGINT) AS qty, min(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
-f AS (SELECT 'f-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key_aa, s.*, line.*, {s._SPECIES} AS species,
+{_LINE_SQL},
+f AS (SELECT 'f-' || line_key AS key_aa, s.*, line.*, {s._SPECIES} AS species,
     CAST(CAST(enddatetime AS DATE) AS TIMESTAMP) + to_seconds((l_linenumber * 10007 + part) % 86400) AS datetime,
     CAST(part % 120 AS DOUBLE) + CASE WHEN reach IN ('DESO', 'ECHO') THEN 120 ELSE 0 END AS rmi,
     nullif(qty * 13 % 1300, 0) AS tot_length, nullif(supp % 9 * 400, 0) AS weight, {s._case('flag', s.DISPOSITIONS)} AS disp
@@ -197,41 +239,99 @@ def stage_pittag(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _electrofish(spark: SparkSession, folder: str, *kinds: str, max_weight: int | None = None) -> DataFrame:
+    """Facts of the whole batch, accepted and rejected, read back from where they were loaded to."""
+    staged = _proofed(spark, _stage(spark, folder, *kinds))
+    path = new_folder(spark, "facts")
+    rejected = electrofish.load_electrofish(staged, path, max_weight=max_weight)
+    return io.scan(spark, path).unionByName(rejected.drop("batch"), allowMissingColumns=True)
+
+
+def _failed() -> Column:
+    return F.coalesce(F.array_join(FAILED, ", "), F.lit("")).alias("failed")
+
+
 @query(
     _SITE_SQL
     + """, x AS (SELECT s_index, count(*) AS n_fish, CAST(sum(tot_length) AS BIGINT) AS lengths, count(*) FILTER (l_linenumber % 3 = 0) AS ripe,
     count(*) FILTER (species IN ('CS', 'RZ', 'BT') AND l_linenumber % 2 = 0) AS tuberculate, CAST(sum(CASE WHEN l_linenumber % 4 <> 0 THEN 11 END) AS BIGINT) AS anal_rays,
-    count(*) FILTER (l_linenumber % 2 = 0) AS tags, count(*) FILTER (l_linenumber % 2 = 0 AND flag = 'A') AS recaptures FROM f GROUP BY 1)
-SELECT site_id AS "SiteID", river AS "RiverCode", el_sec AS "Effort_Seconds", nullif(o_custkey % 10 * 100, 0) AS conductivity, coalesce(n_fish, 0) AS n_fish, coalesce(lengths, 0) AS lengths,
-    coalesce(ripe, 0) AS ripe, coalesce(tuberculate, 0) AS tuberculate, coalesce(anal_rays, 0) AS anal_rays, coalesce(tags, 0) AS tags, coalesce(recaptures, 0) AS recaptures
-FROM s LEFT JOIN x USING (s_index) WHERE river IS NOT NULL"""
+    count(*) FILTER (l_linenumber % 2 = 0) AS tags, count(*) FILTER (l_linenumber % 2 = 0 AND flag = 'A') AS recaptures,
+    count(*) FILTER (l_linenumber % 3 <> 2) AS floys, count(*) FILTER (l_linenumber = 3) AS vials FROM f GROUP BY 1)
+SELECT site_id AS "SiteID", '123d' AS "StudyCode", river AS "RiverCode", pass AS "PassIdentifier", start_rmi AS "StartLocation_BelknapMiles", end_rmi AS "EndLocation_BelknapMiles",
+    startdatetime AS "StartDateTime_UTC", enddatetime AS "EndDateTime_UTC", shoreline AS "Shoreline", el_sec AS "Effort_Seconds", 'boat' AS "BoatName", 'crew' AS "CrewNames",
+    CAST(NULL AS VARCHAR) AS "Notes", CASE WHEN river IS NULL THEN 'RiverCode is required' ELSE '' END AS failed,
+    CAST(1 AS BIGINT) AS water, nullif(o_custkey % 10 * 100, 0) AS ambient, nullif(o_custkey % 7 * 100, 0) AS specific, nullif(CAST(o_orderkey % 25 AS DOUBLE), 0) AS temperature, nullif(o_orderkey % 40 * 10, 0) AS secchi,
+    coalesce(n_fish, 0) AS n_fish, coalesce(lengths, 0) AS lengths, coalesce(ripe, 0) AS ripe, coalesce(tuberculate, 0) AS tuberculate, coalesce(anal_rays, 0) AS anal_rays,
+    coalesce(tags, 0) AS tags, coalesce(recaptures, 0) AS recaptures, coalesce(floys, 0) AS floys, coalesce(vials, 0) AS vials
+FROM s LEFT JOIN x USING (s_index)"""
 )
 def electrofish_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested facts from raw tables, read back as totals per site."""
-    staged = _proofed(spark, _stage(spark, folder, "fish", "pittag", "water"))
-    staged["site"] = staged["site"].where("river IS NOT NULL")
-    facts = electrofish.electrofish_facts(staged)
+    """Nested facts from raw tables: every site, accepted or rejected, with its water and the totals of its fish and tags."""
+    facts = _electrofish(spark, folder, "fish", "pittag", "floytag", "vial", "water")
 
     def added(value) -> Column:
-        return F.aggregate("FishData", F.lit(0).cast("long"), lambda total, fish: total + F.coalesce(value(fish).cast("long"), F.lit(0)))
+        return F.sum(F.aggregate("FishData", F.lit(0).cast("long"), lambda total, fish: total + F.coalesce(value(fish).cast("long"), F.lit(0))))
+
+    water = F.col("WaterQuality")
+    totals = {
+        "water": F.sum(F.size(water)),
+        "ambient": F.max(F.try_element_at(water, F.lit(1))["AmbientConductivityMain_uS"]),
+        "specific": F.max(F.try_element_at(water, F.lit(1))["SpecificConductivityMain_uS"]),
+        "temperature": F.max(F.try_element_at(water, F.lit(1))["WaterTemperatureMain_C"]),
+        "secchi": F.max(F.try_element_at(water, F.lit(1))["SecchiDepthMain_mm"]),
+        "n_fish": added(lambda fish: fish["Part"] == 0),
+        "lengths": added(lambda fish: F.when(fish["Part"] == 0, fish["TotalLength_mm"])),
+        "ripe": added(lambda fish: fish["IsRipe"]),
+        "tuberculate": added(lambda fish: fish["IsTuberculate"]),
+        "anal_rays": added(lambda fish: fish["AnalRayCount"]),
+        "tags": added(lambda fish: F.size(fish["PitTag"])),
+        "recaptures": added(lambda fish: F.size(F.filter(fish["PitTag"], lambda tag: tag["IsPitTagRecapture"]))),
+        "floys": added(lambda fish: F.size(fish["FloyTag"])),
+        "vials": added(lambda fish: F.size(fish["Vial"])),
+    }
+    return facts.groupBy(*_plain_times(views.SITE_COLUMNS), _failed()).agg(*[value.cast("long").alias(name) if name != "temperature" else value.alias(name) for name, value in totals.items()])
+
+
+def _plain_times(names: list[str]) -> list[Column]:
+    """Columns, with instants as civil times, as the checking engine has them."""
+    return [F.col(n).cast("timestamp_ntz").alias(n) if "DateTime" in n else F.col(n) for n in names]
+
+
+_TAG_SQL = """, t AS (SELECT *, row_number() OVER (ORDER BY datetime, key_aa) AS number FROM f),
+tag AS (SELECT site_id, number, species, 'PitTag' AS kind, '3D9.ABC' || lpad(CAST(part % 10000000 AS VARCHAR), 7, '0') AS string, CASE WHEN l_linenumber % 4 = 0 THEN '134' ELSE '400' END AS code,
+        CASE flag WHEN 'A' THEN true END AS again, CAST(NULL AS VARCHAR) AS notes FROM t WHERE l_linenumber % 2 = 0
+    UNION ALL SELECT site_id, number, species, 'FloyTag', CAST(supp AS VARCHAR), CASE WHEN l_linenumber % 2 = 0 THEN 'R' END, CASE flag WHEN 'A' THEN true WHEN 'N' THEN false END,
+        CASE WHEN l_linenumber = 1 THEN 'torn' END FROM t WHERE l_linenumber % 3 <> 2
+    UNION ALL SELECT site_id, number, species, 'Vial', 'v' || CAST(part AS VARCHAR), 'fin', NULL, NULL FROM t WHERE l_linenumber = 3)"""
 
-    tags = F.aggregate("FishData", F.lit(0).cast("long"), lambda total, fish: total + F.size(fish["PitTag"]))
-    again = F.aggregate(
-        "FishData", F.lit(0).cast("long"), lambda total, fish: total + F.size(F.filter(fish["PitTag"], lambda tag: tag["IsPitTagRecapture"]))
-    )
-    return facts.select(
-        "SiteID",
-        "RiverCode",
-        "Effort_Seconds",
-        F.try_element_at("WaterQuality", F.lit(1))["AmbientConductivityMain_uS"].alias("conductivity"),
-        F.size("FishData").cast("long").alias("n_fish"),
-        added(lambda fish: fish["TotalLength_mm"]).alias("lengths"),
-        added(lambda fish: fish["IsRipe"]).alias("ripe"),
-        added(lambda fish: fish["IsTuberculate"]).alias("tuberculate"),
-        added(lambda fish: fish["AnalRayCount"]).alias("anal_rays"),
-        tags.alias("tags"),
-        again.alias("recaptures"),
-    )
+
+@query(
+    _SITE_SQL
+    + _TAG_SQL
+    + """, n AS (SELECT number, count(*) FILTER (kind = 'PitTag') AS pits, count(*) FILTER (kind = 'FloyTag') AS floys, count(*) FILTER (kind = 'Vial') AS vials, min(string) AS least FROM tag GROUP BY 1)
+SELECT site_id AS "SiteID", '123d' AS "StudyCode", river AS "RiverCode", year AS "Year", datetime AS "EncounterDateTime_UTC", rmi AS "EncounterLocation_BelknapMiles", species AS "SpeciesCode", CAST(1 AS BIGINT) AS "FishCount",
+    tot_length AS "TotalLength_mm", CAST(NULL AS BIGINT) AS "StandardLength_mm", weight AS "Weight_g", 'F' AS "Sex", CASE l_linenumber % 3 WHEN 0 THEN true WHEN 1 THEN false END AS "IsRipe",
+    CASE WHEN species IN ('CS', 'RZ', 'BT') THEN l_linenumber % 2 = 0 END AS "IsTuberculate", CASE WHEN l_linenumber % 4 <> 0 THEN CAST(l_linenumber AS BIGINT) END AS "DorsalRayCount",
+    CASE WHEN l_linenumber % 4 <> 0 THEN CAST(11 AS BIGINT) END AS "AnalRayCount", disp AS "DispositionCode", CAST(NULL AS VARCHAR) AS "Notes",
+    coalesce(pits, 0) AS pits, coalesce(floys, 0) AS floys, coalesce(vials, 0) AS vials, least AS least_tag
+FROM t LEFT JOIN n USING (number)"""
+)
+def electrofish_fish(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fish of the facts with all its columns but the position, from facts cut into parts of two rows and put together again."""
+    fish = views.fish_view(_electrofish(spark, folder, "fish", "pittag", "floytag", "vial", max_weight=2))
+    strings = F.concat(F.col("PitTag")["PitTagString"], F.col("FloyTag")["FloyTagString"], F.col("Vial")["VialString"])
+    names = [
+        "SiteID", "StudyCode", "RiverCode", "Year", "EncounterDateTime_UTC", "EncounterLocation_BelknapMiles", "SpeciesCode", "FishCount", "TotalLength_mm", "StandardLength_mm",
+        "Weight_g", "Sex", "IsRipe", "IsTuberculate", "DorsalRayCount", "AnalRayCount", "DispositionCode", "Notes",
+    ]
+    counts = [F.size(a).cast("long").alias(n) for a, n in (("PitTag", "pits"), ("FloyTag", "floys"), ("Vial", "vials"))]
+    return fish.select(*_plain_times(names), *counts, F.array_min(strings).alias("least_tag"))
+
+
+@query(_SITE_SQL + _TAG_SQL + """SELECT site_id AS "SiteID", number AS "FishNumber", species AS "SpeciesCode", kind, string, code, again, notes FROM tag""")
+def electrofish_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pit tag, floy tag and vial of the facts, with its fish."""
+    return views.tag_view(_electrofish(spark, folder, "fish", "pittag", "floytag", "vial"))
 
 
 @query(
@@ -256,13 +356,7 @@ def season_river_summary(spark: SparkSession, folder: str) -> DataFrame:
 def vial_fish(spark: SparkSession, folder: str) -> DataFrame:
     """Fish with vials, with positions filled down inside their site."""
     staged = _stage(spark, folder, "fish")
-    vials = _lines(spark, folder).where("l_linenumber = 3").select(
-        _key("l_orderkey").alias("key_a"),
-        F.concat_ws("-", F.lit("f"), F.col("l_orderkey").cast("string"), F.lit("3")).alias("key_aa"),
-        _key("part", "v").alias("vial_num"),
-        F.lit("fin").alias("vial_type"),
-        F.lit(None).cast("string").alias("vial_notes"),
-    )
+    vials = c.null_text(_raw_vial(spark, folder))
     out = electrofish.vial_extract(staged["site"], staged["fish"].where("key_aa IS NOT NULL"), vials)["fish"]
     return out.select("site_id", "river", "reach", "species", "tot_length", "vial_num")
 
@@ -320,7 +414,7 @@ def _raw_seine(spark: SparkSession, folder: str, *kinds: str) -> dict[str, DataF
     base = [F.col("key_a"), _key("l_orderkey", "h").alias("key_aa")]
     fish = lines.where("l_linenumber <= 3").select(
         *base,
-        F.concat_ws("-", F.lit("x"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key_aaa"),
+        _line_key("x").alias("key_aaa"),
         "species",
         (F.col("qty") % 40).alias("tot_length"),
         (F.col("qty") % 3).alias("weight"),
@@ -348,7 +442,7 @@ keys AS (SELECT times.*, s_idx, printf('160se_2021_%03d', s_idx) AS id_site, row
     row_number() OVER (ORDER BY ts, 'h' || CAST(o_orderkey AS VARCHAR)) AS h_idx FROM times JOIN firsts USING (o_custkey)),
 k AS (SELECT keys.*, printf('%s.%02d', id_site, n) AS id_haul, c_mktsegment AS pass, {s._case('c_nationkey % 7', s.REACHES)} AS cd_rch FROM keys JOIN customer ON o_custkey = c_custkey),
 h AS (SELECT * FROM k WHERE o_orderkey % 11 > 0 AND o_orderkey % 7 > 0 AND o_orderkey % 5 > 0),
-line AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, CAST(min(l_quantity) AS BIGINT) AS qty, min(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
+{_LINE_SQL},
 lf AS (SELECT line.*, {s._SPECIES} AS species, {s._case('flag', s.DISPOSITIONS)} AS disp FROM line JOIN part ON part = p_partkey),
 f AS (SELECT k.*, species AS cd_spp, CAST(1 AS BIGINT) AS n_fish, nullif(qty % 40, 0) AS tot_length, disp AS cd_disp FROM lf JOIN k ON l_orderkey = o_orderkey WHERE l_linenumber <= 3
     UNION ALL SELECT k.*, species, n_fish, NULL, disp FROM (SELECT l_orderkey, species, disp, CAST(sum(qty) AS BIGINT) AS n_fish FROM lf WHERE l_linenumber > 3 AND species IS NOT NULL GROUP BY 1, 2, 3) JOIN k ON l_orderkey = o_orderkey)"""
@@ -373,8 +467,8 @@ def stage_seine_fish(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     _SEINE_SQL
     + """, hd AS (SELECT * FROM k WHERE o_orderkey % 11 > 0 AND o_orderkey % 7 > 0)
-SELECT id_haul, d1.qty AS loc1_depth, d2.flag AS loc2_sub_1, d3.species AS mx_sub_2 FROM hd LEFT JOIN lf d1 ON d1.l_orderkey = o_orderkey AND d1.l_linenumber = 1
-    LEFT JOIN lf d2 ON d2.l_orderkey = o_orderkey AND d2.l_linenumber = 2 LEFT JOIN lf d3 ON d3.l_orderkey = o_orderkey AND d3.l_linenumber = 3"""
+SELECT id_haul, loc1_depth, loc2_sub_1, mx_sub_2 FROM hd LEFT JOIN (SELECT l_orderkey, min(qty) FILTER (l_linenumber = 1) AS loc1_depth, min(flag) FILTER (l_linenumber = 2) AS loc2_sub_1,
+    min(species) FILTER (l_linenumber = 3) AS mx_sub_2 FROM lf GROUP BY 1) ON l_orderkey = o_orderkey"""
 )
 def stage_seine_depth(spark: SparkSession, folder: str) -> DataFrame:
     """Seine hauls with the depths measured at three places."""
@@ -383,22 +477,27 @@ def stage_seine_depth(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("id_haul", "loc1_depth", "loc2_sub_1", "mx_sub_2")
 
 
+def _seine(spark: SparkSession, folder: str, max_weight: int | None = None) -> DataFrame:
+    raw = _raw_seine(spark, folder, "site", "haul", "fish", "count")
+    staged = _proofed(spark, seine.stage_seine(raw, _reach_river(spark), "160se"))
+    path = new_folder(spark, "facts")
+    rejected = seine.load_seine(staged, path, max_weight=max_weight)
+    return io.scan(spark, path).unionByName(rejected.drop("batch"), allowMissingColumns=True)
+
+
 @query(
     _SEINE_SQL
-    + f""", s AS (SELECT o_custkey, id_site, {s._case('cd_rch', RIVER_OF_REACH)} AS river FROM k GROUP BY ALL),
-n AS (SELECT h.id_site, count(DISTINCT h.id_haul) AS hauls, count(f.n_fish) AS rows, coalesce(CAST(sum(f.n_fish) AS BIGINT), 0) AS n_fish FROM h LEFT JOIN f ON f.id_haul = h.id_haul GROUP BY 1)
-SELECT s.id_site AS "SiteID", DATE '2021-01-01' + CAST(o_custkey % 300 AS INTEGER) AS "SiteDate_Local", o_custkey % 2 = 0 AS "IsAlgaePresent", o_custkey % 4 = 0 AS bottom,
-    CASE WHEN o_custkey % 3 = 0 THEN 'Secchi at bottom' END AS note, coalesce(hauls, 0) AS hauls, coalesce(rows, 0) AS fish_rows, coalesce(n_fish, 0) AS n_fish
-FROM s LEFT JOIN n USING (id_site) WHERE river IS NOT NULL"""
+    + f""", s AS (SELECT o_custkey, id_site, pass, {s._case('cd_rch', RIVER_OF_REACH)} AS river FROM k GROUP BY ALL),
+n AS (SELECT h.id_site, count(DISTINCT h.id_haul) AS hauls, count(f.cd_spp) + count(CASE WHEN f.id_haul IS NOT NULL AND f.cd_spp IS NULL THEN 1 END) AS rows, coalesce(CAST(sum(f.n_fish) AS BIGINT), 0) AS n_fish FROM h LEFT JOIN f ON f.id_haul = h.id_haul GROUP BY 1)
+SELECT s.id_site AS "SiteID", '160se' AS "StudyCode", river AS "RiverCode", pass AS "PassIdentifier", nullif(CAST(o_custkey % 100 AS DOUBLE), 0) AS "SiteLocation_BelknapMiles", DATE '2021-01-01' + CAST(o_custkey % 300 AS INTEGER) AS "SiteDate_Local",
+    nullif(o_custkey % 50, 0) AS "SiteLength_m", nullif(o_custkey % 20, 0) AS "SiteWidth_m", o_custkey % 2 = 0 AS "IsAlgaePresent", CASE WHEN river IS NULL THEN 'RiverCode is required' ELSE '' END AS failed, o_custkey % 4 = 0 AS bottom,
+    nullif(CAST(o_custkey % 30 AS DOUBLE), 0) AS temperature, CASE WHEN o_custkey % 3 = 0 THEN 'Secchi at bottom' END AS note, coalesce(hauls, 0) AS hauls, coalesce(rows, 0) AS fish_rows, coalesce(n_fish, 0) AS n_fish
+FROM s LEFT JOIN n USING (id_site)"""
 )
 def seine_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested seine facts from raw tables, read back as totals per site."""
-    raw = _raw_seine(spark, folder, "site", "haul", "fish", "count")
-    staged = _proofed(spark, seine.stage_seine(raw, _reach_river(spark), "160se"))
-    staged["site"] = staged["site"].where("cd_rvr IS NOT NULL")
-    # Fish of hauls that were dropped have no place to be nested in.
-    facts = seine.seine_facts(staged)
+    """Nested seine facts from raw tables: every site, accepted or rejected, with its water and the totals of its hauls. Fish of hauls that were dropped have no place to be nested in."""
     zero = F.lit(0).cast("long")
+    hauls = F.size(F.filter("HaulData", lambda haul: haul["Part"] == 0))
     rows = F.aggregate("HaulData", zero, lambda total, haul: total + F.size(haul["FishData"]))
     fish = F.aggregate(
         "HaulData",
@@ -406,15 +505,37 @@ def seine_facts(spark: SparkSession, folder: str) -> DataFrame:
         lambda total, haul: total + F.aggregate(haul["FishData"], zero, lambda inner, x: inner + F.coalesce(x["FishCount"], zero)),
     )
     water = F.try_element_at("WaterQuality", F.lit(1))
-    return facts.select(
-        "SiteID",
-        "SiteDate_Local",
-        "IsAlgaePresent",
-        water["IsSecchiMaxDepth"].alias("bottom"),
-        water["WaterQualityNotes"].alias("note"),
-        F.size("HaulData").cast("long").alias("hauls"),
-        rows.alias("fish_rows"),
-        fish.alias("n_fish"),
+    names = ["SiteID", "StudyCode", "RiverCode", "PassIdentifier", "SiteLocation_BelknapMiles", "SiteDate_Local", "SiteLength_m", "SiteWidth_m", "IsAlgaePresent"]
+    return _seine(spark, folder).groupBy(*names, _failed()).agg(
+        F.max(water["IsSecchiMaxDepth"]).alias("bottom"),
+        F.max(water["WaterTemperatureMain_C"]).alias("temperature"),
+        F.max(water["WaterQualityNotes"]).alias("note"),
+        F.sum(hauls).cast("long").alias("hauls"),
+        F.sum(rows).alias("fish_rows"),
+        F.sum(fish).alias("n_fish"),
+    )
+
+
+@query(
+    _SEINE_SQL
+    + """SELECT h.id_site AS "SiteID", h.id_haul AS "HaulID", TIMESTAMP '2021-01-01' + to_days(CAST(h.o_custkey % 300 AS INTEGER)) + to_seconds(h.o_orderkey % 86400) AS "HaulDateTime_Local", h.o_orderkey % 11 AS "HaulLength_m",
+    CAST(h.o_orderkey % 7 AS DOUBLE) AS "HaulWidth_m", h.o_orderkey % 5 * 100 AS "HaulMeanDepth_mm", h.o_orderkey % 2 = 0 AS "HasRedShiner", CAST(NULL AS BOOLEAN) AS "HasSandShiner", false AS "HasFatHead",
+    count(f.id_haul) AS fish_rows, coalesce(CAST(sum(f.n_fish) AS BIGINT), 0) AS n_fish, min(tot_length) AS shortest, count(cd_disp) AS with_disposition
+FROM h LEFT JOIN f ON f.id_haul = h.id_haul GROUP BY ALL"""
+)
+def seine_hauls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every haul of the facts with its fish, from facts cut into parts of two rows and put together again."""
+    facts = _seine(spark, folder, max_weight=2)
+    hauls = facts.select("SiteID", F.explode("HaulData").alias("h")).select("SiteID", "h.*")
+    whole = merge_parts(hauls, ["SiteID", "HaulID"], ["FishData", "HaulVial"])
+    names = ["SiteID", "HaulID", "HaulDateTime_Local", "HaulLength_m", "HaulWidth_m", "HaulMeanDepth_mm", "HasRedShiner", "HasSandShiner", "HasFatHead"]
+    zero = F.lit(0).cast("long")
+    return whole.select(
+        *names,
+        F.size("FishData").cast("long").alias("fish_rows"),
+        F.aggregate("FishData", zero, lambda total, x: total + F.coalesce(x["FishCount"], zero)).alias("n_fish"),
+        F.array_min(F.col("FishData")["TotalLength_mm"]).alias("shortest"),
+        F.size(F.filter("FishData", lambda x: x["DispositionCode"].isNotNull())).cast("long").alias("with_disposition"),
     )
 
 
@@ -477,11 +598,12 @@ def append_and_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.year("o_orderdate").cast("long").alias("Year"),
     )
     path = new_folder(spark, "store")
-    io.append_guarded(orders.where("Year < 1998"), path)
-    io.append_guarded(orders.where("Year >= 1998"), path)
+    store.append_guarded(orders.where("Year < 1998"), path)
+    store.append_guarded(orders.where("Year >= 1998"), path)
+    store.append_guarded(orders.where("Year < 1998").repartition(3), path, skip_repeats=True)  # the very same rows
     try:
-        io.append_guarded(orders.where("Year >= 2000"), path)
-    except io.DuplicateKeys:
+        store.append_guarded(orders.where("o_orderkey % 7 = 0 AND Year >= 1997"), path)
+    except store.DuplicateKeys:
         return io.scan(spark, path, "123d", 1998).drop("Year")
     raise AssertionError("a batch that was stored before must be refused")
 

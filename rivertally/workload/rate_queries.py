@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivertally import fixed_values as fixed
+from rivertally.functions.cleaning import with_missing
 from rivertally.functions.numbers import round_to
 from rivertally.functions.times import week_of_year
 from rivertally.operators import quality, rates, stats
 from rivertally.operators.joins import with_lifestage
-from rivertally.operators.reshape import complete, nest
+from rivertally.operators.reshape import Children, attach_children, complete
 from rivertally.plans import hydrology, reports, views
+from rivertally.session import durable
 from rivertally.workload import standins as s
 from rivertally.workload.registry import hours_sql, per, query, rounded
 
@@ -43,19 +45,16 @@ def study_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def nested_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Sites with their fish as arrays, shaped like the electrofishing facts."""
-    fish = s.fish(spark, folder).withColumn("Part", F.lit(0).cast("long"))
-    fields = ["SpeciesCode", "FishCount", "TotalLength_mm", "line", "seen", "Part"]
-    nested = nest(fish, ["SiteID"], fields, "FishData", ["seen", "line"], part="_part")
-    return s.sites(spark, folder).join(nested, "SiteID", "left").withColumn(
-        "Part", F.coalesce("_part", F.lit(0).cast("long"))
-    )
+    one = {"Part": F.lit(0).cast("long"), "Parts": F.lit(1).cast("long"), "FishNumber": F.col("line")}
+    fish = s.fish(spark, folder).withColumns(one)
+    fields = ["SpeciesCode", "FishCount", "TotalLength_mm", "line", "seen", *one]
+    return attach_children(s.sites(spark, folder), {"FishData": Children(fish, fields, ["seen", "line"])}, "SiteID")
 
 
 @query(_summary_sql("count(*)"), ["sites", "fish"])
 def study_summary_nested(spark: SparkSession, folder: str) -> DataFrame:
-    facts = nested_facts(spark, folder)
-    sites = facts.where(F.col("Part") == 0).drop("FishData")
-    return rates.study_summary(sites, views.catch_by_site(facts, rows=True))
+    facts = durable(with_missing(nested_facts(spark, folder), dict.fromkeys(views.SITE_COLUMNS, "string")))
+    return views.summary_from_facts(facts)
 
 
 def _group_sql(group: str, names: str) -> str:
@@ -172,7 +171,7 @@ _STAGE_RATES = (
     WHERE cd_spp IN ('SM', 'NP', 'WE') AND tot_length IS NOT NULL AND ls IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7),
 g AS (SELECT * FROM (SELECT DISTINCT id_site, cd_rvr, nm_rvr, cd_spp, cn_spp, amt_effort_sec FROM x) CROSS JOIN (SELECT DISTINCT ls FROM x)),
 rates AS (SELECT g.*, CAST(coalesce(n_fish, 0) AS BIGINT) AS n_fish,
-    {per('coalesce(n_fish, 0)', 'CAST(g.amt_effort_sec AS DOUBLE) / 3600.0::DOUBLE')} AS cpue
+    {per('coalesce(n_fish, 0) * 3600', 'g.amt_effort_sec')} AS cpue
     FROM g LEFT JOIN x ON g.id_site = x.id_site AND g.cd_spp = x.cd_spp AND g.ls = x.ls)"""
 )
 _STAGE_FRAMES = ["report_site", "report_fish", "species_dim", "stages"]
@@ -186,7 +185,10 @@ def _stage_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    _STAGE_RATES + f"SELECT * EXCLUDE (cpue), {rounded('cpue', 4)} AS cpue FROM rates", _STAGE_FRAMES
+    # Rounded as whole numbers, not as doubles.
+    _STAGE_RATES
+    + """SELECT * EXCLUDE (cpue), CASE WHEN amt_effort_sec <> 0 THEN CAST((2 * n_fish * 36000000 + amt_effort_sec) // (2 * amt_effort_sec) AS DOUBLE) / 10000 END AS cpue FROM rates""",
+    _STAGE_FRAMES,
 )
 def cpue_lifestage(spark: SparkSession, folder: str) -> DataFrame:
     return _stage_rates(spark, folder).withColumn("cpue", round_to("cpue", 4))
@@ -428,7 +430,7 @@ def location_tally(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 , c AS (SELECT "SiteID", "FishCount" AS n FROM catch WHERE "SpeciesCode" = 'WE')
 SELECT year(ts) AS yr, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_fish, {hours_sql('sum(effort)', 2)} AS tot_effort,
-    {rounded(per('coalesce(sum(n), 0)', 'CAST(sum(effort) AS DOUBLE) / 3600.0::DOUBLE'), 2)} AS cpue
+    {rounded(per('coalesce(sum(n), 0) * 3600', 'sum(effort)'), 2)} AS cpue
 FROM sites LEFT JOIN c USING ("SiteID") WHERE "RiverCode" = 'GR' GROUP BY 1""",
     ["sites", "fish", "catch"],
 )

@@ -3,7 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from rivertally.operators import reshape
 from rivertally.plans import electrofish, views
+from rivertally.sources import store
 from rivertally.sources import tables as io
 
 SITE = "KEY_A string, PROJECT string, YEAR long, RIVER string, REACH string, DATE string, STARTTIME string, ENDTIME string, START_RMI double, END_RMI double, SHORELINE string, EFFORT_MIN long, EFFORT_SEC long, BOAT string, CREW string, SITE_NOTES string"
@@ -86,8 +88,9 @@ def test_facts_nest_and_load_once(spark, staged, tmp_path, rows):
     path = str(tmp_path / "f_electrofish")
     proofed = staged | {"fish": staged["fish"].where("key_aa <> 'f4' OR key_aa IS NULL")}
     electrofish.load_electrofish(proofed, path)
-    with pytest.raises(io.DuplicateKeys):
+    with pytest.raises(store.DuplicateKeys):
         electrofish.load_electrofish(proofed, path)
+    electrofish.load_electrofish(proofed, path, skip_repeats=True)
     facts = spark.read.parquet(path)
     got = {r["SiteID"]: r for r in facts.collect()}
     first = got["123d_2021_001"]
@@ -105,21 +108,43 @@ def test_facts_nest_and_load_once(spark, staged, tmp_path, rows):
     assert rows(summary, "StudyCode", "SpeciesCode", "FishCount") == [("123d", None, None), ("123d", "WE", 1), ("123d-GRAY", "CS", 1), ("123d-GRAY", "SM", 1)]
 
 
-def test_overflowing_arrays_change_no_count(spark, staged, rows, monkeypatch):
-    from rivertally.operators import reshape
-
-    whole = electrofish.electrofish_facts(staged | {"fish": staged["fish"].where("key_aa <> 'f4' OR key_aa IS NULL")})
-    monkeypatch.setattr(electrofish, "MAX_ARRAY_ROWS", 1)
-    small = reshape.nest
-    monkeypatch.setattr(electrofish, "nest", lambda *a, **k: small(*a, **k, max_rows=1))
-    cut = electrofish.electrofish_facts(staged | {"fish": staged["fish"].where("key_aa <> 'f4' OR key_aa IS NULL")})
-    assert cut.count() > whole.count()
-    assert rows(views.site_view(cut)) == rows(views.site_view(whole))
-    assert rows(views.catch_by_site(cut)) == rows(views.catch_by_site(whole))
-    columns = ["SiteID", "SpeciesCode", "TotalLength_mm", "DorsalRayCount"]
-    assert rows(views.fish_view(cut), *columns) == rows(views.fish_view(whole), *columns)
-    tags = F.explode("FishData.PitTag")
-    assert cut.select(tags.alias("t")).select(F.explode("t.PitTagString")).count() == 2
+def test_facts_of_any_cut_hold_the_same(spark, staged, rows):
+    """Parts of two rows: the same sites, fish and tags, and the same whole rows once the parts are put together."""
+    proofed = staged | {"fish": staged["fish"].where("key_aa <> 'f4' OR key_aa IS NULL")}
+    more = spark.createDataFrame([("f1", f"T{i}", "134", "N", f"n{i}") for i in range(7)], "key_aa string, pit_num string, pit_type string, pit_recap string, pit_notes string")
+    proofed["pittag"] = proofed["pittag"].unionByName(more, allowMissingColumns=True)
+    whole, cut = electrofish.electrofish_facts(proofed), electrofish.electrofish_facts(proofed, max_weight=2)
+    assert whole.where("Parts > 1").count() == 0 and cut.count() > whole.count()
+    assert cut.agg(F.max(F.size("FishData"))).first()[0] <= 2
+    for view in (views.site_view, views.catch_by_site, views.fish_view, views.tag_view):
+        assert rows(view(cut)) == rows(view(whole))
+    tags = {r["SpeciesCode"]: [t["PitTagString"] for t in r["PitTag"]] for r in views.fish_view(cut).collect()}
+    assert len(tags["CS"]) == 9 and tags["CS"] == sorted(tags["CS"])
+    arrays = ["WaterQuality", "FishData"]
+    together = reshape.merge_parts(cut, ["SiteID"], arrays)
+    assert together.count() == 3
+    assert rows(together.drop(*arrays)) == rows(whole.drop(*arrays, "Part", "Parts"))
+
+
+def test_sites_that_lack_a_required_value_are_told(spark, staged, rows, tmp_path):
+    path, rejects = str(tmp_path / "facts"), str(tmp_path / "not")
+    proofed = staged | {"site": staged["site"].withColumn("river", F.when(F.col("key_a") != "a1", F.col("river")))}
+    proofed["fish"] = staged["fish"].where("key_aa <> 'f4' OR key_aa IS NULL")
+    out = electrofish.load_electrofish(proofed, path, rejects)
+    assert rows(out, "SiteID", "FailedConstraints") == [("123d_2021_001", ["RiverCode is required"])]
+    assert rows(io.scan(spark, path), "SiteID") == [("123d_2021_002",), ("123d_2021_003",)]
+    assert out.select(F.size("FishData")).first()[0] == 2 and rows(spark.read.parquet(rejects), "SiteID") == [("123d_2021_001",)]
+
+
+def test_flat_load_once(spark, staged, tmp_path):
+    root = str(tmp_path / "flat")
+    assert electrofish.load_flat(staged, root) == (1, True)
+    again = {name: df.repartition(3).orderBy(F.rand(1)) for name, df in staged.items()}
+    assert electrofish.load_flat(again, root) == (1, False)
+    later = staged | {"site": staged["site"].limit(1)}
+    assert electrofish.load_flat(later, root) == (2, True)
+    sites = store.read_uploaded(spark, root, "site")
+    assert sites.groupBy("upload_id").count().orderBy("upload_id").collect() == [(1, 3), (2, 1)]
 
 
 def test_flat_load(spark, staged):

@@ -108,6 +108,10 @@ def test_lifestage_rates_divide_or_multiply(spark, rows):
     )
     got = rates.cpue_by_lifestage(sites, fish, ["cd_rvr"])
     assert rows(got, "id_site", "ls", "n_fish", "cpue") == [("s", "ADULT", 1, 2.0), ("s", "JUV", 2, 4.0), ("t", "ADULT", 0, 0.0), ("t", "JUV", 4, 4.0)]
+    ties = sites.limit(0).unionByName(spark.createDataFrame([("x", "GR", 1536), ("y", "GR", 3072)], sites.schema))
+    caught = spark.createDataFrame([("x", "SM", "bass", 10, 49, "JUV"), ("y", "SM", "bass", 10, 54, "JUV")], fish.schema)
+    tied = rates.cpue_by_lifestage(ties, caught, ["cd_rvr"]).withColumn("cpue", F.round("cpue", 4))
+    assert rows(tied, "id_site", "cpue") == [("x", 114.8438), ("y", 63.2813)]
     product = rates.cpue_by_lifestage(sites, fish, ["cd_rvr"], multiply=True)
     assert rows(product, "id_site", "ls", "cpue")[1] == ("s", "JUV", 1.0)
 

@@ -25,18 +25,66 @@ def test_large_parents_continue_on_more_rows(spark, rows):
     assert rows(reshape.unnest(nested, "items", ["k"])) == rows(df)
 
 
-def test_nests_are_aligned_by_part(spark, rows):
-    parents = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
-    pit = spark.createDataFrame([("a", i) for i in range(5)] + [(None, 9)], "k string, p long")
-    floy = spark.createDataFrame([("a", 1), ("b", 2)], "k string, f long")
-    nests = {
-        "P": reshape.nest(pit, ["k"], ["p"], "P", ["p"], max_rows=2),
-        "F": reshape.nest(floy, ["k"], ["f"], "F", ["f"]),
-    }
-    got = reshape.attach_nests(parents, "k", nests, "Part").select(
-        "k", "Part", F.coalesce(F.size("P"), F.lit(-1)).alias("p"), F.coalesce(F.size("F"), F.lit(-1)).alias("f")
-    )
-    assert rows(got) == [(None, 0, 1, -1), ("a", 0, 2, 1), ("a", 1, 2, -1), ("a", 2, 1, -1), ("b", 0, -1, 1)]
+def family(spark):
+    parents = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    pit = spark.createDataFrame([("a", i, 1) for i in range(5)] + [(None, 9, 1), ("gone", 1, 1)], "k string, p long, w long")
+    floy = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("b", 2)], "k string, f long")
+    return parents, {"P": reshape.Children(pit, ["p"], ["p"], "w"), "F": reshape.Children(floy, ["f"], ["f"])}
+
+
+def test_kinds_of_children_share_the_parts(spark, rows):
+    parents, children = family(spark)
+    got = reshape.attach_children(parents, children, "k", max_weight=2)
+    shown = got.select("k", "Part", "Parts", F.to_json(F.struct(F.col("P.p").alias("p"), F.col("F.f").alias("f"))).alias("items"))
+    assert rows(shown) == [
+        (None, 0, 1, '{"p":[9],"f":[]}'),
+        ("a", 0, 4, '{"p":[0,1],"f":[]}'),
+        ("a", 1, 4, '{"p":[2,3],"f":[]}'),
+        ("a", 2, 4, '{"p":[4],"f":[1]}'),
+        ("a", 3, 4, '{"p":[],"f":[1,null]}'),
+        ("b", 0, 1, '{"p":[],"f":[2]}'),
+        ("c", 0, 1, "{}"),
+    ]
+
+
+@pytest.mark.parametrize("max_weight", [1, 2, 3, 100])
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_merging_parts_reverses_any_cut(spark, rows, monkeypatch, max_weight, hot_rows):
+    """Whatever the bound, and whether a hot group is worked on whole or in slices."""
+    from rivertally.operators import ordered
+
+    parents, children = family(spark)
+    whole = reshape.merge_parts(reshape.attach_children(parents, children, "k"), ["k"], ["P", "F"])
+    sums = ordered.sum_before
+    monkeypatch.setattr(reshape, "sum_before", lambda *a: sums(*a, hot_rows=hot_rows))
+    cut = reshape.attach_children(parents, children, "k", max_weight)
+    assert rows(reshape.merge_parts(cut, ["k"], ["P", "F"])) == rows(whole)
+
+
+def test_weights_bound_what_a_row_holds(spark):
+    """Two levels: no row holds more than the bound and one element, counted at both levels."""
+    grand = spark.range(400).select(F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 20).alias("c"), "id")
+    middle = spark.range(20).select(F.lit("p").alias("k"), F.col("id").cast("int").alias("c"))
+    below = reshape.attach_children(middle, {"G": reshape.Children(grand, ["id"], ["id"])}, "c", max_weight=10)
+    weighed = below.withColumn("_w", reshape.weight_of("G"))
+    top = reshape.attach_children(spark.createDataFrame([("p",)], "k string"), {"C": reshape.Children(weighed, ["c", "G", "Part", "Parts"], ["c", "Part"], "_w")}, "k", max_weight=10)
+    held = top.select(F.aggregate("C", F.lit(0), lambda n, x: n + 1 + F.size(x["G"])).alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 10 + 11 and held.agg(F.sum("n")).first()[0] == 400 + below.count()
+
+
+def test_merging_shuffles_split_keys_only(spark):
+    parents, children = family(spark)
+    plan = reshape.merge_parts(reshape.attach_children(parents, children, "k"), ["k"], ["P"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Parts#" in plan and "> 1" in plan
+
+
+def test_sums_before(spark, rows):
+    from rivertally.operators.ordered import sum_before
+
+    df = spark.createDataFrame([("a", 1, 5), ("a", 1, 5), ("a", 0, 2), ("a", None, 1), ("b", 1, 7), (None, 3, 4)], "k string, t long, w long")
+    want = [(None, 3, 0), ("a", None, 12), ("a", 0, 0), ("a", 1, 2), ("a", 1, 7), ("b", 1, 0)]
+    assert rows(sum_before(df, ["k"], ["t"], "w", "s"), "k", "t", "s") == want
+    assert rows(sum_before(df, ["k"], ["t"], "w", "s", hot_rows=1), "k", "t", "s") == want
 
 
 @pytest.mark.parametrize("max_levels", [100, 1])
@@ -68,17 +116,14 @@ def test_grid_plan_has_no_cartesian_product(spark):
 
 def test_pivot_and_values(spark, rows):
     df = spark.createDataFrame([(1, "loc1", 5, "a"), (1, "mx", 9, "b"), (2, "loc2", 1, None)], "k long, location string, depth long, sub string")
-    wide = reshape.pivot_wide(df, ["k"], "location", ["depth", "sub"], reshape.pivot_values(df, "location"))
+    wide = reshape.pivot_wide(df, ["k"], "location", ["depth", "sub"], ["loc1", "loc2", "mx"])
     assert wide.columns == ["k", "loc1_depth", "loc1_sub", "loc2_depth", "loc2_sub", "mx_depth", "mx_sub"]
     assert rows(wide) == [(1, 5, "a", None, None, 9, "b"), (2, None, None, 1, None, None, None)]
-    with pytest.raises(ValueError):
-        reshape.pivot_values(df, "location", limit=2)
 
 
 def test_split(spark, rows):
     df = spark.createDataFrame([("ls_1", " SM  WE "), ("ls_2", None), ("ls_3", "")], "c string, codes string")
     assert rows(reshape.split_codes(df, "codes", "s").select("c", "s")) == [("ls_1", "SM"), ("ls_1", "WE")]
-    assert reshape.split_by(df, "c", ["ls_1"])["ls_1"].count() == 1
 
 
 @pytest.mark.parametrize("max_levels", [100, 1])

@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from rivertally.operators import reshape
 from rivertally.plans import products, seine
-from rivertally.sources import tables as io
+from rivertally.sources import store
 
 
 @pytest.fixture(scope="module")
@@ -63,7 +65,7 @@ def test_fish_and_counts_are_one_table(staged, rows):
 def test_facts(spark, staged, tmp_path):
     path = str(tmp_path / "f_seine")
     seine.load_seine(staged, path)
-    with pytest.raises(io.DuplicateKeys):
+    with pytest.raises(store.DuplicateKeys):
         seine.load_seine(staged, path)
     got = {r["SiteID"]: r for r in spark.read.parquet(path).collect()}
     first, other = got["160se_2021_002"], got["160se_2021_001"]
@@ -76,6 +78,19 @@ def test_facts(spark, staged, tmp_path):
     assert other["HaulData"] == [] and other["SiteEPSGCode"] == 4326 and first["SiteDate_Local"] == dt.date(2021, 8, 2)
 
 
+def test_facts_of_any_cut_hold_the_same(staged, rows):
+    whole, cut = seine.seine_facts(staged), seine.seine_facts(staged, max_weight=1)
+    assert cut.count() > whole.count()
+
+    def hauls(facts):
+        each = facts.select("SiteID", F.explode("HaulData").alias("h")).select("SiteID", "h.*")
+        return reshape.merge_parts(each, ["SiteID", "HaulID"], ["FishData", "HaulVial"])
+
+    assert rows(hauls(cut)) == rows(hauls(whole)) and hauls(whole).count() == 2
+    water = F.explode("WaterQuality").alias("w")
+    assert rows(cut.select("SiteID", water)) == rows(whole.select("SiteID", water))
+
+
 def test_depths_are_pivoted_onto_hauls(raw, reaches, rows):
     out = seine.stage_seine(raw, reaches, "138x", depths=True)
     assert rows(out["haul"], "key_aa", "loc1_depth", "loc2_sub_1", "mx_depth", "mx_sub_2") == [("h1", 100, None, 400, None), ("h2", None, None, None, None), ("h3", None, "GR", None, None)]
