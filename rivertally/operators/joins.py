@@ -40,18 +40,45 @@ def natural_keys(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c in right.columns]
 
 
+HEAVY_KEYS = 100
+SALTS = 32
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], part: float = 1 / 200) -> list[int]:
+    """Hashes of the keys that hold more than ``part`` of the rows, by a mergeable sketch; at most ``HEAVY_KEYS``."""
+    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(HEAVY_KEYS), F.lit(10 * HEAVY_KEYS))
+    found, rows = df.agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [entry["item"] for entry in found or [] if entry["count"] > max(1, part * rows)]
+
+
+def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join on ``keys``, null-safe, in one shuffle, also where ``left`` has keys with very many rows.
+
+    Rows of a hot key of ``left`` are dealt to ``SALTS`` parts, by what they hold (so a task that runs again deals the same way, and
+    exact copies stay together), and the rows of ``right`` with such a key are copied to all of them. A copy
+    that meets no row in its part is dropped: the key is there on the left, so the row is matched in another part.
+    """
+    hot = heavy_keys(left, keys)
+    order = left.columns + [c for c in right.columns if c not in keys]
+    if not hot:
+        return null_safe_join(left, right, keys, "full").select(*order)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    own = [f.name for f in left.schema.fields if f.dataType.typeName() != "map"]
+    dealt = left.withColumns({"_salt": F.when(is_hot, F.pmod(F.xxhash64(*own), F.lit(SALTS))).otherwise(0), "_here": F.lit(True)})
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    copied = right.withColumns({"_copied": is_hot, "_salt": F.explode(copies)})
+    joined = null_safe_join(dealt, copied, [*keys, "_salt"], "full")
+    return joined.where(F.col("_here").isNotNull() | ~F.coalesce("_copied", F.lit(False))).select(*order)
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join on all shared columns; nulls match.
 
-    A full join is put together from a left join and the unmatched rows of the other side, since
-    Spark splits a hot key in left and anti joins but not in a full one.
+    Spark splits hot keys of one-sided joins at run time; a full join deals them out itself.
     """
     keys = natural_keys(left, right)
     if how == "full":
-        matched = null_safe_join(right, left, keys, "left")
-        unmatched = null_safe_join(left, right.select(*keys).distinct(), keys, "left_anti")
-        order = left.columns + [c for c in right.columns if c not in keys]
-        return matched.unionByName(unmatched, allowMissingColumns=True).select(*order)
+        return full_join(left, right, keys)
     if how == "right":
         order = left.columns + [c for c in right.columns if c not in keys]
         return null_safe_join(right, left, keys, "left").select(*order)
@@ -77,18 +104,56 @@ def members_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
-def with_lifestage(fish: DataFrame, species_dim: DataFrame, stages: DataFrame, species: str = "SpeciesCode", length: str = "TotalLength_mm", into: str = "ls") -> DataFrame:
-    """Life stage of each fish, from its species' length ranges.
+def stage_intervals(species_dim: DataFrame, stages: DataFrame) -> DataFrame:
+    """``_species``, ``_bounds`` and ``_stages``: the length ranges of a species, cut into disjoint pieces.
 
-    The species' ranges are looked up first, so the range test is only a residual on a hash join.
+    ``_bounds`` are all ends of ranges, sorted. Piece 2 i is the i-th bound itself (counted from 0), piece 2 i + 1 what lies between it and the next one;
+    ``_stages`` lists the stages of each piece, sorted, one for each range that covers it.
     """
-    ranges = species_dim.join(stages, "LifeStageCode").select(
-        F.col("SpeciesCode").alias("_species"), "MinTotalLength_mm", "MaxTotalLength_mm", F.col("LifeStageAbbr").alias(into)
-    )
-    inside = F.col(length).between(F.col("MinTotalLength_mm"), F.col("MaxTotalLength_mm"))
-    return fish.join(if_small(ranges), (F.col(species) == F.col("_species")) & inside, "left").drop(
-        "_species", "MinTotalLength_mm", "MaxTotalLength_mm"
+    ranges = species_dim.join(stages, "LifeStageCode").where("MinTotalLength_mm <= MaxTotalLength_mm")
+    each = F.struct(F.col("MinTotalLength_mm").cast("double").alias("a"), F.col("MaxTotalLength_mm").cast("double").alias("b"), F.col("LifeStageAbbr").alias("s"))
+    held = ranges.groupBy(F.col("SpeciesCode").alias("_species")).agg(F.collect_list(each).alias("_ranges"))
+    bounds = F.array_sort(F.array_distinct(F.concat(F.col("_ranges")["a"], F.col("_ranges")["b"])))
+    held = held.withColumn("_bounds", bounds)
+
+    def covering(low: Column, high: Column) -> Column:
+        return F.array_sort(F.filter("_ranges", lambda r: (r["a"] <= low) & (r["b"] >= high))["s"])
+
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.size("_bounds") - 1),
+        lambda i: F.array(covering(F.get("_bounds", i), F.get("_bounds", i)), covering(F.get("_bounds", i), F.get("_bounds", i + 1))),
     )
+    return held.select("_species", "_bounds", F.flatten(pieces).alias("_stages"))
+
+
+def _piece(bounds: str, value: Column, steps: int) -> Column:
+    """The piece that ``value`` lies in, by bisection; -1 below all bounds."""
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        right = (state["low"] < state["high"]) & (F.get(bounds, middle) <= value)
+        return F.struct(
+            F.when(right, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(right | (state["low"] >= state["high"]), state["high"]).otherwise(middle).alias("high"),
+        )
+
+    at = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda state: state["low"]) - 1
+    return F.when(at < 0, -1).when(F.get(bounds, at) == value, 2 * at).otherwise(2 * at + 1)
+
+
+def with_lifestage(fish: DataFrame, species_dim: DataFrame, stages: DataFrame, species: str = "SpeciesCode", length: str = "TotalLength_mm", into: str = "ls") -> DataFrame:
+    """Life stage of each fish, from its species' length ranges; one row for each range that holds it, one without a stage if none does.
+
+    A fish meets one row per species, with the ranges cut into pieces, and finds its piece by bisection: no row is
+    multiplied by all ranges of its species.
+    """
+    pieces = stage_intervals(species_dim, stages)
+    most = pieces.agg(F.max(F.size("_bounds"))).first()[0] or 1
+    joined = fish.join(if_small(pieces), F.col(species) == F.col("_species"), "left")
+    piece = _piece("_bounds", F.col(length).cast("double"), most.bit_length() + 1)
+    found = joined.withColumn("_found", F.when(F.col(length).isNotNull() & F.col("_bounds").isNotNull() & (piece >= 0), F.get("_stages", piece)))
+    return found.drop("_species", "_bounds", "_stages").withColumn(into, F.explode_outer("_found")).drop("_found")
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

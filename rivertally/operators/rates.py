@@ -100,7 +100,11 @@ def cpue_by_group(sites: DataFrame, fish: DataFrame, key: str, group: Mapping[st
     )
     hours_of = parents.groupBy(*names).agg(round_to(hours(total(effort, na_rm=False)), 1).alias("effort_hr"))
     # Small by now, and read twice: for the species seen, and for their catch.
-    catch = durable(catch)
+    return zero_filled_rates(hours_of, durable(catch), names, species)
+
+
+def zero_filled_rates(hours_of: DataFrame, catch: DataFrame, names: Sequence[str], species: str = "species") -> DataFrame:
+    """Rates of every group and every species seen, from the groups' ``effort_hr`` and the ``fish_ct`` of the pairs that have any."""
     grid = level_grid(hours_of, catch.select(species).distinct())
     filled = null_safe_join(grid, catch, [*names, species], "left")
     return filled.select(

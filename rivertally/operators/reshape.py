@@ -14,6 +14,7 @@ from rivertally.operators.ordered import sum_before
 
 MAX_WEIGHT = 50_000  # rows, at all levels, that the arrays of one row should hold
 MAX_LEVELS = 10_000
+BLOCK_CELLS = 4_000_000  # cells of a grid that one join key makes
 
 
 # ----- nest / unnest --------------------------------------------------------------------
@@ -118,26 +119,29 @@ def _fetch_levels(levels: DataFrame, max_levels: int) -> DataFrame | None:
     return levels.sparkSession.createDataFrame([([tuple(row) for row in fetched],)], schema)
 
 
-def level_grid(parents: DataFrame, levels: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
+def level_grid(parents: DataFrame, levels: DataFrame, max_levels: int = MAX_LEVELS, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """Every parent row with every level row.
 
     Up to ``max_levels`` levels (species, life stages) travel as one array that each parent row
-    explodes, with no shuffle of the parents. More than that are spread, like the parents, over
-    hash buckets that are joined on equality.
+    explodes, with no shuffle of the parents. Beyond that the grid is cut into blocks of about ``block_cells`` cells, by the
+    counts of both sides: each block is one key of an equality join, and makes each of its cells once.
     """
     names = levels.columns
     every = _fetch_levels(levels, max_levels)
     if every is not None:
         held = parents.withColumn("_levels", every.scalar())
         return held.select(*parents.columns, F.inline("_levels"))
-    buckets = 64
+    # Square blocks: each parent goes to as many of them as there are stretches of levels, and each level likewise.
+    side = max(1, int(block_cells**0.5))
+    down, across = (max(1, -(-frame.count() // side)) for frame in (parents, levels))
 
-    def bucket(frame: DataFrame) -> Column:
-        return F.pmod(F.xxhash64(*frame.columns), F.lit(buckets))
+    def dealt(frame: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
+        # By what a row holds, so that a task that is run again deals the same way.
+        place = F.pmod(F.xxhash64(*frame.columns), F.lit(parts))
+        return frame.withColumns({own: place, other: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))})
 
-    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
-    left = parents.withColumns({"_p": bucket(parents), "_l": numbers})
-    right = levels.withColumns({"_l": bucket(levels), "_p": numbers})
+    left = dealt(parents, "_p", down, "_l", across)
+    right = dealt(levels, "_l", across, "_p", down)
     return left.join(right, ["_p", "_l"]).select(*parents.columns, *names)
 
 

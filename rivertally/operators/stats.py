@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivertally.operators.joins import if_small, null_safe_join
-from rivertally.operators.ordered import largest_group, running_total
 from rivertally.session import durable
 
 FUNCTIONS = {
@@ -41,47 +40,68 @@ def day_of_extreme(day: str, value: str, largest: bool = True) -> Column:
     return F.date_from_unix_date(best["d"])
 
 
-QUANTILE_VALUES = 500_000  # distinct values of one group that one task may hold
+ACCURACY = 10_000  # of the sketch that brackets a quantile: ranks are at most one in so many rows off
 
 
 # ----- quantiles ----------------------------------------------------------------------------
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], into: str = "q", most_values: int = QUANTILE_VALUES) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], into: str = "q", accuracy: int = ACCURACY) -> DataFrame:
     """Exact quantiles with linear interpolation, as an array per key; missing values are ignored.
 
-    Values are counted first (combined map-side), so a group costs its distinct values only. A
-    group with more than ``most_values`` distinct values is ranked across tasks instead of in one.
+    Two passes over the values, of any number per key. A mergeable sketch brackets each quantile between two values that
+    are surely below and above it. Then values are counted (combined map-side): each one inside a bracket by itself, all those between two brackets
+    together, with the smallest and the largest of them. That leaves some values in ``accuracy`` of a group, from which the wanted ranks
+    are read.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_count"))
+    asked = list(probs)
+    values = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
+    ends = [min(max(p + side * 2 / accuracy, 0.0), 1.0) for p in asked for side in (-1, 1)]
+    sketch = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"), F.array_sort(F.percentile_approx("_value", ends, accuracy)).alias("_ends")
+    )
+    # A few numbers per key, read three times.
+    sketch = durable(sketch)
+    bracketed = null_safe_join(values, if_small(sketch.select(*keys, "_ends")), keys, "left") if keys else values.withColumn("_ends", sketch.select("_ends").scalar())
+    inside = F.lit(False)
+    ordered = sorted(range(len(asked)), key=lambda i: asked[i])
+    merged: list[list[int]] = []
+    for i in ordered:  # brackets in order; those whose ends overlap become one
+        low, high = ends[2 * i], ends[2 * i + 1]
+        if merged and low <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    places = sorted(ends)
+    spans = [(places.index(low), len(places) - 1 - places[::-1].index(high)) for low, high in merged]
+    gap = F.lit(0)
+    for n, (low, high) in enumerate(spans):
+        inside = inside | F.col("_value").between(F.col("_ends")[low], F.col("_ends")[high])
+        gap = F.when(F.col("_value") > F.col("_ends")[high], n + 1).otherwise(gap)
+    slotted = bracketed.select(*keys, "_value", F.when(inside, F.col("_value")).alias("_own"), F.when(~inside, gap).alias("_gap"))
+    counted = slotted.groupBy(*keys, "_own", "_gap").agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_value").alias("_least"), F.max("_value").alias("_most")
     )
-    # Rows bound distinct values from above and are cheaper to count.
-    if largest_group(df, keys) <= most_values or largest_group(counted, keys) <= most_values:
-        return counted.groupBy(*keys).agg(F.percentile("_value", list(probs), F.col("_count")).alias(into))
-    ranked = running_total(counted, keys, ["_value"], "_count", "_before")
-    sizes = counted.groupBy(*keys).agg(F.sum("_count").alias("_total"))
-    placed = null_safe_join(ranked, sizes, keys, "left") if keys else ranked.withColumn("_total", sizes.scalar())
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    spot = (F.col("_total") - 1) * F.col("_prob")
-    low, high = F.floor(spot), F.ceil(spot)
-
-    def covers(rank: Column) -> Column:
-        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_count"))
-
-    # Only the values at a wanted rank survive: two rows at most per key and probability.
-    near = placed.withColumn("_prob", wanted).where(covers(low) | covers(high))
-    picked = near.groupBy(*keys, "_prob").agg(
-        F.max(F.when(covers(low), F.col("_value"))).alias("_low"),
-        F.max(F.when(covers(high), F.col("_value"))).alias("_high"),
-        F.first(spot - low).alias("_share"),
+    window = Window.partitionBy(*keys).orderBy("_least").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.withColumn("_before", F.coalesce(F.sum("_count").over(window), F.lit(0)))
+    placed = null_safe_join(ranked, sketch.select(*keys, "_total"), keys, "left") if keys else ranked.withColumn("_total", sketch.select("_total").scalar())
+
+    def at(rank: Column) -> Column:
+        """The value of a rank: that of its slot, or an end of the slot if it stands there."""
+        here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_count"))
+        first, last = rank == F.col("_before"), rank == F.col("_before") + F.col("_count") - 1
+        known = F.when(F.col("_gap").isNull() | first, F.col("_least")).when(last, F.col("_most"))
+        return F.max(F.when(here, F.coalesce(known, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))))
+
+    spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in asked]
+    picked = placed.groupBy(*keys).agg(
+        *[c for i, spot in enumerate(spots) for c in (at(F.floor(spot)).alias(f"_low{i}"), at(F.ceil(spot)).alias(f"_high{i}"), F.first(spot - F.floor(spot)).alias(f"_share{i}"))]
     )
-    # The weighting of the built-in percentile, so that both forms agree to the last digit.
-    share = F.col("_share")
-    step = F.when(share == 0, F.col("_low")).otherwise((1 - share) * F.col("_low") + share * F.col("_high"))
-    found = picked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_prob", step.alias("_q")))).alias("_all"))
-    # The inner array holds one entry per asked probability.
-    return found.select(*keys, F.transform("_all", lambda pair: pair["_q"]).alias(into))
+
+    def step(i: int) -> Column:
+        # The weighting of the built-in percentile, so that both agree to the last digit.
+        low, high, share = F.col(f"_low{i}"), F.col(f"_high{i}"), F.col(f"_share{i}")
+        return F.when(share == 0, low).otherwise((1 - share) * low + share * high)
+
+    return picked.select(*keys, F.array(*[step(i) for i in range(len(asked))]).alias(into))
 
 
 def length_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -134,7 +154,8 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
     Values that are not positive have no place on the axis and drop before the statistics.
     """
-    logs = df.where(F.col(value) > 0).select(*keys, F.log10(value).alias("_log"))
+    # Read three times: worked out once.
+    logs = durable(df.where(F.col(value) > 0).select(*keys, F.log10(value).alias("_log")))
     q = quantiles(logs, keys, "_log", [0.25, 0.5, 0.75]).select(
         *keys, F.col("q")[0].alias("_q1"), F.col("q")[1].alias("_q2"), F.col("q")[2].alias("_q3")
     )

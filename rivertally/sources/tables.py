@@ -78,6 +78,16 @@ def write_product(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, nullValue="NA", quote='"', escape='"')
 
 
+def write_split(df: DataFrame, key: str, folder: str) -> None:
+    """A table per value of ``key``, all in one write; rows without a value are a table too."""
+    df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(folder)
+
+
+def read_split(spark: SparkSession, folder: str, key: str, value: object) -> DataFrame:
+    """One of the tables of ``write_split``; None names that of the missing values. Only its folder is read."""
+    return spark.read.parquet(folder).where(F.col(key).eqNullSafe(F.lit(value)))
+
+
 def write_dim(df: DataFrame, path: str) -> None:
     """Rewrite a dimension; the new rows may have been read from the same place."""
     durable(df).write.mode("overwrite").parquet(path)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivertally import fixed_values as fixed
 from rivertally.functions.cleaning import with_missing
 from rivertally.functions.numbers import round_to
 from rivertally.functions.times import week_of_year
-from rivertally.operators import quality, rates, stats
-from rivertally.operators.joins import with_lifestage
+from rivertally.operators import days, quality, rates, stats
+from rivertally.operators.joins import union_all, with_lifestage
 from rivertally.operators.reshape import Children, attach_children, complete
-from rivertally.plans import hydrology, reports, views
-from rivertally.session import durable
+from rivertally.plans import hydrology, reports, season, views
+from rivertally.session import durable, new_folder
 from rivertally.workload import standins as s
 from rivertally.workload.registry import hours_sql, per, query, rounded
 
@@ -294,6 +294,59 @@ _EFFORT = f"""
 r AS (SELECT river, min(date) AS min_date, max(date) AS max_date, {hours_sql('sum(sec)', 1)} AS total_effort_hr, count(*) AS sampling_days FROM d GROUP BY 1)"""
 
 
+def _season(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Season tables from the states of four uploads, one of them added twice."""
+    sites, fish = _staged(spark, folder)
+    path = new_folder(spark, "season")
+    for upload in (0, 1, 2, 3, 1):
+        mine = F.col("key_a") % 4 == upload
+        season.add_upload(season.season_state(sites.where(mine), fish.where(mine)), path, upload)
+    return season.season_tables(season.current_state(spark, path))
+
+
+@query(_group_sql('"RiverCode" AS river', "river"), ["sites", "fish"])
+def season_river_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates per river from the sums of the season's uploads."""
+    return _season(spark, folder)["cpue_river"]
+
+
+@query(
+    _group_sql('CAST((dayofyear(ts) - 1) // 7 + 1 AS BIGINT) AS week, "RiverCode" AS river', "week, river") + " HAVING species IN ('SM', 'WE')",
+    ["sites", "fish"],
+)
+def season_week_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of the target species per week and river from the sums of the season's uploads."""
+    return _season(spark, folder)["cpue_week_target"]
+
+
+@query(
+    _EFFORT + """, n AS (SELECT "RiverCode" AS river, "SpeciesCode" AS species, CAST(count(*) AS BIGINT) AS n FROM fish JOIN sites USING ("SiteID") GROUP BY 1, 2)
+SELECT n.*, row_number() OVER (PARTITION BY river ORDER BY n DESC, species NULLS LAST) AS rank, min_date, max_date, total_effort_hr, sampling_days FROM n JOIN r USING (river)""",
+    ["sites", "fish"],
+)
+def season_effort_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Effort and fish per river and species, with the place of each row in its river's list."""
+    tables = _season(spark, folder)
+    # A list of a few rows per river, in the order that the table has.
+    order = Window.partitionBy("river").orderBy(F.col("n").desc_nulls_last(), F.col("species").asc_nulls_last())
+    ranked = tables["counts"].withColumn("rank", F.row_number().over(order).cast("long"))
+    return ranked.join(tables["effort"], "river")
+
+
+@query(
+    """SELECT "StudyCode", "RiverCode", CAST(year(ts) AS BIGINT) AS "Year", count(DISTINCT CAST(ts AS DATE)) AS days FROM sites
+GROUP BY GROUPING SETS (("StudyCode", "RiverCode", year(ts)), ("StudyCode", "RiverCode"), ("StudyCode"), ())""",
+    ["sites"],
+)
+def sampling_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct sampling days at four levels, from the merged day states of three batches."""
+    sites = s.sites(spark, folder).withColumn("Year", F.year("StartDateTime_UTC").cast("long"))
+    keys = ["StudyCode", "RiverCode", "Year"]
+    batches = [days.day_bitmaps(sites.where(F.col("SiteID") % 3 == i), keys, F.to_date("StartDateTime_UTC")) for i in range(3)]
+    state = durable(days.merge_days(union_all(*batches), keys))
+    return union_all(*[days.count_days_of(state, keys[:n]) for n in range(3, -1, -1)])
+
+
 @query(_EFFORT + "SELECT * FROM r", ["sites"])
 def effort_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rates.effort_by_river(_staged(spark, folder)[0])

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from rivertally.operators import joins
 
 
@@ -45,6 +48,34 @@ def test_lifestage_bounds_are_inclusive(spark, rows):
     ]
 
 
+@pytest.mark.parametrize("n", [3, 1000])
+def test_lifestage_pieces_equal_the_ranges(spark, rows, n):
+    """Overlapping, touching, single-point and empty ranges; lengths on and between bounds."""
+    rng = random.Random(n)
+    ranges = [("c", f"s{i}", a := rng.randrange(400), a + rng.randrange(-3, 40)) for i in range(n)]
+    lengths = [rng.randrange(-5, 460) + rng.choice([0.0, 0.5]) for _ in range(300)] + [None]
+    fish = spark.createDataFrame([("SM", x) for x in lengths], "SpeciesCode string, TotalLength_mm double")
+    species = spark.createDataFrame([("SM", "c")], "SpeciesCode string, LifeStageCode string")
+    stages = spark.createDataFrame(ranges, "LifeStageCode string, LifeStageAbbr string, MinTotalLength_mm long, MaxTotalLength_mm long")
+    want = []
+    for x in lengths:
+        found = [s for _, s, a, b in ranges if x is not None and a <= x <= b]
+        want += [("SM", x, s) for s in found or [None]]
+    got = [tuple(r) for r in joins.with_lifestage(fish, species, stages).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("hot", [0, 500])
+def test_full_join_deals_out_hot_keys(spark, rows, hot):
+    """The same rows as a plain full join, copies and missing keys too, and no task with all rows of a key."""
+    left = spark.createDataFrame([(None, 1), (1, 2), (2, 3), (2, 3)] + [(7, i // 2) for i in range(hot)], "k long, l long")
+    right = spark.createDataFrame([(None, "a"), (2, "b"), (2, "c"), (7, "d"), (7, "e"), (9, "f"), (9, "f")], "k long, r string")
+    want = joins.null_safe_join(left, right, ["k"], "full")
+    got = joins.full_join(left, right, ["k"])
+    assert got.columns == ["k", "l", "r"] and rows(got) == rows(want)
+    assert bool(joins.heavy_keys(left, ["k"])) == (hot > 0) or hot == 0
+
+
 def test_broadcast_only_when_counted_small(spark):
     small = spark.range(10)
     assert "broadcast" in joins.if_small(small, 10)._jdf.queryExecution().toString()

@@ -114,6 +114,14 @@ def test_grid_plan_has_no_cartesian_product(spark):
     assert grid.count() == 20
 
 
+def test_large_grids_are_cut_into_even_blocks(spark):
+    parents, levels = spark.range(300).unionByName(spark.range(3)), spark.range(40).withColumnRenamed("id", "l")
+    grid = reshape.level_grid(parents, levels, max_levels=1, block_cells=400)
+    assert grid.count() == 303 * 40 and grid.distinct().count() == 300 * 40
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_pivot_and_values(spark, rows):
     df = spark.createDataFrame([(1, "loc1", 5, "a"), (1, "mx", 9, "b"), (2, "loc2", 1, None)], "k long, location string, depth long, sub string")
     wide = reshape.pivot_wide(df, ["k"], "location", ["depth", "sub"], ["loc1", "loc2", "mx"])

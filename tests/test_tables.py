@@ -77,6 +77,15 @@ def test_conform_shapes_nested_rows(spark):
     assert second["Effort_Seconds"] is None and second["FishData"] == []
 
 
+def test_split_tables_are_read_by_folder(spark, tmp_path, rows):
+    df = spark.createDataFrame([("GR", 1), ("GR", 2), ("CO", 3), (None, 4)], "river string, n long")
+    io.write_split(df, "river", str(tmp_path / "s"))
+    for river in ("GR", "CO", None, "SJ"):
+        part = io.read_split(spark, str(tmp_path / "s"), "river", river)
+        assert rows(part, "river", "n") == rows(df.where(F.col("river").eqNullSafe(F.lit(river))))
+        assert "PartitionFilters: [" in part._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dimension_can_be_rewritten_from_itself(spark, tmp_path):
     path = str(tmp_path / "dim")
     io.write_dim(spark.range(2), path)
