@@ -117,7 +117,7 @@ def zero_filled_rates(hours_of: DataFrame, catch: DataFrame, names: Sequence[str
 
 
 # ----- rates over joined site and count rows ------------------------------------------------
-def _site_counts(sites: DataFrame, counts: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
+def site_counts(sites: DataFrame, counts: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
     """Sites with their counts, one row per site and species; ``_rows`` tells how many it stands for."""
     small = counts.groupBy(key, *labels).agg(
         F.sum("n_fish").alias("n_fish"), F.count_if(F.col("n_fish").isNull()).alias("_nulls"), F.count(F.lit(1)).alias("_rows")
@@ -130,7 +130,7 @@ def _site_counts(sites: DataFrame, counts: DataFrame, key: str, labels: Sequence
 
 def cpue_by_date(sites: DataFrame, counts: DataFrame, river: str = "cd_rvr", reach: str = "cd_rch", species: str = "cd_spp") -> DataFrame:
     """Unrounded rate per river, reach, species, date, discharge and temperature."""
-    joined = _site_counts(sites, counts, "id_site", [species])
+    joined = site_counts(sites, counts, "id_site", [species])
     seconds = F.sum(F.col("amt_effort_sec") * F.col("_rows"))
     grouped = joined.groupBy(river, reach, species, F.to_date("tm_end").alias("date"), "discharge", "temp").agg(
         hours(F.coalesce(seconds, F.lit(0))).alias("tot_effort"),
@@ -144,7 +144,7 @@ def cpue_by_reach(sites: DataFrame, counts: DataFrame, name: str = "cn_spp", cod
 
     A missing count makes its species' catch missing, and a missing catch drops too.
     """
-    joined = _site_counts(sites, counts, "id_site", [name, code])
+    joined = site_counts(sites, counts, "id_site", [name, code])
     seconds = F.when(
         F.count_if(F.col("amt_effort_sec").isNull()) == 0, F.sum(F.col("amt_effort_sec") * F.col("_rows"))
     )

@@ -127,6 +127,11 @@ def length_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 # ----- histograms -------------------------------------------------------------------------------
+def bin_center(value: str, width: float) -> Column:
+    """Centre of the bin of a value: bins are centred on multiples of ``width`` and closed on the right."""
+    return F.ceil(F.col(value) / F.lit(float(width)) - 0.5).cast("long") * F.lit(float(width))
+
+
 def histogram(df: DataFrame, keys: Sequence[str], value: str, width: float, fill_gaps: bool = False) -> DataFrame:
     """Counts in bins centred on multiples of ``width`` and closed on the right."""
     number = F.ceil(F.col(value) / F.lit(float(width)) - 0.5).cast("long")

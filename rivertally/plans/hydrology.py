@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivertally import fixed_values as fixed
 from rivertally.functions.times import display_date
-from rivertally.operators.joins import natural_join, null_safe_join
+from rivertally.operators.joins import null_safe_join
 from rivertally.operators.reshape import Children, attach_children
 from rivertally.operators.stats import across, day_of_extreme, quantiles
 
@@ -21,14 +21,15 @@ def daily_series(values: DataFrame) -> DataFrame:
 
     ``values``: staid, parameter, dates, val. A day with only one of the two is kept.
     """
-    def one(code: str, name: str) -> DataFrame:
-        return values.where(F.col("parameter") == code).select(
-            "staid", F.col("dates").alias("date"), F.col("val").alias(name)
-        )
-
-    discharge = one(fixed.DISCHARGE_PARAMETER, "discharge")
-    temperature = one(fixed.TEMPERATURE_PARAMETER, "temp")
-    return natural_join(discharge, temperature, "full")
+    wanted = {"discharge": fixed.DISCHARGE_PARAMETER, "temp": fixed.TEMPERATURE_PARAMETER}
+    listed = values.where(F.col("parameter").isin(list(wanted.values())))
+    # One aggregate; where a day has several values of both, each meets each, as in a join.
+    each = [F.collect_list(F.when(F.col("parameter") == code, F.struct(F.col("val").alias("v")))).alias(name) for name, code in wanted.items()]
+    days = listed.groupBy("staid", F.col("dates").alias("date")).agg(*each)
+    none = F.array(F.struct(F.lit(None).cast(values.schema["val"].dataType).alias("v")))
+    for name in wanted:
+        days = days.withColumn(name, F.explode(F.when(F.size(name) > 0, F.col(name)).otherwise(none))).withColumn(name, F.col(name)["v"])
+    return days
 
 
 def waterdata(values: DataFrame, stations: Sequence[StationRow] = fixed.STATIONS, name: str = "sta_name", river: str = "rvr_code", reach: str | None = "rch_code") -> DataFrame:

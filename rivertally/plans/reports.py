@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivertally import fixed_values as fixed
 from rivertally.functions.cleaning import before_season_end, is_in, not_in, report_reach
-from rivertally.functions.numbers import hours, round_to, total
+from rivertally.functions.numbers import hours, ratio, round_to, total
 from rivertally.functions.times import (
     display_count,
     display_date,
@@ -21,16 +21,16 @@ from rivertally.functions.times import (
 from rivertally.operators.joins import null_safe_join, with_lifestage
 from rivertally.operators.ordered import first_per_key
 from rivertally.operators.rates import (
-    cpue_by_date,
     cpue_by_group,
     cpue_by_lifestage,
-    cpue_by_reach,
     effort_by_river,
     effort_overall,
+    site_counts,
     target_only,
 )
-from rivertally.operators.stats import across, box_stats, count_days, histogram, length_summary
+from rivertally.operators.stats import across, bin_center, box_stats, count_days
 from rivertally.plans.hydrology import water_summary
+from rivertally.session import durable
 
 
 # ----- sites ---------------------------------------------------------------------------
@@ -112,32 +112,92 @@ def study_totals(rates: DataFrame, summary: DataFrame) -> tuple[DataFrame, DataF
     return spent, rates.groupBy("cd_spp").agg(F.sum("fish_ct").alias("fish_ct"))
 
 
+def report_bases(tables: Mapping[str, DataFrame], date_zone: str = "UTC") -> dict[str, DataFrame]:
+    """Three aggregates from which every table of the report is rolled up; each extract is read once, and each aggregate written once.
+
+    ``site``: sites with reach, day and water. ``catch``: catch and effort per reach, species, day and water. ``fish``: fish per site, species and
+    length. Sums keep beside them how many values were missing, since a missing one makes some sums missing.
+    """
+    sites = durable(report_sites(tables["site"], tables["water"], date_zone))
+    per_site = durable(
+        tables["fish"].groupBy("id_site", "cd_spp", "cn_spp", "tot_length").agg(
+            F.sum("n_fish").alias("n_fish"), F.count_if(F.col("n_fish").isNull()).alias("no_count"), F.count(F.lit(1)).alias("rows")
+        )
+    )
+    joined = site_counts(sites, tables["count"], "id_site", ["cn_spp", "cd_spp"])
+    places = ["cd_rvr", "cd_rch", "nm_rch", "cn_spp", "cd_spp", F.to_date("tm_end").alias("date"), "discharge", "temp"]
+    catch = joined.groupBy(*places).agg(
+        F.sum("n_fish").alias("n_fish"),
+        F.sum("_nulls").alias("no_count"),
+        F.sum(F.col("amt_effort_sec") * F.col("_rows")).alias("seconds"),
+        F.count_if(F.col("amt_effort_sec").isNull()).alias("no_effort"),
+    )
+    return {"site": sites, "catch": durable(catch), "fish": per_site}
+
+
+def date_rates(catch: DataFrame) -> DataFrame:
+    """``rates.cpue_by_date`` from the base aggregate."""
+    grouped = catch.groupBy("cd_rvr", "cd_rch", "cd_spp", "date", "discharge", "temp").agg(
+        hours(F.coalesce(F.sum("seconds"), F.lit(0))).alias("tot_effort"), F.coalesce(F.sum("n_fish"), F.lit(0)).alias("n_fish")
+    )
+    return grouped.withColumn("cpue_dt", ratio("n_fish", "tot_effort"))
+
+
+def reach_rates(catch: DataFrame) -> DataFrame:
+    """``rates.cpue_by_reach`` from the base aggregate."""
+    grouped = catch.groupBy("cd_rch", "nm_rch", "cn_spp", "cd_spp").agg(
+        F.when(F.sum("no_count") == 0, F.sum("n_fish")).alias("fish_ct"),
+        round_to(hours(F.when(F.sum("no_effort") == 0, F.sum("seconds"))), 2).alias("tot_effort"),
+    )
+    return grouped.withColumn("cpue", round_to(ratio("fish_ct", "tot_effort"), 2)).where("fish_ct > 0")
+
+
+def length_tables(fish: DataFrame, sites: DataFrame, width: float = 25) -> tuple[DataFrame, DataFrame]:
+    """Length summary and histogram per reach and species. Lengths are whole millimetres, so a group has few of them."""
+    lengths = durable(reach_lengths(fish, sites).groupBy("cd_rch", "cd_spp", "tot_length").agg(F.sum("rows").alias("rows")))
+    known = F.col("tot_length").isNotNull()
+    weighted = F.sum(F.when(known, F.col("tot_length") * F.col("rows")))
+    summary = lengths.groupBy("cd_rch", "cd_spp").agg(
+        F.min("tot_length").alias("min"),
+        F.percentile("tot_length", [0.25, 0.5, 0.75], F.col("rows")).alias("_q"),
+        ratio(weighted, F.sum(F.when(known, F.col("rows")))).alias("mean"),
+        F.max("tot_length").alias("max"),
+        F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("n_missing"),
+    )
+    quartiles = {name: F.col("_q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))}
+    summary = summary.select("cd_rch", "cd_spp", "min", quartiles["q1"], quartiles["median"], "mean", quartiles["q3"], "max", "n_missing")
+    center = bin_center("tot_length", width)
+    bins = lengths.where(known).groupBy("cd_rch", "cd_spp", center.alias("bin_center")).agg(F.sum("rows").alias("n"))
+    return summary, bins
+
+
 def annual_report_tables(tables: Mapping[str, DataFrame], d_species: DataFrame, d_lifestage: DataFrame, year: int, native: Sequence[str] = fixed.NATIVE_SPECIES, date_zone: str = "UTC", multiply: bool = False) -> dict[str, DataFrame]:
     """Every computed table of the annual report from its four extracts."""
-    sites = report_sites(tables["site"], tables["water"], date_zone)
-    rates = cpue_by_reach(sites, tables["count"])
+    bases = report_bases(tables, date_zone)
+    sites = bases["site"]
+    rates = durable(reach_rates(bases["catch"]))
     split = native_split(rates, native)
     summary = sampling_summary(sites)
     total_hours, species_totals = study_totals(rates, summary)
-    staged = with_lifestage(
-        tables["fish"], d_species, d_lifestage, species="cd_spp", length="tot_length"
-    ).where("ls IS NOT NULL")
-    stage_rates = cpue_by_lifestage(tables["site"], staged, ["cd_rvr", "nm_rvr"], multiply=multiply)
-    lengths = reach_lengths(tables["fish"], sites)
-    rivers = tables["site"].select("cd_rvr", "nm_rvr").distinct()
+    staged = with_lifestage(bases["fish"], d_species, d_lifestage, species="cd_spp", length="tot_length").where("ls IS NOT NULL")
+    # A sum with a missing count is missing.
+    staged = staged.withColumn("n_fish", F.when(F.col("no_count") == 0, F.col("n_fish")))
+    stage_rates = cpue_by_lifestage(sites, staged, ["cd_rvr", "nm_rvr"], multiply=multiply)
+    length_summary, length_histogram = length_tables(bases["fish"], sites)
+    rivers = sites.select("cd_rvr", "nm_rvr").distinct()
     water = sampled_water(sites, tables["water"], rivers, year)
     return {
         "sampling": format_summary(summary),
         "water": format_water(water_summary(tables["water"])),
         "flow_points": daily_points(water),
-        "cpue_date": cpue_by_date(sites, tables["count"]),
+        "cpue_date": date_rates(bases["catch"]),
         "cpue_reach": rates,
         "cpue_reach_native": split["native"],
         "cpue_reach_nonnative": split["nonnative"],
         "cpue_lifestage": stage_rates,
         "lifestage_box": box_stats(stage_rates, ["cd_rvr", "cd_spp", "ls"], "cpue"),
-        "length_summary": length_summary(lengths, ["cd_rch", "cd_spp"], "tot_length"),
-        "length_histogram": histogram(lengths, ["cd_rch", "cd_spp"], "tot_length", 25),
+        "length_summary": length_summary,
+        "length_histogram": length_histogram,
         "total_hours": total_hours,
         "species_totals": species_totals,
     }

@@ -349,16 +349,33 @@ def season_river_summary(spark: SparkSession, folder: str) -> DataFrame:
     return reports.season_update(staged["site"], fish)["river_summary"]
 
 
+_VIAL_SQL = """, k AS (SELECT *, bool_or(l_linenumber <> 5) OVER (PARTITION BY site_id, rmi) AS known FROM f),
+p AS (SELECT *, bool_or(known) OVER (PARTITION BY s_index ORDER BY datetime, key_aa ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS placed FROM k)"""
+
+
+def _vials(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    staged = _stage(spark, folder, "fish")
+    return electrofish.vial_extract(staged["site"], staged["fish"].where("key_aa IS NOT NULL"), c.null_text(_raw_vial(spark, folder)))
+
+
 @query(
     _SITE_SQL
-    + """SELECT site_id, river, reach, species, tot_length, 'v' || CAST(part AS VARCHAR) AS vial_num FROM f WHERE l_linenumber = 3 AND species IS NOT NULL"""
+    + _VIAL_SQL
+    + """SELECT site_id, river, reach, rmi, datetime, species, tot_length, weight, 'F' AS sex, 'EXP' AS rep_cond, disp, CAST(NULL AS VARCHAR) AS fish_notes, placed,
+    'v' || CAST(part AS VARCHAR) AS vial_num, 'fin' AS vial_type, CAST(NULL AS VARCHAR) AS vial_notes FROM p WHERE l_linenumber = 3 AND species IS NOT NULL"""
 )
 def vial_fish(spark: SparkSession, folder: str) -> DataFrame:
     """Fish with vials, with positions filled down inside their site."""
-    staged = _stage(spark, folder, "fish")
-    vials = c.null_text(_raw_vial(spark, folder))
-    out = electrofish.vial_extract(staged["site"], staged["fish"].where("key_aa IS NOT NULL"), vials)["fish"]
-    return out.select("site_id", "river", "reach", "species", "tot_length", "vial_num")
+    out = _vials(spark, folder)["fish"]
+    placed = (F.col("loc_x").isNotNull() & F.col("loc_y").isNotNull()).alias("placed")
+    names = ["site_id", "river", "reach", "rmi", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "species", "tot_length", "weight", "sex", "rep_cond", "disp", "fish_notes"]
+    return out.select(*names, placed, "vial_num", "vial_type", "vial_notes")
+
+
+@query(_SITE_SQL + """SELECT site_id, river, reach, el_sec, key_a FROM s WHERE key_a IN (SELECT key_a FROM f WHERE l_linenumber = 3 AND species IS NOT NULL)""")
+def vial_sites(spark: SparkSession, folder: str) -> DataFrame:
+    """The sites that the fish with vials came from."""
+    return _vials(spark, folder)["site"].select("site_id", "river", "reach", "el_sec", "key_a")
 
 
 @query(
