@@ -142,22 +142,16 @@ def _linked(key: tuple, rows: pa.Table, least: float) -> pa.Table:
     return pa.table({"rep": rep[met], "links": counts[met], "label": label[met]})
 
 
-def embedding_groups(vectors: DataFrame, least: float = COSINE) -> DataFrame:
-    """``vec_id``, ``n_links``, ``component_id``, ``kept``: one row per vector.
-
-    Two vectors are linked if their cosine, in double precision, is at least ``least``; they must have the same number of
-    components. Vectors without a direction link with nothing. Equal rows are one vector. An identifier that comes
-    with different vectors names none of them, as does a missing one: it links with nothing. Equal
-    vectors of different identifiers are linked, and compared with others once.
-    """
-    spark = vectors.sparkSession
+def _grouped(vectors: DataFrame, least: float) -> DataFrame:
+    """``vid``, ``vec`` (null without a direction), ``n_links`` and ``component`` (null where no identifier is known) of every row."""
     named = vectors.select(known_id("vec_id").alias("vid"), F.col("embedding").cast("array<double>").alias("vec"))
-    # count(distinct) leaves missing vectors out, so they are counted by themselves.
-    one = named.groupBy("vid").agg(F.min("vec").alias("vec"), (F.min("vec") != F.max("vec")).alias("differ"), F.count_if(F.col("vec").isNull()).alias("missing"))
-    clear = ~F.coalesce("differ", F.lit(False)) & (F.col("missing") == 0) & given_id("vid").isNotNull()
-    rows = durable(one.select("vid", F.when(clear & usable(F.col("vec")), F.col("vec")).alias("vec")))
+    rows = durable(named.select("vid", F.when(usable(F.col("vec")), F.col("vec")).alias("vec")))
+    # Distinct vectors are compared, under numbers of their own that hold once they are written.
     distinct = durable(
-        rows.where("vec is not null").groupBy("vec").agg(F.min("vid").alias("rep"), F.count(F.lit(1)).alias("copies")).select("rep", "copies", "vec", F.size("vec").alias("dim"))
+        rows.where("vec is not null")
+        .groupBy("vec")
+        .agg(F.min(given_id("vid")).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select(F.monotonically_increasing_id().alias("rep"), "first", "copies", "vec", F.size("vec").alias("dim"))
     )
     n = distinct.count()
     every = max(1, n // SAMPLE)
@@ -181,13 +175,27 @@ def embedding_groups(vectors: DataFrame, least: float = COSINE) -> DataFrame:
 
     groups = components(met.select("rep", "label"), "rep", "label")
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
-    found = (
+    found = durable(
         distinct.join(links, "rep", "left")
         .join(groups, F.col("rep") == F.col("node"), "left")
-        .select("vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component"))
+        .select("vec", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
     )
-    out = rows.join(found, "vec", "left").select(
-        given_id("vid").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), given_id(F.coalesce("component", "vid")).alias("component_id")
+    smallest = found.groupBy("root").agg(F.min("first").alias("component"))
+    return rows.join(found.join(smallest, "root").select("vec", "n_links", "component", F.lit(True).alias("met")), "vec", "left")
+
+
+def embedding_groups(vectors: DataFrame, least: float = COSINE) -> DataFrame:
+    """``vec_id``, ``n_links``, ``component_id``, ``kept``: one row for each row of ``vectors``.
+
+    Two vectors are linked if their cosine, in double precision, is at least ``least``; they must have the same number of
+    components. Vectors without a direction link with nothing. Every row is a vector of its own, also where rows share an identifier, have
+    none, or repeat each other: equal vectors are linked, and compared with others once. ``component_id`` is the smallest
+    known identifier that a vector reaches, null if it reaches none.
+    """
+    out = _grouped(vectors, least).select(
+        given_id("vid").alias("vec_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("met"), F.col("component")).otherwise(given_id("vid")).alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
@@ -202,6 +210,8 @@ def partial_with_key(function, least: float):
 
 
 def representatives(vectors: DataFrame, least: float = COSINE) -> DataFrame:
-    """The rows of ``vectors`` that stay: those of identifiers that are the smallest of their group."""
-    kept = embedding_groups(vectors, least).where("kept").select(F.col("vec_id").alias("__kept"))
-    return vectors.join(kept, vectors["vec_id"] == kept["__kept"], "left_semi")
+    """The rows of ``vectors`` that stay: those that bear the smallest identifier of their group. Rows that repeat such a row stay with it."""
+    grouped = _grouped(vectors, least).where(~F.coalesce("met", F.lit(False)) | (F.col("vid") == F.col("component")))
+    kept = grouped.select(F.col("vid").alias("__vid"), F.col("vec").alias("__vec")).distinct()
+    own = F.when(usable(vectors["embedding"].cast("array<double>")), vectors["embedding"].cast("array<double>"))
+    return vectors.join(kept, (known_id(vectors["vec_id"]) == kept["__vid"]) & own.eqNullSafe(kept["__vec"]), "left_semi")

@@ -62,10 +62,19 @@ def test_rows_without_a_direction(spark):
         (None, v), (None, v), (11, [1.0, 2.0, 3.0, 0.0]), (12, [1.0, 2.0, 3.0, 0.0]), (13, v),
     ]
     frame = spark.createDataFrame([(i, x, 0, 0, 0) for i, x in rows], SCHEMA)
-    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_groups(frame).collect()}
-    alone = {i: (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10)}
-    assert got == alone | {1: (2, 1), 2: (2, 1), 13: (2, 1), 11: (1, 11), 12: (1, 11), None: (0, None)}
-    assert embeddings.representatives(frame).where("vec_id in (1, 2, 13)").count() == 1
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.embedding_groups(frame).collect()]
+    alone = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10)]  # 9 and 10 by their other vector
+    same = [(i, 7, 1, i == 1) for i in (1, 2, 2, 9, 10, None, None, 13)]
+    assert sorted(got, key=str) == sorted([*alone, *same, (11, 1, 11, True), (12, 1, 11, False)], key=str)
+    stay = sorted((r.vec_id, r.embedding) for r in embeddings.representatives(frame).where("vec_id in (1, 2, 9, 10, 13)").collect())
+    assert stay == [(1, v), (9, [3.0, 2.0, 1.0]), (10, None)]
+
+
+def test_groups_without_identifiers(spark):
+    v, w = [1.0, 2.0, 3.0], [-3.0, 1.0, 0.0]
+    frame = spark.createDataFrame([(i, x, 0, 0, 0) for i, x in [(None, v), (None, v), (5, w), (4, w), (5, v[::-1])]], SCHEMA)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.embedding_groups(frame).collect()), key=str)
+    assert got == sorted([(None, 1, None, False), (None, 1, None, False), (5, 1, 4, False), (4, 1, 4, True), (5, 0, 5, True)], key=str)
 
 
 def test_empty(spark):
