@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -103,11 +104,17 @@ class Encoder:
         return np.frombuffer(b"".join(got), self.type)
 
 
+def _ends_in_a_letter(word: str) -> bool:
+    """Whether a word still ends in a letter once it is normalised: some letters become a letter and a mark, which the library then reads together
+    with the punctuation behind it."""
+    return all(unicodedata.category(form[-1])[0] == "L" for form in (unicodedata.normalize("NFC", word), unicodedata.normalize("NFC", word.lower())))
+
+
 def _parts(piece: str, small: bool) -> tuple[str, ...]:
     """What a piece has the same ids as: a word and the mark after it stand for themselves, and ASCII capitals for small
     letters if the vocabulary makes letters ``small``."""
     word, mark = (piece[:-1], piece[-1:]) if piece[-1] in ",.!?;:" else (piece, "")
-    if not word.isalpha():
+    if not word.isalpha() or not (word.isascii() or _ends_in_a_letter(word)):
         return (piece,)
     word = word.lower() if small and word.isascii() else word
     return (word, mark) if mark else (word,)

@@ -77,3 +77,14 @@ def test_memory_starts_anew(monkeypatch, library):
 
 def test_empty(empty):
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_every_letter_before_a_mark(library):
+    """The same ids as the library for every letter before each mark that is cut off, also those that normalise to a letter and a mark."""
+    encoder = packing.Encoder(PATH)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    assert len([c for c in letters if not packing._ends_in_a_letter(c)]) >= 50
+    odd = [c for c in letters if not packing._ends_in_a_letter(c)] + letters[::97]
+    texts = [f"{c}{m}" for c in odd for m in "?.,"] + [f"İ?{c}: x{c}!" for c in odd]
+    for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encoder.ids(text).tolist() == e.ids, text
