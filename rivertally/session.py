@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+#: The shuffle files of a query are dropped when it ends, not when the driver happens to collect garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` takes dotted keys with ``__`` for dots."""
@@ -59,8 +62,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` out once and go on from the written table.
 
     The table lies in the shared folder, so it outlives any executor, cuts the lineage, and later
-    steps read only the columns they need.
+    steps read only the columns they need. Nothing reads the shuffles of the write again, so Spark drops their files at its end.
     """
-    path = new_folder(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = new_folder(spark, "table"), spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
