@@ -6,88 +6,101 @@ can share (positional and length filter). What passes is compared in full.
 
 The join is laid out so that groups of copies cost rows in proportion to their size:
 
-1. Equal sets meet under one hash; all but the first are removed, and take no further part in large groups.
-2. Under every prefix word each line is compared with the first line that has it.
-3. In small groups all pairs are compared. In large groups only lines that are still in question are, so that
-   the members of a group of near copies, which step 2 has settled, aren't paired with each other.
-
-The prefix words are worked out and shuffled once; what they have shown is written, and each later step is a plan
-of its own that reads from there.
+1. Equal sets meet under one hash, by an aggregate; all but the first are removed and take no further part.
+2. Sets that share a prefix word with few others are paired with all of them.
+3. Under every other prefix word each line is compared with the first line that has it, and only lines that
+   are still in question then are paired with the rest, so that the members of a group of near copies, which the
+   first one has settled, aren't paired with each other.
 """
 
 from __future__ import annotations
 
-from math import log2
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivertally.llm.common import given_id, words_of
+from rivertally.llm.common import WORD, given_id
 from rivertally.llm.order import row_keys
 from rivertally.session import durable
 
 #: Jaccard similarity from which a line is removed, as a fraction.
 SHARED, OF = 4, 5
-#: Frequent words that are told apart by frequency (the rest are rare ones), and those that the sketch follows. They are
-#: part of the plan's text, which Spark logs over and over, so they are few.
-FREQUENT, FOLLOWED = 96, 10_000
+#: Words are counted in so many buckets by hash (a power of two): the table of their frequencies is 8 bytes for each, whatever the
+#: texts hold. Words of one bucket count as equally rare, and go by hash.
+BUCKETS = 1 << 18
 #: Lines under one word up to which all pairs are compared at once.
-SMALL_GROUP = 32
+SMALL_GROUP = 1024
 
 
-def word_hashes(line: Column) -> Column:
-    return F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w)))
+def _cut(text: Column) -> Column:
+    """Words of a text, with empty ones where blanks follow each other."""
+    for blank in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.split(text, " ")
 
 
-def frequent_words(rows: DataFrame) -> list[tuple[int, int]]:
-    """Hash and estimated number of the words used most in all texts: at most FREQUENT, by a mergeable sketch."""
-    words = rows.select(F.explode(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))).alias("h"))
-    top = words.agg(F.expr(f"approx_top_k(h, {FREQUENT}, {FOLLOWED})").alias("top")).first()["top"] or []
-    return [(r["item"], r["count"]) for r in top]
+def word_hashes(line: Column) -> Column:
+    """Hashes of the distinct words of a line."""
+    return F.array_distinct(F.transform(F.array_remove(_cut(line), ""), lambda w: F.xxhash64(w)))
 
 
-def rarity_key(frequent: list[tuple[int, int]]) -> str:
-    """SQL for the sort key of a word hash ``h``: rare words first, then ever more frequent ones; ties by hash."""
-    if not frequent:
-        return "shiftrightunsigned(h, 7)"
-    least = min(c for _, c in frequent)
-    steps: dict[int, list[int]] = {}
-    for item, c in frequent:
-        steps.setdefault(1 + min(40, int(2 * log2(c / least))), []).append(item)
+def set_lines(rows: DataFrame) -> DataFrame:
+    """``rk``, ``no`` and word hashes ``t`` of every line that has words."""
+    lines = rows.select("rk", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    return lines.where(F.col("line").rlike(WORD)).select("rk", "no", word_hashes(F.col("line")).alias("t"))
+
 
-    def among(items: list[int]) -> str:
-        return f"h IN ({', '.join(f'{i}L' if i > -(2**63) else 'bigint(-9223372036854775808)' for i in items)})"
+def word_levels(rows: DataFrame) -> DataFrame:
+    """One row: for each bucket of word hashes, the high bits of the sort key of its words, more for frequent ones.
 
-    cases = " ".join(f"WHEN {among(items)} THEN {step}L" for step, items in sorted(steps.items()))
-    return f"shiftleft(CASE {cases} ELSE 0L END, 57) | shiftrightunsigned(h, 7)"
+    All words of all texts are counted. Levels are half powers of two.
+    """
+    words = rows.select(F.explode(_cut(F.col("text"))).alias("word")).where("word != ''")
+    counted = words.groupBy(F.expr(f"xxhash64(word) & {BUCKETS - 1}L").alias("bucket")).count()
+    level = F.shiftleft(F.least(F.lit(63), 1 + F.floor(2 * F.log2("count"))).cast("long"), 57)
+    every = rows.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket")).join(counted.select("bucket", level.alias("level")), "bucket", "left")
+    ordered = every.agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("level", F.lit(0).cast("long")).alias("level")))).alias("all"))
+    return ordered.select(F.col("all.level").alias("levels"))
 
 
-def prefix_rows(rows: DataFrame, key: str) -> DataFrame:
-    """``key``, ``rk``, ``no``, ``n``, ``pos``: a row per prefix word of every line that has words, and one for its whole set.
+def line_sets(rows: DataFrame, levels: DataFrame) -> DataFrame:
+    """``rk``, ``no``, size ``n``, two hashes ``h`` and ``h2`` of the set, 128 bits ``low`` and ``high`` and its ``prefix``, rarest words first, for every line that has words.
 
-    The latter has ``pos`` -1 and a second hash of the set in ``n``.
+    Each word turns one of the bits, so two sets differ in at least as many words as their bits differ in.
     """
-    lines = rows.select("rk", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    keyed = lines.select("rk", "no", word_hashes(F.col("line")).alias("t")).where(F.size("t") > 0)
-    ordered = keyed.select("rk", "no", F.expr(f"sort_array(transform(t, h -> {key}))").alias("keys"))
-    n = F.size("keys").cast("long")
-    length = F.size("keys") - F.ceil(F.size("keys") * SHARED / OF).cast("int") + 1
-    whole = F.struct(F.xxhash64("keys").alias("key"), F.lit(-1).alias("pos"), F.xxhash64("keys", F.lit(1)).alias("n"))
-    prefix = F.transform(F.slice("keys", F.lit(1), length), lambda k, i: F.struct(k.alias("key"), i.alias("pos"), n.alias("n")))
-    return ordered.select("rk", "no", F.explode(F.concat(F.array(whole), prefix)).alias("p")).select("p.key", "rk", "no", "p.n", "p.pos")
+    ordered = (
+        set_lines(rows)
+        .withColumn("levels", levels.scalar())
+        .select("rk", "no", F.expr(f"sort_array(transform(t, h -> get(levels, cast(h & {BUCKETS - 1}L as int)) | shiftrightunsigned(h, 7)))").alias("keys"))
+    )
+    both, high = (F.expr(f"aggregate(keys, 0L, (a, k) -> a ^ shiftleft({bit}, cast(k & 63 as int)))") for bit in ("1L", "shiftright(k, 6) & 1L"))
+    n = F.size("keys")
+    length = n - F.ceil(n * SHARED / OF).cast("int") + 1
+    hashes = [F.xxhash64("keys").alias("h"), F.xxhash64("keys", F.lit(1)).alias("h2")]
+    return ordered.select("rk", "no", n.alias("n"), *hashes, both.bitwiseXOR(high).alias("low"), high.alias("high"), F.slice("keys", F.lit(1), length).alias("prefix"))
+
+
+def _may_match() -> Column:
+    """Length and positional filter, and the bits, for two sets (``n``, ``pos``, ``low``, ``high``, and the same with 2) that share the word at these positions."""
+    n, n2 = F.col("n"), F.col("n2")
+    at_most = F.least(n - F.col("pos"), n2 - F.col("pos2"))
+    apart = F.bit_count(F.col("low").bitwiseXOR(F.col("low2"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high2")))
+    return (
+        (OF * F.least(n, n2) >= SHARED * F.greatest(n, n2)) & ((SHARED + OF) * at_most >= SHARED * (n + n2)) & ((SHARED + OF) * apart <= (OF - SHARED) * (n + n2))
+    )
 
 
-def _may_match(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
-    """Length and positional filter for two sets that share the word at these positions."""
-    at_most = 1 + F.least(n1 - p1, n2 - p2) - 1
-    return (OF * F.least(n1, n2) >= SHARED * F.greatest(n1, n2)) & ((SHARED + OF) * at_most >= SHARED * (n1 + n2))
+def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
+    """``rk``, ``no`` of lines of ``x`` and ``rk2``, ``no2`` of earlier lines of ``y`` that share a prefix word and pass the filters."""
+    z = y.select("key", *(F.col(c).alias(f"{c}2") for c in ("rk", "no", "n", "pos", "low", "high")))
+    before = (F.col("rk2") < F.col("rk")) | ((F.col("rk2") == F.col("rk")) & (F.col("no2") < F.col("no")))
+    return x.join(z, "key").where(before & _may_match()).select("rk", "no", "rk2", "no2")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """``rk``, ``no`` of the lines of ``pairs`` (``rk``, ``no``, ``rk2``, ``no2``) that are as similar as asked for to their partner."""
     wanted = pairs.select("rk", "no").union(pairs.select("rk2", "no2")).groupBy("rk").agg(F.collect_set("no").alias("wanted"))
     fetched = rows.join(wanted, "rk").select("rk", F.explode("wanted").alias("no"), F.split("text", "\n").alias("lines"))
-    words = fetched.select("rk", "no", word_hashes(F.get("lines", F.col("no"))).alias("t"))
+    words = durable(fetched.select("rk", "no", word_hashes(F.get("lines", F.col("no"))).alias("t")))
     other = words.select(F.col("rk").alias("rk2"), F.col("no").alias("no2"), F.col("t").alias("t2"))
     shared = F.size(F.array_intersect("t", "t2"))
     enough = (SHARED + OF) * shared >= SHARED * (F.size("t") + F.size("t2"))
@@ -100,36 +113,34 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     ``rows`` has ``rk`` and ``text``. Lines are judged on the input; earlier means a smaller ``rk``, or the same and a
     smaller ``no``. Lines without words match nothing.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = prefix_rows(rows, rarity_key(frequent_words(rows))).repartition(parts, "key")
-    group = Window.partitionBy("key", "set")
-    leader = F.first(F.struct("rk", "no", "n", "pos")).over(group.orderBy("rk", "no"))
-    whole = F.col("pos") < 0
-    seen = met.withColumn("set", F.when(whole, F.col("n")).otherwise(0)).select("*", leader.alias("first"), F.count(F.lit(1)).over(group).alias("members"))
-    later = (F.col("first.rk") != F.col("rk")) | (F.col("first.no") != F.col("no"))
-    like_first = later & (whole | _may_match(F.col("n"), F.col("pos"), F.col("first.n"), F.col("first.pos")))
-    # What the prefix words have shown is written once: equal lines, lines to be compared with the first, and groups of three and more.
-    columns = ["key", "rk", "no", "n", "pos"]
+    sets = durable(line_sets(rows, durable(word_levels(rows))))
+    repeated = durable(sets.groupBy("h", "h2").agg(F.min(F.struct("rk", "no")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
+    marked = sets.join(repeated, ["h", "h2"], "left").withColumn("copy", F.coalesce(F.col("first") != F.struct("rk", "no"), F.lit(False)))
+    copies = durable(marked.where("copy").select("rk", "no"))
+    # From here on every set is there once, as its first line. That no column is null is said for the sake of the plan: all uses
+    # of the prefix rows then read one shuffle.
+    kept = ["rk", "no", "n", "low", "high"]
+    firsts = durable(marked.where("not copy").select(*kept, "prefix"))
+    for column in kept:
+        firsts = firsts.where(F.col(column).isNotNull())
+    # Sets of fewer than nine words together are as similar as asked for only if they are equal.
+    firsts = firsts.where(f"n > {SHARED - 1}")
+    prefix = firsts.select(*kept, F.posexplode("prefix").alias("pos", "key")).where("key is not null")
+    members = prefix.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = prefix.join(members, "key")
+    small = met.where(f"members <= {SMALL_GROUP}")
+    large_row = [F.lit(None).cast("long").alias("rk2"), F.lit(None).cast("int").alias("no2"), "key", "n", "pos", "low", "high"]
+    no_row = [F.lit(None).cast(kind).alias(c) for c, kind in {"key": "long", "n": "int", "pos": "int", "low": "long", "high": "long"}.items()]
     found = durable(
-        seen.where("members > 1")
-        .select(*columns, "members", *(F.when(like_first, F.col(f"first.{c}")).alias(f"{c}2") for c in ("rk", "no")))
-        .where((whole & F.col("rk2").isNotNull()) | (~whole & (F.col("rk2").isNotNull() | (F.col("members") > 2))))
+        _pairs(small, small).select("rk", "no", "rk2", "no2", *no_row).unionByName(met.where(f"members > {SMALL_GROUP}").select("rk", "no", *large_row))
     )
-
-    copies = durable(found.where(whole).select("rk", "no").distinct())
-    near_first = found.where(~whole & F.col("rk2").isNotNull()).select("rk", "no", "rk2", "no2").distinct().join(copies, ["rk", "no"], "left_anti")
-    settled = durable(copies.union(_verified(durable(near_first), rows)).distinct())
-
-    def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
-        z = y.select("key", F.col("rk").alias("rk2"), F.col("no").alias("no2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-        before = (F.col("rk2") < F.col("rk")) | ((F.col("rk2") == F.col("rk")) & (F.col("no2") < F.col("no")))
-        return x.join(z, "key").where(before & _may_match(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).select("rk", "no", "rk2", "no2")
-
-    small = found.where(~whole & F.expr(f"members between 3 and {SMALL_GROUP}")).select(*columns)
-    large = found.where(~whole & (F.col("members") > SMALL_GROUP)).select(*columns).join(copies, ["rk", "no"], "left_anti")
+    large = found.where("key is not null").select("key", *kept, "pos")
+    first = large.groupBy("key").agg(F.min(F.struct(*kept, "pos")).alias("first")).select("key", "first.*")
+    near = durable(found.where("key is null").select("rk", "no", "rk2", "no2").union(_pairs(large, first)).distinct())
+    settled = durable(_verified(near, rows))
     in_question = durable(large.join(settled, ["rk", "no"], "left_anti"))
-    open_pairs = pairs(small, small).union(pairs(in_question, large)).distinct().join(settled, ["rk", "no"], "left_anti")
-    return settled.union(_verified(durable(open_pairs), rows)).distinct()
+    still_open = durable(_pairs(in_question, large).distinct().join(near, ["rk", "no", "rk2", "no2"], "left_anti"))
+    return copies.union(settled).union(_verified(still_open, rows)).distinct()
 
 
 def without_repeated_lines(rows: DataFrame) -> DataFrame:

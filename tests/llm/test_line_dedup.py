@@ -56,8 +56,8 @@ def test_large_groups(spark, monkeypatch):
     check(spark, similar_lines(2, 60, 8))
 
 
-def test_without_frequent_words(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "frequent_words", lambda rows: [])
+def test_any_order_of_words_will_do(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BUCKETS", 2)
     check(spark, similar_lines(3, 40, 6))
 
 
