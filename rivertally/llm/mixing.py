@@ -31,8 +31,6 @@ PERIOD = 1000
 MOST_WEIGHT = 0.25
 #: The lane of sources that given weights leave out.
 POOL = "rest"
-#: A source beside others that hold less than this share together is in the mix whole.
-LEAST_OTHERS = Fraction(1, 1000)
 #: So many blocks of the run are held at once.
 AT_ONCE = 1 << 17
 
@@ -116,17 +114,15 @@ def schedule(given: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
 def blocks_in_mix(weights: Mapping[str, Rational], held: Mapping[str, int], block_bytes: int) -> dict[str, int]:
     """Blocks of each lane that are in the mix: all of them, except for the lane that would be left alone at the end.
 
-    That one stops with the last of the others: what it holds above its weight beside them is left over. Where the others hold less
-    than ``LEAST_OTHERS`` of all bytes together, there is nothing to mix with, and it is in the mix whole.
+    That one stops with the last of the others: what it holds above its weight beside them is left over. One lane alone is whole.
     """
     blocks = {k: max(1, -(-v // block_bytes)) for k, v in held.items()}
     if len(held) < 2:
         return blocks
     ends = {k: Fraction(max(1, v)) / Fraction(weights[k]) for k, v in held.items()}
     longest = max(ends, key=lambda k: (ends[k], k))
-    if sum(held.values()) - held[longest] >= LEAST_OTHERS * sum(held.values()):
-        stop = max(v for k, v in ends.items() if k != longest) * Fraction(weights[longest])
-        blocks[longest] = min(blocks[longest], max(1, ceil(stop / block_bytes)))
+    stop = max(v for k, v in ends.items() if k != longest) * Fraction(weights[longest])
+    blocks[longest] = min(blocks[longest], max(1, ceil(stop / block_bytes)))
     return blocks
 
 
@@ -203,7 +199,13 @@ def mixing_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` that are in the mix, with the columns of ``docs``."""
-    chosen = mix(docs, weights).where("in_mix").select(F.col("did").alias("__did"), F.col("th").alias("__th"))
-    keyed = docs.withColumns({"__did": known_id("doc_id"), "__th": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
-    return keyed.join(chosen, ["__did", "__th"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs``, with its columns, in the order of the mix.
+
+    Without ``weights`` every row stays, and what one source holds above its weight beside the others comes last. Given ``weights`` leave
+    that out, and the sources that they don't name. Rows that repeat each other stand together.
+    """
+    placed = mix(docs, weights)
+    placed = placed if weights is None else placed.where("in_mix")
+    places = placed.groupBy("did", "th").agg(F.min(F.struct("slot", "place")).alias("at"))
+    keyed = docs.select(known_id("doc_id").alias("did"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("th"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    return keyed.join(places, ["did", "th"]).orderBy("at").select("row.*")

@@ -67,7 +67,8 @@ def test_lanes_leave():
     assert all(release <= slot < deadline for _, _, release, deadline, slot in placed)
     # The last to go beside d is b, after 50 / 3 units.
     assert mixing.blocks_in_mix(weights, {k: 10 * v for k, v in blocks.items()}, 10) == {"a": 40, "b": 50, "c": 1, "d": 17}
-    assert mixing.blocks_in_mix({"a": 1, "b": 1}, {"a": 10**9, "b": 1}, 10) == {"a": 10**8, "b": 1}
+    # What is in the mix grows evenly with the smaller source, down to its last block.
+    assert [mixing.blocks_in_mix({"a": 1, "b": 1}, {"a": 10**9, "b": b}, 10)["a"] for b in (1, 10, 999_990, 1_000_000, 1_000_010)] == [1, 1, 99_999, 100_000, 100_001]
 
 
 @pytest.mark.parametrize(
@@ -100,6 +101,17 @@ def test_every_source_is_a_lane(spark):
     assert (inside.source == "b").sum() == 2000 and (inside.source == "a").sum() == 1
 
 
+def test_every_row_stays_in_order(spark):
+    rows = [(i, "x" * 100, "a" if i >= 30 else "b") for i in range(3000)] + [(7, "x" * 100, "b")]  # a repeated row
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [(r.doc_id, r.source) for r in mixing.mixed(docs).collect()]
+    assert Counter(i for i, _ in out) == Counter(i for i, *_ in rows)
+    slots = {r.did: (r.slot, r.place) for r in mixing.mix(docs).orderBy("slot", "place", ascending=False).collect()}  # the first place of each
+    assert [i for i, _ in out] == sorted((i for i, *_ in rows), key=slots.get)
+    few = mixing.mixed(docs, {"a": 1, "b": 1}).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in few}["b"] == 31 and {r["source"]: r["count"] for r in few}["a"] < 200
+
+
 def test_given_weights(spark):
     docs = spark.createDataFrame([(i, "y" * 50, "ab c"[i % 4]) for i in range(400)], "doc_id long, text string, source string")
     kept = mixing.mixed(docs, {"a": 3.0, "b": 1.0, "unknown": 9.0}).groupBy("source").count().collect()

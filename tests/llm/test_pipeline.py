@@ -29,7 +29,8 @@ def test_stages(spark):
     assert ids[0] == {r.doc_id for r in quality_rules.quality_rules(source).where("kept").collect()}
     assert ids[1] == ids[0] and outs[1].agg({"n_chars": "sum"}).first()[0] < outs[0].agg({"n_chars": "sum"}).first()[0]
     assert ids[2] == {r.component_id for r in simhash.simhash_report(outs[1]).collect()}
-    assert ids[3] == {r.doc_id for r in mixing.mixing_report(outs[2]).where("in_mix").collect()}
+    slots = {r.doc_id: (r.slot, r.place) for r in mixing.mixing_report(outs[2]).collect()}
+    assert ids[3] == ids[2] and [r.doc_id for r in mixing.mixed(outs[2]).collect()] == sorted(ids[2], key=slots.get)
     assert ids[4] == ids[3]
 
 
@@ -55,4 +56,4 @@ def test_sql(spark, name):
 
 def test_names():
     names = [n for n in entry_module.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and "pipeline" in entry_module.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and "pipeline" in entry_module.queries()
