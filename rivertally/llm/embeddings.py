@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, FloatType
 
 from rivertally.llm.common import given_id, known_id
 from rivertally.llm.graph import components
@@ -25,7 +26,7 @@ COSINE = 0.95
 SAMPLE = 32_768
 MOST_CELLS = 4_096
 ROUNDS = 8
-#: Members of a cell that are compared in one piece; larger cells are compared piece by piece.
+#: Owners or visitors of a cell that are compared in one piece; larger cells are compared piece by piece.
 BLOCK = 2_048
 _SLACK = 1e-9
 
@@ -97,54 +98,50 @@ def _assigned(batches: Iterator[pa.RecordBatch], centres: dict[int, np.ndarray],
 
 
 def _linked(key: tuple, rows: pa.Table, least: float) -> pa.Table:
-    """Links between the members of one piece, or of two pieces, of a cell: summed per vector, with a group label.
+    """Links between a piece of a cell's owners and a piece of its owners or visitors: summed per vector, with a group label.
 
     Two visitors meet at home or elsewhere, so they are not compared here. A visitor from a smaller cell
-    is left to that cell by those owners that visit it.
+    is left to that cell by those owners that visit it. Links are few among the products, so they are kept as pairs.
     """
-    dim, cell, p, q = (k.as_py() for k in key)
+    _, cell, p, q = (k.as_py() for k in key)
     rows = rows.combine_chunks()
-    x = _directions(rows["vec"].combine_chunks(), dim)
     rep, copies, home, piece = (rows[c].to_numpy() for c in ("rep", "copies", "home", "piece"))
-    visits = rows["visits"].combine_chunks()
-    visited = visits.flatten().to_numpy(zero_copy_only=False)
-    visitor_of = np.repeat(np.arange(len(rep)), visits.value_lengths().to_numpy(zero_copy_only=False))
     a, b = np.flatnonzero(piece == p), np.flatnonzero(piece == q)
-    link = np.empty((len(a), len(b)), bool)
-    for i in range(0, len(a), 512):
-        link[i : i + 512] = x[a[i : i + 512]] @ x[b].T >= least
-    owner = home == cell
-    link &= owner[a][:, None] | owner[b][None, :]
-    for source in np.unique(home[~owner & (home < cell)]):
-        guests = home == source
-        leaves = np.zeros(len(rep), bool)
-        leaves[visitor_of[visited == source]] = True
-        link &= ~(guests[a][:, None] & leaves[b][None, :]) & ~(leaves[a][:, None] & guests[b][None, :])
+    if not len(a) or not len(b):
+        return pa.table({"rep": rep[:0], "links": np.zeros(0, np.int64), "label": rep[:0]})
+    x = _directions(rows["vec"].combine_chunks(), key[0].as_py())
+    other = x[b].T
+    found = [np.nonzero(x[a[i : i + 512]] @ other >= least) for i in range(0, len(a), 512)]
+    one = a[np.concatenate([r + 512 * i for i, (r, _) in enumerate(found)])]
+    two = b[np.concatenate([c for _, c in found])]
     if p == q:
-        np.fill_diagonal(link, False)
-    # Only members with a link matter from here on.
-    in_a, in_b = link.any(axis=1), link.any(axis=0)
-    link, a, b = link[np.ix_(in_a, in_b)], a[in_a], b[in_b]
-    counts = np.zeros(len(rep), np.int64)
-    label = rep.copy()
-    if len(a):
-        counts[a] += link @ copies[b]
-        if p != q:
-            counts[b] += link.T @ copies[a]
-        most = np.iinfo(np.int64).max
-        while True:
-            before = label.copy()
-            label[a] = np.minimum(label[a], np.where(link, label[b][None, :], most).min(axis=1))
-            label[b] = np.minimum(label[b], np.where(link, label[a][:, None], most).min(axis=0))
-            if (label == before).all():
-                break
+        keep = one != two
+    else:
+        visits = rows["visits"].combine_chunks()
+        visitor = np.repeat(np.arange(len(rep)), visits.value_lengths().to_numpy(zero_copy_only=False))
+        leaves = (visitor << 32) + visits.flatten().to_numpy(zero_copy_only=False)
+        keep = (home[two] >= cell) | ~np.isin((one << 32) + home[two], leaves)
+    one, two = one[keep], two[keep]
+    counts = np.bincount(one, copies[two], len(rep))
+    if p != q:
+        counts += np.bincount(two, copies[one], len(rep))
+    label, before = rep.copy(), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        np.minimum.at(label, one, label[two])
+        np.minimum.at(label, two, label[one])
     met = np.flatnonzero(counts)
-    return pa.table({"rep": rep[met], "links": counts[met], "label": label[met]})
+    return pa.table({"rep": rep[met], "links": counts[met].astype(np.int64), "label": label[met]})
+
+
+def _vectors(embedding: Column, kind: DataType) -> Column:
+    """The vectors as doubles, or as they are where they are floats, which take half the room and become the same doubles."""
+    return embedding if kind == ArrayType(FloatType(), kind.containsNull if isinstance(kind, ArrayType) else True) else embedding.cast("array<double>")
 
 
 def _grouped(vectors: DataFrame, least: float) -> DataFrame:
     """``vid``, ``vec`` (null without a direction), ``n_links`` and ``component`` (null where no identifier is known) of every row."""
-    named = vectors.select(known_id("vec_id").alias("vid"), F.col("embedding").cast("array<double>").alias("vec"))
+    named = vectors.select(known_id("vec_id").alias("vid"), _vectors(F.col("embedding"), vectors.schema["embedding"].dataType).alias("vec"))
     rows = durable(named.select("vid", F.when(usable(F.col("vec")), F.col("vec")).alias("vec")))
     # Distinct vectors are compared, under numbers of their own that hold once they are written.
     distinct = durable(
@@ -164,12 +161,18 @@ def _grouped(vectors: DataFrame, least: float) -> DataFrame:
         centres[int(dim)] = fit_centres(x, max(1, cells * len(x) // len(sizes)))
     reach = float(np.sqrt(2 - 2 * least))
 
-    members = "dim int, cell int, home int, rep long, copies long, vec array<double>, visits array<int>"
+    kind = distinct.schema["vec"].dataType.simpleString()
+    members = f"dim int, cell int, home int, rep long, copies long, vec {kind}, visits array<int>"
     assigned = durable(distinct.mapInArrow(partial(_assigned, centres=centres, reach=reach), members))
-    # One row per cell: at most MOST_CELLS for each number of components.
-    pieces = assigned.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("pieces"))
-    placed = assigned.join(pieces, ["dim", "cell"]).withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda o: F.struct(F.least(o, F.col("piece")).alias("p"), F.greatest(o, F.col("piece")).alias("q")))
+    # One row per cell: at most MOST_CELLS for each number of components. Owners are in pieces 0 to o - 1, visitors in the v pieces after them.
+    # A piece of owners meets itself, the later pieces of owners and all pieces of visitors.
+    owns = F.col("home") == F.col("cell")
+    pieces = assigned.groupBy("dim", "cell").agg(*(F.ceil(F.count_if(who) / BLOCK).cast("int").alias(c) for c, who in (("o", owns), ("v", ~owns))))
+    part = F.xxhash64("rep")
+    piece = F.when(owns, F.pmod(part, F.greatest("o", F.lit(1)))).otherwise(F.col("o") + F.pmod(part, F.greatest("v", F.lit(1)))).cast("int")
+    placed = assigned.join(pieces.where("o > 0"), ["dim", "cell"]).withColumn("piece", piece)
+    last = F.when(owns, F.col("o") + F.col("v")).otherwise(F.col("o")) - 1
+    pairs = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(F.least(k, "piece").alias("p"), F.greatest(k, "piece").alias("q")))
     dealt = placed.withColumn("pair", F.explode(pairs)).select("dim", "cell", F.col("pair.p").alias("p"), F.col("pair.q").alias("q"), "home", "rep", "copies", "vec", "visits", "piece")
     met = durable(dealt.groupBy("dim", "cell", "p", "q").applyInArrow(partial_with_key(_linked, least), "rep long, links long, label long"))
 
@@ -213,5 +216,6 @@ def representatives(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """The rows of ``vectors`` that stay: those that bear the smallest identifier of their group. Rows that repeat such a row stay with it."""
     grouped = _grouped(vectors, least).where(~F.coalesce("met", F.lit(False)) | (F.col("vid") == F.col("component")))
     kept = grouped.select(F.col("vid").alias("__vid"), F.col("vec").alias("__vec")).distinct()
-    own = F.when(usable(vectors["embedding"].cast("array<double>")), vectors["embedding"].cast("array<double>"))
+    vec = _vectors(vectors["embedding"], vectors.schema["embedding"].dataType)
+    own = F.when(usable(vec), vec)
     return vectors.join(kept, (known_id(vectors["vec_id"]) == kept["__vid"]) & own.eqNullSafe(kept["__vec"]), "left_semi")

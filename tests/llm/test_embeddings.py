@@ -47,6 +47,21 @@ def test_pieces_of_large_cells(spark, monkeypatch):
     check(spark, clustered(2, 500))
 
 
+def test_pieces_of_owners_meet_pieces_of_visitors(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    monkeypatch.setattr(embeddings, "fit_centres", lambda x, cells: np.eye(8)[:2] + 0.01)
+    check(spark, clustered(4, 300))
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    # As floats, these two would be one vector.
+    rows = [(1, [1.0, 1.0]), (2, [1.0, 1.0 + 2.0**-40]), (3, [1.0, -1.0])]
+    got = embeddings.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+    stay = embeddings.representatives(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(r.vec_id for r in stay) == [1, 3]
+
+
 def test_any_centres_will_do(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "fit_centres", lambda x, cells: np.eye(8)[: min(8, len(x))])
     check(spark, clustered(3, 300))
