@@ -12,7 +12,7 @@ import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -39,8 +39,12 @@ SPLIT_ONLY = re.compile(r"[\x1c-\x1f]")
 #: Pieces of text whose ids one worker remembers, in each of two generations.
 REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
+#: Stands between the pieces that the library is asked about in one text; one id of its own, as no other character has this byte.
+MARK = "\0"
 #: Pieces that the library is asked about in one text.
 ASKED_AT_ONCE = 200
+#: Characters of text whose new pieces are looked up together; a longer text is looked up by itself.
+TOGETHER = 1 << 21
 
 
 class Encoder:
@@ -48,8 +52,8 @@ class Encoder:
 
     The vocabulary never joins characters across white space (its normaliser makes each run of it one space, and its
     splitter leaves spaces out), so the ids of a text are those of its pieces, one after the other. Pieces are asked about
-    many at a time, with a special token between them. A piece that holds a special token's string is asked about by
-    itself and treated as the library's default is. Pieces not used for a generation are forgotten.
+    many at a time, with ``MARK`` between them. A piece that holds the mark or a special token's string is asked about by
+    itself, and so is every piece where the vocabulary has no single id for the mark. Pieces not used for a generation are forgotten.
     """
 
     def __init__(self, path: str):
@@ -64,44 +68,68 @@ class Encoder:
         normaliser = json.loads(self.library.to_str())["normalizer"]
         self.small = '"Lowercase"' in json.dumps(normaliser)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items() if t.special}
+        self.apart = re.compile("|".join(map(re.escape, [MARK, *self.special])))
+        marked = self.library.encode(MARK, add_special_tokens=False).ids
+        self.mark = marked[0] if len(marked) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
-        alone = [p for p in pieces if not self.special or any(s in p for s in self.special)]
+        alone = [p for p in pieces if self.mark is None or self.apart.search(p)]
         found = dict(zip(alone, (np.asarray(e.ids, self.type).tobytes() for e in self.library.encode_batch_fast(alone, add_special_tokens=False)), strict=True))
         others = [p for p in pieces if p not in found] if alone else pieces
         if others:
-            mark, mark_id = next(iter(self.special.items()))
             lots = [others[i : i + ASKED_AT_ONCE] for i in range(0, len(others), ASKED_AT_ONCE)]
             width = np.dtype(self.type).itemsize
-            for lot, e in zip(lots, self.library.encode_batch_fast([f" {mark} ".join(lot) for lot in lots], add_special_tokens=False), strict=True):
+            for lot, e in zip(lots, self.library.encode_batch_fast([f" {MARK} ".join(lot) for lot in lots], add_special_tokens=False), strict=True):
                 ids = np.asarray(e.ids, self.type)
-                ends = (np.append(np.flatnonzero(ids == mark_id), len(ids)) * width).tolist()
+                ends = (np.append(np.flatnonzero(ids == self.mark), len(ids)) * width).tolist()
                 data, start = ids.tobytes(), 0
                 for piece, end in zip(lot, ends, strict=True):
                     found[piece] = data[start:end]
                     start = end + width
         return found
 
-    def ids(self, text: str) -> np.ndarray:
+    def _cut(self, text: str) -> list[str]:
         if self.small and text.isascii() and not any(s in text.lower() for s in self.special):
             text = text.lower()  # what the library would make of it; capitals then need no entries of their own
-        pieces = [p for p in WHITE.split(text) if p] if SPLIT_ONLY.search(text) else text.split()
-        got = [*map(self.young.get, pieces)]
-        if None in got:
-            missing = dict.fromkeys(p for p, g in zip(pieces, got, strict=True) if g is None)
-            known = {p: b for p in missing if (b := self.old.get(p)) is not None}
-            parts = {p: _parts(p, self.small) for p in missing if p not in known}
-            simple = {q for own in parts.values() for q in own}
-            held = {q: b for q in simple if (b := self.young.get(q) or self.old.get(q)) is not None}
-            held |= self._ask([q for q in simple if q not in held])
-            known |= held | {p: b"".join(map(held.__getitem__, own)) for p, own in parts.items()}
-            got = [known[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
-            self.young.update((p, b) for p, b in known.items() if len(p) <= LONGEST_REMEMBERED)
-            if len(self.young) > REMEMBERED:
-                self.old, self.young = self.young, {}
-        return np.frombuffer(b"".join(got), self.type)
+        return [p for p in WHITE.split(text) if p] if SPLIT_ONLY.search(text) else text.split()
+
+    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that aren't among the young ones, and of the parts that they were asked about in."""
+        known = {p: b for p in pieces if (b := self.old.get(p)) is not None}
+        parts = {p: _parts(p, self.small) for p in pieces if p not in known}
+        simple = {q for own in parts.values() for q in own}
+        held = {q: b for q in simple if (b := self.young.get(q) or self.old.get(q)) is not None}
+        held |= self._ask([q for q in simple if q not in held])
+        return known | held | {p: b"".join(map(held.__getitem__, own)) for p, own in parts.items()}
+
+    def many(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. The library is asked about the new pieces of some ``TOGETHER`` characters at once."""
+        lot, size = [], 0
+        for text in texts:
+            lot.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._together(lot)
+                lot, size = [], 0
+        yield from self._together(lot)
+
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [*map(self._cut, texts)]
+        learned = self._learned(set().union(*cut).difference(self.young))
+        self.young.update(learned)
+        young = self.young
+        ids = [np.frombuffer(b"".join(map(young.__getitem__, pieces)), self.type) for pieces in cut]
+        for piece in learned:
+            if len(piece) > LONGEST_REMEMBERED:
+                young.pop(piece, None)
+        if len(young) > REMEMBERED:
+            self.old, self.young = young, {}
+        return ids
+
+    def ids(self, text: str) -> np.ndarray:
+        return self._together([text])[0]
 
 
 def _ends_in_a_letter(word: str) -> bool:
@@ -172,7 +200,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     ask = encoder(path)
     entry, sign, projection = _hash_tables()
     for batch in batches:
-        ids = [np.append(ask.ids(t.as_py()), ask.type(END_ID)) for t in batch["text"]]
+        ids = [np.append(own, ask.type(END_ID)) for own in ask.many(t.as_py() for t in batch["text"])]
         vectors = np.zeros((len(ids), HASHED))
         for v, own in zip(vectors, ids, strict=True):
             low = own & 0xFFFF

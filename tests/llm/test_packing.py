@@ -75,6 +75,17 @@ def test_memory_starts_anew(monkeypatch, library):
         assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_looked_up_together(monkeypatch, library):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(packing, "TOGETHER", 30)
+    monkeypatch.setattr(packing, "LONGEST_REMEMBERED", 8)
+    encoder = packing.Encoder(PATH)
+    texts = ["Some words, and more words!", "", "a\0b \0 c", "<|endoftext|> words\0", "unforgettable " * 9, "ÅNGSTRÖM <|startoftext|>x\x1cy", "\0\0", "more words! and"] * 3
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.many(texts)] == want
+    assert not any(len(p) > 8 for p in encoder.young)
+
+
 def test_empty(empty):
     assert packing.pack(empty, PATH).count() == 0
 
