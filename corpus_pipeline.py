@@ -13,6 +13,8 @@ from rivertally.llm import line_dedup, mixing, packing, quality_rules, simhash
 from rivertally.session import configure, durable
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: Documents of the mix that are laid along the packing curve together; the sequences follow the mix from one such stretch to the next.
+STRETCH = 256
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +42,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences, which follow the order of the mix."""
     configure(spark)
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, VOCABULARY, stretch=STRETCH)
 
 
 STAGES = [

@@ -17,6 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,8 +196,8 @@ def curve_key(points: np.ndarray, bits: int = AXIS_BITS) -> np.ndarray:
     return key
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Ids, their number and the curve key of every document."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, carried: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
+    """Ids, their number and the curve key of every document, beside the ``carried`` columns."""
     ask = encoder(path)
     entry, sign, projection = _hash_tables()
     for batch in batches:
@@ -216,8 +217,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
                 pa.array([x.tobytes() for x in ids], pa.binary()),
                 pa.array([len(x) for x in ids], pa.int64()),
                 pa.array(curve_key(scaled), pa.int64()),
+                *(batch[c] for c in carried),
             ],
-            ["did", "th", "ids", "n", "key"],
+            ["did", "th", "ids", "n", "key", *carried],
         )
 
 
@@ -238,19 +240,33 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int, kind: type) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
+def in_files(docs: DataFrame) -> DataFrame:
+    """``docs`` as the table that it was read from, or written to one in its order: files by name, rows by number."""
+    try:
+        docs.select("_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return durable(docs)
+
+
+def pack(docs: DataFrame, path: str, length: int = LENGTH, stretch: int | None = None) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
     ``path`` is a vocabulary for the ``tokenizers`` library, the same on all machines. A missing or empty text is the
     end id alone. Repeated rows are packed each by itself; rows with a missing ``doc_id`` come back with a missing one. An empty
     table gives no piece. Equal places on the curve stand in order of identifier and text hash.
+
+    With ``stretch`` the order of the table (see ``in_files``) is kept: so many rows at a time are laid along the curve, and the stretches follow each other.
     """
+    docs = docs if stretch is None else in_files(docs)
     text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.select(known_id("doc_id").alias("did"), F.xxhash64(text).alias("th"), text.alias("text"))
-    encoded = durable(rows.mapInArrow(partial(_encoded, path=path), "did long, th long, ids binary, n long, key long"))
+    at = {} if stretch is None else {"file": F.col("_metadata.file_name"), "stretch": F.expr(f"_metadata.row_index div {stretch}")}
+    rows = docs.select(known_id("doc_id").alias("did"), F.xxhash64(text).alias("th"), text.alias("text"), *[c.alias(n) for n, c in at.items()])
+    schema = "did long, th long, ids binary, n long, key long" + (", file string, stretch long" if at else "")
+    encoded = durable(rows.mapInArrow(partial(_encoded, path=path, carried=tuple(at)), schema))
     # Repeated rows need places of their own: the file and position tell them apart, and are read again the same.
-    named = encoded.select("did", "th", "n", "key", "ids", F.struct("_metadata.file_name", "_metadata.row_index").alias("row"))
-    placed = running_total(named.select("did", "th", "n", "key", "row"), [], ["key", "did", "th"], "n", "place")
+    named = encoded.select("did", "th", "n", "key", "ids", *at, F.struct("_metadata.file_name", "_metadata.row_index").alias("row"))
+    placed = running_total(named.select("did", "th", "n", "key", "row", *at), [], [*at, "key", "did", "th"], "n", "place")
     stream = named.select("row", "did", "ids").join(placed.select("row", "place"), "row").select("did", "ids", "place")
     cut = stream.mapInArrow(
         partial(_pieces, length=length, kind=encoder(path).type),

@@ -99,3 +99,13 @@ def test_every_letter_before_a_mark(library):
     texts = [f"{c}{m}" for c in odd for m in "?.,"] + [f"İ?{c}: x{c}!" for c in odd]
     for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
         assert encoder.ids(text).tolist() == e.ids, text
+
+
+def test_stretches_keep_the_order_of_the_table(spark):
+    kinds = ["red green blue " * 40, "one two three four " * 30, "wind rain snow hail sun " * 25]
+    docs = spark.createDataFrame([(i, kinds[i % 3]) for i in range(60)], "doc_id long, text string").coalesce(1)
+    for order in (docs.orderBy("doc_id"), docs.orderBy(-docs["doc_id"])):
+        ids = [r.doc_id for r in order.collect()]
+        got = packing.pack(order, PATH, stretch=12).orderBy("sequence_id", "offset").collect()
+        seen = list(dict.fromkeys(r.doc_id for r in got))
+        assert [set(seen[i : i + 12]) for i in range(0, 60, 12)] == [set(ids[i : i + 12]) for i in range(0, 60, 12)]
