@@ -14,7 +14,7 @@ from rivertally.functions import cleaning as c
 from rivertally.functions.numbers import total
 from rivertally.functions.times import parse_date, wall_clock
 from rivertally.operators.joins import lookup, null_safe_join, union_all, without_keys
-from rivertally.operators.ordered import largest_group, last_index, number_rows, number_within
+from rivertally.operators.ordered import group_bound, last_index, number_rows, number_within
 from rivertally.operators.quality import attach_site
 from rivertally.operators.reshape import Children, attach_children, pivot_wide, weight_of
 from rivertally.session import durable
@@ -100,7 +100,7 @@ def stage_seine(raw: Tables, reach_river: DataFrame, study: str, stored_site: Da
     site = c.null_zero(site)
     times = haul_times(site, haul)
     site = place_sites(site, times, reach_river, study, start)
-    keys = sample_keys(site, times, largest_group(haul, ["key_aa"]))
+    keys = sample_keys(site, times, group_bound(haul, ["key_aa"]))
     on = ["key_a", "key_aa"]
 
     measured = (F.col("haul_width") > 0) & (F.col("haul_lengt") > 0)
@@ -192,7 +192,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
         F.col("hab_secchi").isNull().alias("IsSecchiMaxDepth"),
         c.secchi_note("site_notes").alias("WaterQualityNotes"),
     )
-    children = {"WaterQuality": Children(water, water.columns[1:], water.columns[1:])}
+    children = {"WaterQuality": Children(water, water.columns[1:], water.columns[1:], most=group_bound(water, ["SiteID"]))}
 
     in_hauls = {}
     if "fish" in tables:
@@ -207,7 +207,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
             F.col("photo_num").cast("string").alias("PhotoURLorID"),
             F.col("fish_notes").alias("FishEncounterNotes"),
         )
-        in_hauls["FishData"] = Children(fish, fish.columns[1:], ["SpeciesCode", "TotalLength_mm"])
+        in_hauls["FishData"] = Children(fish, fish.columns[1:], ["SpeciesCode", "TotalLength_mm"], most=group_bound(fish, ["HaulID"]))
     if "vial" in tables:
         vial = tables["vial"].select(
             F.col("id_haul").alias("HaulID"),
@@ -215,7 +215,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("VialNotes"),
         )
-        in_hauls["HaulVial"] = Children(vial, vial.columns[1:], ["VialString"])
+        in_hauls["HaulVial"] = Children(vial, vial.columns[1:], ["VialString"], most=group_bound(vial, ["HaulID"]))
 
     hauls = tables["haul"]
     depth = [F.col(name).alias(field) for name, field in DEPTH_FIELDS.items() if name in hauls.columns]
@@ -237,7 +237,10 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
     hauls = attach_children(c.yes_no_columns(hauls), in_hauls, "HaulID", max_weight)
     fields = [n for n in hauls.columns if n != "SiteID"]
     weighed = hauls.withColumn("_weight", weight_of(*in_hauls))
-    children["HaulData"] = Children(weighed, fields, ["HaulID", "Part"], "_weight")
+    # A part of a haul holds a fish or a vial at least.
+    inside = [tables["haul"], *[tables[kind] for kind in ("fish", "vial") if kind in tables]]
+    most = sum(group_bound(df, ["id_site"]) for df in inside) if all("id_site" in df.columns for df in inside) else None
+    children["HaulData"] = Children(weighed, fields, ["HaulID", "Part"], "_weight", most)
 
     site = source.select(
         F.col("id_site").alias("SiteID"),

@@ -86,3 +86,13 @@ def test_union_by_name(spark, rows):
     a = spark.createDataFrame([(1, "x")], "k long, a string")
     b = spark.createDataFrame([("y", 2)], "b string, k long")
     assert rows(joins.union_all(a, b)) == [(1, "x", None), (2, None, "y")]
+
+
+def test_full_join_with_bare_keys_moves_keys_only(spark, rows):
+    sites = spark.createDataFrame([("a", 1), ("b", None), (None, 3)], "k string, n long")
+    fish = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), (None, 3, "z"), ("c", 9, "w")], "k string, n long, v string")
+    got = joins.full_join(sites, fish, ["k", "n"])
+    assert "FullOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got) == rows(joins.null_safe_join(sites, fish, ["k", "n"], "full"))
+    twice = sites.unionByName(sites)  # a key that repeats multiplies what it meets
+    assert rows(joins.full_join(twice, fish, ["k", "n"])) == rows(joins.null_safe_join(twice, fish, ["k", "n"], "full"))

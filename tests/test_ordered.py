@@ -91,3 +91,10 @@ def test_running_total_with_spread_groups(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("g"), "id", F.lit(2).cast("long").alias("w"))
     got = ordered.running_total(df, ["g"], ["id"], "w", "before")
     assert got.where(F.col("before") != F.floor(F.col("id") / 2) * 2).count() == 0
+
+
+def test_bounds_of_groups(spark):
+    df = spark.range(1000).selectExpr("IF(id < 400, 0, id) AS k")
+    assert 400 <= ordered.group_bound(df, ["k"]) <= 1000
+    assert ordered.group_bound(df, ["k"], enough=10) == 400
+    assert ordered.group_bound(df.limit(0), ["k"]) == 0
