@@ -163,3 +163,14 @@ def test_vials(spark, staged, rows):
     out = electrofish.vial_extract(staged["site"], fish, vials, staged["pittag"].where("key_aaa = 'p1'"), fixes)
     assert rows(out["fish"], "site_id", "species", "vial_num") == [("123d_2021_001", "CS", "v9"), ("123d_2021_002", "WE", "05182113")]
     assert rows(out["site"], "site_id") == [("123d_2021_001",), ("123d_2021_002",)]
+
+
+def test_fish_without_a_site_share_positions_among_themselves(spark):
+    """Means are taken within a site's mile, and over all fish without a site at one mile, whatever their key."""
+    samples = spark.createDataFrame([("a", "S1", 1, "LGR", dt.datetime(2021, 5, 1, 10))], "key_a string, site_id string, s_index long, reach string, t_stamp timestamp")
+    fish = spark.createDataFrame(
+        [("a", "f1", "10:00:00", 1.0, -109.0, 38.0), ("a", "f2", "10:00:00", 1.0, -110.0, 39.0), ("x", "f3", "10:00:00", 1.0, -111.0, 38.0), ("y", "f4", "10:00:00", 1.0, -112.0, 38.0), (None, "f5", "10:00:00", 2.0, None, 38.0)],
+        "key_a string, key_aa string, time string, rmi double, ilon double, ilat double",
+    )
+    got = {r.key_aa: (r.loc_x, r.loc_y, r.epsg) for r in electrofish.place_fish(fish, samples).collect()}
+    assert got["f1"] == got["f2"] and got["f3"] == got["f4"] and got["f1"] != got["f3"] and got["f5"] == (None, None, None)
