@@ -280,7 +280,7 @@ def flat_load(spark: SparkSession, folder: str) -> DataFrame:
     tables = {**staged, "meta": meta.unionByName(meta)}
     keyed = {name: df.withColumn("fish_id", F.col("key_aa")) if name in ("fish", "pittag") else df for name, df in tables.items()}
     electrofish.load_flat(keyed, root)
-    again = electrofish.load_flat({name: df.repartition(3) for name, df in keyed.items()}, root)
+    again = electrofish.load_flat({name: df.repartition(df.columns[0]) for name, df in keyed.items()}, root)
     assert not again.new and store.read_uploaded(spark, root, "meta").count() == 1
     fish, tags = (store.read_uploaded(spark, root, name) for name in ("fish", "pittag"))
     joined = fish.join(tags.select("fish_id", "pit_num", "pit_type"), "fish_id", "left")
