@@ -42,6 +42,8 @@ REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 #: Stands between the pieces that the library is asked about in one text; one id of its own, as no other character has this byte.
 MARK = "\0"
+#: Marks that often stand right behind a word.
+MARKS = frozenset(",.!?;:")
 #: Pieces that the library is asked about in one text.
 ASKED_AT_ONCE = 200
 #: Characters of text whose new pieces are looked up together; a longer text is looked up by itself.
@@ -53,7 +55,7 @@ class Encoder:
 
     The vocabulary never joins characters across white space (its normaliser makes each run of it one space, and its
     splitter leaves spaces out), so the ids of a text are those of its pieces, one after the other. Pieces are asked about
-    many at a time, with ``MARK`` between them. A piece that holds the mark or a special token's string is asked about by
+    many at a time, with ``MARK`` between them where they aren't of letters alone. A piece that holds the mark or a special token's string is asked about by
     itself, and so is every piece where the vocabulary has no single id for the mark. Pieces not used for a generation are forgotten.
     """
 
@@ -70,12 +72,35 @@ class Encoder:
         self.small = '"Lowercase"' in json.dumps(normaliser)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items() if t.special}
         self.apart = re.compile("|".join(map(re.escape, [MARK, *self.special])))
+        # Ids that end a word, if the vocabulary tells them by a suffix.
+        suffix = json.loads(self.library.to_str())["model"].get("end_of_word_suffix")
+        self.last = np.zeros(self.library.get_vocab_size(with_added_tokens=True), bool)
+        if suffix:
+            self.last[[i for token, i in self.library.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
         marked = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark = marked[0] if len(marked) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of different pieces. Those of letters alone need no mark: each is one word to the library, so its last id ends a word and no other does."""
+        if not self.last.any():
+            return self._ask_marked(pieces)
+        words = [p for p in pieces if p.isalpha()]
+        found, rest = {}, [p for p in pieces if not p.isalpha()]
+        lots = [words[i : i + ASKED_AT_ONCE] for i in range(0, len(words), ASKED_AT_ONCE)]
+        width = np.dtype(self.type).itemsize
+        for lot, e in zip(lots, self.library.encode_batch_fast([*map(" ".join, lots)], add_special_tokens=False), strict=True):
+            ids = np.asarray(e.ids, self.type)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * width).tolist()
+            if len(ends) != len(lot):  # some letter became a letter and something else
+                rest += lot
+                continue
+            data = ids.tobytes()
+            found.update(zip(lot, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+        return found | self._ask_marked(rest)
+
+    def _ask_marked(self, pieces: list[str]) -> dict[str, bytes]:
         alone = [p for p in pieces if self.mark is None or self.apart.search(p)]
         found = dict(zip(alone, (np.asarray(e.ids, self.type).tobytes() for e in self.library.encode_batch_fast(alone, add_special_tokens=False)), strict=True))
         others = [p for p in pieces if p not in found] if alone else pieces
@@ -98,9 +123,11 @@ class Encoder:
 
     def _learned(self, pieces: set[str]) -> dict[str, bytes]:
         """The ids of pieces that aren't among the young ones, and of the parts that they were asked about in."""
-        known = {p: b for p in pieces if (b := self.old.get(p)) is not None}
-        parts = {p: _parts(p, self.small) for p in pieces if p not in known}
+        known = {p: b for p in pieces if (b := self.old.get(p)) is not None} if self.old else {}
+        # Most pieces stand for themselves; what isn't small or has a mark behind it may not.
+        parts = {p: _parts(p, self.small) for p in pieces if (p[-1] in MARKS or not p.islower()) and p not in known}
         simple = {q for own in parts.values() for q in own}
+        simple.update(p for p in pieces if p not in parts and p not in known)
         held = {q: b for q in simple if (b := self.young.get(q) or self.old.get(q)) is not None}
         held |= self._ask([q for q in simple if q not in held])
         return known | held | {p: b"".join(map(held.__getitem__, own)) for p, own in parts.items()}
@@ -142,8 +169,8 @@ def _ends_in_a_letter(word: str) -> bool:
 def _parts(piece: str, small: bool) -> tuple[str, ...]:
     """What a piece has the same ids as: a word and the mark after it stand for themselves, and ASCII capitals for small
     letters if the vocabulary makes letters ``small``."""
-    word, mark = (piece[:-1], piece[-1:]) if piece[-1] in ",.!?;:" else (piece, "")
-    if not word.isalpha() or not (word.isascii() or _ends_in_a_letter(word)):
+    word, mark = (piece[:-1], piece[-1:]) if piece[-1] in MARKS else (piece, "")
+    if not word.isalpha() or not (word.isascii() or (mark and _ends_in_a_letter(word))):
         return (piece,)
     word = word.lower() if small and word.isascii() else word
     return (word, mark) if mark else (word,)

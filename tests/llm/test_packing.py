@@ -109,3 +109,14 @@ def test_stretches_keep_the_order_of_the_table(spark):
         got = packing.pack(order, PATH, stretch=12).orderBy("sequence_id", "offset").collect()
         seen = list(dict.fromkeys(r.doc_id for r in got))
         assert [set(seen[i : i + 12]) for i in range(0, 60, 12)] == [set(ids[i : i + 12]) for i in range(0, 60, 12)]
+
+
+def test_words_of_letters_need_no_mark(monkeypatch):
+    """They are told apart by their last ids; a letter that the library makes something else of goes back to the marks."""
+    encoder, marked = packing.Encoder(PATH), []
+    ask = encoder._ask_marked
+    monkeypatch.setattr(encoder, "_ask_marked", lambda pieces: marked.extend(pieces) or ask(pieces))
+    plain = ["river", "Fluss", "été", "ß", "ﬁ", "क", "x" * 70]
+    for pieces in (plain, ["a1", *plain, "b,"], [*plain, "क़", "İstanbul"]):
+        assert encoder._ask(pieces) == {p: np.asarray(encoder.library.encode(p, add_special_tokens=False).ids, encoder.type).tobytes() for p in pieces}
+    assert marked[:2] == ["a1", "b,"]
