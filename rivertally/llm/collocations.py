@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rivertally.llm.byte_words import byte_class, cut_words, slices
@@ -39,6 +40,7 @@ RUN = 500_000  # edges that are summed at once before they are sorted
 STRETCH = 1024  # edges of a path that lie in one row
 HOT = 1000  # a pair with more than this part of the text is dealt out by its third word too
 HOT_PARTS = 64
+BATCH_BYTES = 4 << 20  # bytes of a batch that a task gets, however many blocks it has; one block at least
 BUCKETS = 64  # the ranking of a language is begun in so many parts
 
 # Ends of pieces, and what lies between words.
@@ -46,6 +48,7 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 ENDS = byte_class(PIECE_ENDS)
 IN_WORD = ~byte_class(PIECE_ENDS + b"\x20\x09")
 
+BYTES_A_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 END = 0  # in place of a word behind a piece's end
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,6 +197,20 @@ def _batch(columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "y", "z", "n"])
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Batches for Python of about ``size`` bytes in what is run inside: by rows alone, a batch of blocks would grow with the partition."""
+    before = spark.conf.get(BYTES_A_BATCH, None)
+    spark.conf.set(BYTES_A_BATCH, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BYTES_A_BATCH)
+        else:
+            spark.conf.set(BYTES_A_BATCH, before)
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, count = [], 0
 
@@ -204,7 +221,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for block in zip(*batch.columns[1:], strict=True):
-            # Blocks are read where they lie; a batch may hold a whole partition's.
+            # Blocks are read where they lie.
             names, grams, times = (np.frombuffer(value.as_buffer(), kind) for value, kind in zip(block, (np.int64, np.uint32, np.uint32), strict=True))
             x, y, z = names[grams].reshape(3, -1)
             held.append((x, y, z, times.astype(np.int64)))
@@ -245,7 +262,8 @@ def frequent(docs: DataFrame, hot: np.ndarray, seed: int, least: int = LEAST) ->
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = _packed(docs, hot, seed, parts).repartitionById(parts, F.col("part"))
-    return durable(packed.mapInArrow(_unpack, _EDGE).sortWithinPartitions("x", "y", "z").mapInArrow(sums, _EDGE))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return durable(packed.mapInArrow(_unpack, _EDGE).sortWithinPartitions("x", "y", "z").mapInArrow(sums, _EDGE))
 
 
 # ----- unary paths --------------------------------------------------------------------------------------------------------------

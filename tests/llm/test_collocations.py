@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import awkward_rows, prose
 
@@ -114,3 +116,22 @@ def test_paths(spark):
 def test_empty(spark, empty):
     assert coll.collocations(empty).count() == 0
     assert coll.collocations(spark.createDataFrame([(None, None), ("", "en"), (" . ,", "en"), ("one", "en")], "text string, lang string")).count() == 0
+
+
+def test_batches_of_blocks_are_bounded(spark, monkeypatch):
+    """Blocks are handed over a few at a time, however many a partition has."""
+    before = spark.conf.get(coll.BYTES_A_BATCH)
+    seen, durable = [], coll.durable
+    monkeypatch.setattr(coll, "durable", lambda df: seen.append(spark.conf.get(coll.BYTES_A_BATCH)) or durable(df))
+    docs = spark.createDataFrame([(1, "a b c. a b c", "en")], "doc_id long, text string, lang string")
+    assert coll.frequent(docs, np.zeros((0, 2), np.int64), 0, 2).count() > 0
+    assert seen == [str(coll.BATCH_BYTES)] and spark.conf.get(coll.BYTES_A_BATCH) == before
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    blocks = spark.range(0, 12, 1, 1).selectExpr("cast(repeat('x', 1 << 20) as binary) as block")
+    with coll.batches_of(spark, 2 << 20):
+        sizes = [r.n for r in blocks.mapInArrow(rows, "n long").collect()]
+    assert sum(sizes) == 12 and max(sizes) <= 3
