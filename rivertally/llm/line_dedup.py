@@ -7,10 +7,11 @@ can share (positional and length filter). What passes is compared in full.
 The join is laid out so that groups of copies cost rows in proportion to their size:
 
 1. Equal sets meet under one hash, by an aggregate; all but the first are removed and take no further part.
-2. Sets that share a prefix word with few others are paired with all of them.
-3. Under every other prefix word each line is compared with the first line that has it, and only lines that
-   are still in question then are paired with the rest, so that the members of a group of near copies, which the
-   first one has settled, aren't paired with each other.
+2. Sets with the same smallest or largest few word hashes, which similar sets mostly have, are compared with the first such set. Lines
+   that this settles look for no further partner, so that the members of a group of near copies aren't paired with each other.
+3. Lines still in question are paired with all sets that share a prefix word with them, if those are few.
+4. Under every other prefix word each of them is compared with the first line that has it, and only lines that
+   are in question even then are paired with the rest.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SHARED, OF = 4, 5
 #: Words are counted in so many buckets by hash (a power of two): the table of their frequencies is 8 bytes for each, whatever the
 #: texts hold. Words of one bucket count as equally rare, and go by hash.
 BUCKETS = 1 << 18
+#: So many of the smallest word hashes of a set stand for it when the first of a group of near copies is looked for, and so many of the largest.
+ENDS = 3
 #: Lines under one word up to which all pairs are compared at once.
 SMALL_GROUP = 1024
 
@@ -63,37 +66,61 @@ def word_levels(rows: DataFrame) -> DataFrame:
 
 
 def line_sets(rows: DataFrame, levels: DataFrame) -> DataFrame:
-    """``rk``, ``no``, size ``n``, two hashes ``h`` and ``h2`` of the set, 128 bits ``low`` and ``high`` and its ``prefix``, rarest words first, for every line that has words.
+    """``rk``, ``no``, size ``n``, two hashes ``h`` and ``h2`` of the set, hashes of its ``ENDS`` ``least`` and ``most`` word hashes (of all, if it has fewer), 128 bits ``low`` and ``high`` and its ``prefix``, rarest words first, for every line that has words.
 
     Each word turns one of the bits, so two sets differ in at least as many words as their bits differ in.
     """
+    by_hash = F.sort_array("t")
+    ends = [F.xxhash64(F.slice(by_hash, start, ENDS)).alias(name) for name, start in (("least", F.lit(1)), ("most", F.greatest(F.size("t") - ENDS + 1, F.lit(1))))]
     ordered = (
+        # The levels come in behind the step that uses the words several times: they stay a value then, and don't become a column.
         set_lines(rows)
+        .select("rk", "no", *ends, "t")
         .withColumn("levels", levels.scalar())
-        .select("rk", "no", F.expr(f"sort_array(transform(t, h -> get(levels, cast(h & {BUCKETS - 1}L as int)) | shiftrightunsigned(h, 7)))").alias("keys"))
+        # That no level is null is said, as Spark then sorts plain longs.
+        .select("rk", "no", "least", "most", F.expr(f"sort_array(transform(t, h -> coalesce(get(levels, cast(h & {BUCKETS - 1}L as int)), 0L) | shiftrightunsigned(h, 7)))").alias("keys"))
     )
     both, high = (F.expr(f"aggregate(keys, 0L, (a, k) -> a ^ shiftleft({bit}, cast(k & 63 as int)))") for bit in ("1L", "shiftright(k, 6) & 1L"))
     n = F.size("keys")
     length = n - F.ceil(n * SHARED / OF).cast("int") + 1
     hashes = [F.xxhash64("keys").alias("h"), F.xxhash64("keys", F.lit(1)).alias("h2")]
-    return ordered.select("rk", "no", n.alias("n"), *hashes, both.bitwiseXOR(high).alias("low"), high.alias("high"), F.slice("keys", F.lit(1), length).alias("prefix"))
+    return ordered.select("rk", "no", n.alias("n"), *hashes, "least", "most", both.bitwiseXOR(high).alias("low"), high.alias("high"), F.slice("keys", F.lit(1), length).alias("prefix"))
 
 
-def _may_match() -> Column:
-    """Length and positional filter, and the bits, for two sets (``n``, ``pos``, ``low``, ``high``, and the same with 2) that share the word at these positions."""
+def _alike() -> Column:
+    """Length filter and the bits for two sets (``n``, ``low``, ``high``, and the same with 2)."""
     n, n2 = F.col("n"), F.col("n2")
-    at_most = F.least(n - F.col("pos"), n2 - F.col("pos2"))
     apart = F.bit_count(F.col("low").bitwiseXOR(F.col("low2"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high2")))
-    return (
-        (OF * F.least(n, n2) >= SHARED * F.greatest(n, n2)) & ((SHARED + OF) * at_most >= SHARED * (n + n2)) & ((SHARED + OF) * apart <= (OF - SHARED) * (n + n2))
-    )
+    return (OF * F.least(n, n2) >= SHARED * F.greatest(n, n2)) & ((SHARED + OF) * apart <= (OF - SHARED) * (n + n2))
+
+
+def _shares_enough() -> Column:
+    """Positional filter for two sets that share the word at ``pos`` and ``pos2``."""
+    return (SHARED + OF) * F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= SHARED * (F.col("n") + F.col("n2"))
+
+
+def _before() -> Column:
+    return (F.col("rk2") < F.col("rk")) | ((F.col("rk2") == F.col("rk")) & (F.col("no2") < F.col("no")))
 
 
 def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
-    """``rk``, ``no`` of lines of ``x`` and ``rk2``, ``no2`` of earlier lines of ``y`` that share a prefix word and pass the filters."""
-    z = y.select("key", *(F.col(c).alias(f"{c}2") for c in ("rk", "no", "n", "pos", "low", "high")))
-    before = (F.col("rk2") < F.col("rk")) | ((F.col("rk2") == F.col("rk")) & (F.col("no2") < F.col("no")))
-    return x.join(z, "key").where(before & _may_match()).select("rk", "no", "rk2", "no2")
+    """``rk``, ``no`` of lines of ``x`` with ``open`` set and ``rk2``, ``no2`` of earlier lines of ``y`` that share a prefix word and pass the filters."""
+    z = y.select("key", *(F.col(c).alias(f"{c}2") for c in ("rk", "no", "n", "pos", "low", "high", "open")))
+    # Said with a column of each side (``open`` is 0 or 1), so that it isn't moved below the shuffle that both may read.
+    asks = (F.col("open") > 0) | (F.col("open2") < 0)
+    return x.join(z, "key").where(asks & _before() & _alike() & _shares_enough()).select("rk", "no", "rk2", "no2")
+
+
+def _near_firsts(sets: DataFrame) -> DataFrame:
+    """``rk``, ``no`` of lines of ``sets`` and ``rk2``, ``no2`` of the first line with the same least or most word hashes, where the two pass the filters.
+
+    There are two pairs for each line at most.
+    """
+    own = ["rk", "no", "n", "low", "high"]
+    each = sets.select(*own, F.posexplode(F.array("least", "most")).alias("end", "word"))
+    first = each.groupBy("end", "word").agg(F.min(F.struct(*own)).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    z = first.select("end", "word", *(F.col(f"first.{c}").alias(f"{c}2") for c in own))
+    return each.join(z, ["end", "word"]).where(_before() & _alike()).select("rk", "no", "rk2", "no2").distinct()
 
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -117,30 +144,27 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     repeated = durable(sets.groupBy("h", "h2").agg(F.min(F.struct("rk", "no")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
     marked = sets.join(repeated, ["h", "h2"], "left").withColumn("copy", F.coalesce(F.col("first") != F.struct("rk", "no"), F.lit(False)))
     copies = durable(marked.where("copy").select("rk", "no"))
-    # From here on every set is there once, as its first line. That no column is null is said for the sake of the plan: all uses
-    # of the prefix rows then read one shuffle.
+    # From here on every set is there once, as its first line; sets of fewer than nine words together are as similar as asked for
+    # only if they are equal.
     kept = ["rk", "no", "n", "low", "high"]
-    firsts = durable(marked.where("not copy").select(*kept, "prefix"))
+    firsts = durable(marked.where(f"not copy and n > {SHARED - 1}").select(*kept, "least", "most", "prefix"))
+    near_first = durable(_verified(durable(_near_firsts(firsts)), rows))
+    asking = firsts.join(near_first.withColumn("open", F.lit(0)), ["rk", "no"], "left").withColumn("open", F.coalesce("open", F.lit(1)))
+    # That no column is null is said for the sake of the plan: neither use of the prefix rows then adds a filter of its own.
     for column in kept:
-        firsts = firsts.where(F.col(column).isNotNull())
-    # Sets of fewer than nine words together are as similar as asked for only if they are equal.
-    firsts = firsts.where(f"n > {SHARED - 1}")
-    prefix = firsts.select(*kept, F.posexplode("prefix").alias("pos", "key")).where("key is not null")
-    members = prefix.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = prefix.join(members, "key")
-    small = met.where(f"members <= {SMALL_GROUP}")
-    large_row = [F.lit(None).cast("long").alias("rk2"), F.lit(None).cast("int").alias("no2"), "key", "n", "pos", "low", "high"]
-    no_row = [F.lit(None).cast(kind).alias(c) for c, kind in {"key": "long", "n": "int", "pos": "int", "low": "long", "high": "long"}.items()]
-    found = durable(
-        _pairs(small, small).select("rk", "no", "rk2", "no2", *no_row).unionByName(met.where(f"members > {SMALL_GROUP}").select("rk", "no", *large_row))
-    )
-    large = found.where("key is not null").select("key", *kept, "pos")
-    first = large.groupBy("key").agg(F.min(F.struct(*kept, "pos")).alias("first")).select("key", "first.*")
-    near = durable(found.where("key is null").select("rk", "no", "rk2", "no2").union(_pairs(large, first)).distinct())
+        asking = asking.where(F.col(column).isNotNull())
+    prefix = asking.select(*kept, "open", F.posexplode("prefix").alias("pos", "key")).where("key is not null")
+    many = durable(firsts.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(f"members > {SMALL_GROUP}").select("key"))
+    # Dealt before the two sides' columns are named apart, and each with all columns: so they are one shuffle.
+    small = prefix.join(many, "key", "left_anti").repartition("key")
+    pairs = durable(_pairs(small, small))
+    large = durable(prefix.join(many, "key").select("key", *kept, "open", "pos"))
+    first = large.groupBy("key").agg(F.min(F.struct(*kept, "open", "pos")).alias("first")).select("key", "first.*")
+    near = durable(pairs.union(_pairs(large, first)).distinct())
     settled = durable(_verified(near, rows))
-    in_question = durable(large.join(settled, ["rk", "no"], "left_anti"))
+    in_question = durable(large.where("open > 0").join(settled, ["rk", "no"], "left_anti"))
     still_open = durable(_pairs(in_question, large).distinct().join(near, ["rk", "no", "rk2", "no2"], "left_anti"))
-    return copies.union(settled).union(_verified(still_open, rows)).distinct()
+    return copies.union(near_first).union(settled).union(_verified(still_open, rows)).distinct()
 
 
 def without_repeated_lines(rows: DataFrame) -> DataFrame:

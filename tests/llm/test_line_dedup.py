@@ -87,3 +87,13 @@ def test_native(spark):
 
 def test_empty(empty):
     assert line_dedup.line_dedup_report(empty).count() == 0 and line_dedup.line_dedup(empty).count() == 0
+
+
+def test_near_copies_are_not_all_paired(spark, monkeypatch):
+    """A group of near copies costs pairs in proportion to its size."""
+    lines = 60
+    texts = [" ".join(f"v{d}x" if w == d % 40 else f"word{w}" for w in range(40)) for d in range(lines)]
+    seen, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, rows: seen.append(pairs.count()) or verified(pairs, rows))
+    check(spark, texts)
+    assert sum(seen) <= 3 * lines
