@@ -2,7 +2,8 @@
 
 In-memory survey tables match a missing key with a missing key; warehouse views do not. A side is
 hinted to be broadcast only after its rows were counted (``if_small``). Otherwise the choice is
-Spark's, by ``spark.sql.autoBroadcastJoinThreshold``, and hot keys are split at run time.
+Spark's, by ``spark.sql.autoBroadcastJoinThreshold``, and hot keys are split at run time. Spark takes the compressed size of files for that of
+their rows, which may be a hundred times as large; a side that grows with the data is therefore marked by ``growing``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """``df`` with a hint that a join with it shuffles both sides: its rows never pass through the driver, however small their files are."""
+    return df.hint("merge")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null keys match. Key columns appear once, first for a full join."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})

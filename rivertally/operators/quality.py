@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rivertally import fixed_values as fixed
 from rivertally.functions.cleaning import columns_between, is_in, not_in
 from rivertally.functions.numbers import hours, ratio, round_to, total
-from rivertally.operators.joins import natural_join, null_safe_join
+from rivertally.operators.joins import growing, natural_join, null_safe_join
 from rivertally.operators.rates import tally
 
 
@@ -72,7 +72,7 @@ def qc_fish(fish: DataFrame, site: DataFrame, native: Sequence[str] = fixed.NATI
 
 def qc_pit(pit: DataFrame, fish: DataFrame) -> DataFrame:
     """Tags with their fish, and flags. A valid number gives a missing flag, not an empty one."""
-    joined = natural_join(fish.select("f_index", "key_aa", "species"), pit, "right")
+    joined = natural_join(growing(fish.select("f_index", "key_aa", "species")), pit, "right")
     chain = F
     for kind, digits in fixed.PIT_NUMBER_LENGTHS.items():
         wrong = (F.col("pit_type").cast("string") == kind) & (F.length("pit_num") != digits)
@@ -114,8 +114,8 @@ def only_flagged(df: DataFrame) -> DataFrame:
 def attach_site(site: DataFrame, haul: DataFrame, others: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Seine check tables: pass, river, reach and mile next to every haul, fish and vial row."""
     place = ["pass", "cd_rvr", "cd_rch", "rmi"]
-    hauls = null_safe_join(haul, site.select("id_site", *place), ["id_site"], "left")
-    by_haul = hauls.select("id_haul", *place)
+    hauls = null_safe_join(haul, growing(site.select("id_site", *place)), ["id_site"], "left")
+    by_haul = growing(hauls.select("id_haul", *place))
     return {"haul": hauls} | {
         name: null_safe_join(frame, by_haul, ["id_haul"], "left") for name, frame in others.items()
     }

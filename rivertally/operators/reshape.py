@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivertally.operators.joins import null_safe_join
+from rivertally.operators.joins import growing, null_safe_join
 from rivertally.operators.ordered import sum_before
 
 MAX_WEIGHT = 50_000  # rows, at all levels, that the arrays of one row should hold
@@ -73,7 +73,7 @@ def attach_children(parents: DataFrame, children: Mapping[str, Children], key: s
         return parents.withColumns(first)
     # The children are laid out by their parent already, and stay where they are.
     nested = nest_weighted(children, key, max_weight, part, parts).drop(key)
-    joined = parents.withColumns(_parent_key(key)).join(nested, ["_key", "_none"], "left").drop("_key", "_none")
+    joined = parents.withColumns(_parent_key(key)).join(growing(nested), ["_key", "_none"], "left").drop("_key", "_none")
     return joined.withColumns({name: F.coalesce(F.col(name), value) for name, value in first.items()})
 
 

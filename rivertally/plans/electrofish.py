@@ -14,7 +14,7 @@ from rivertally.functions import cleaning as c
 from rivertally.functions.geo import attach_positions, mean_positions, projected
 from rivertally.functions.times import on_day_of, wall_clock
 from rivertally.operators import quality as qc
-from rivertally.operators.joins import lookup, natural_join, null_safe_join, without_keys
+from rivertally.operators.joins import growing, lookup, natural_join, null_safe_join, without_keys
 from rivertally.operators.ordered import HOT_ROWS, fill_down, group_bound, last_index, number_rows
 from rivertally.operators.reshape import Children, attach_children, weight_of
 from rivertally.session import durable
@@ -92,7 +92,7 @@ def place_fish(fish: DataFrame, samples: DataFrame, landed: DataFrame | None = N
 def place_tags(tags: DataFrame, samples: DataFrame, fish: DataFrame, index: str, key: str, landed: DataFrame | None = None) -> DataFrame:
     """Tags or vials with their site and species, numbered in the fish's time order."""
     placed = null_safe_join(tags, samples.select("key_a", "site_id", "s_index"), ["key_a"], "left")
-    placed = null_safe_join(placed, fish.select("key_aa", "datetime", "species"), ["key_aa"], "left")
+    placed = null_safe_join(placed, growing(fish.select("key_aa", "datetime", "species")), ["key_aa"], "left")
     return number_rows(placed, ["datetime", key], index, ties=group_bound(tags if landed is None else landed, [key])).drop("datetime")
 
 
@@ -116,7 +116,7 @@ def stage_electrofish(raw: Tables, reach_river: DataFrame, study: str, target: s
         raise ValueError("a batch needs its site table")
     # Every other table is placed by the sites: worked out once.
     site = durable(clean_site(raw_site, reach_river, study, known, start))
-    samples = site.select("key_a", "site_id", "s_index", F.col("enddatetime").alias("t_stamp"), "reach")
+    samples = growing(site.select("key_a", "site_id", "s_index", F.col("enddatetime").alias("t_stamp"), "reach"))
     out["site"] = qc.qc_site(site)
 
     water = union_like(tables, "water")

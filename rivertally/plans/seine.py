@@ -13,7 +13,7 @@ from rivertally import schemas
 from rivertally.functions import cleaning as c
 from rivertally.functions.numbers import total
 from rivertally.functions.times import parse_date, wall_clock
-from rivertally.operators.joins import lookup, null_safe_join, union_all, without_keys
+from rivertally.operators.joins import growing, lookup, null_safe_join, union_all, without_keys
 from rivertally.operators.ordered import group_bound, last_index, number_rows, number_within
 from rivertally.operators.quality import attach_site
 from rivertally.operators.reshape import Children, attach_children, pivot_wide, weight_of
@@ -47,14 +47,14 @@ OPTIONAL_SITE_COLUMNS = {
 def haul_times(site: DataFrame, haul: DataFrame) -> DataFrame:
     """Start time of every haul: the site's date and the haul's clock time."""
     days = site.select("key_a", "date")
-    joined = null_safe_join(haul.select("key_a", "key_aa", "starttime"), days, ["key_a"], "inner")
+    joined = null_safe_join(haul.select("key_a", "key_aa", "starttime"), growing(days), ["key_a"], "inner")
     return joined.select("key_a", "key_aa", wall_clock("date", "starttime").alias("ts"))
 
 
 def sample_keys(site: DataFrame, times: DataFrame, ties: int) -> DataFrame:
     """Site and haul ids per haul: hauls are numbered by time, overall and inside their site."""
     hauls = number_rows(times, ["ts", "key_aa"], "h_idx", ties=ties)
-    known = null_safe_join(site.select("id_site", "key_a", "s_idx"), hauls, ["key_a"], "left")
+    known = null_safe_join(site.select("id_site", "key_a", "s_idx"), growing(hauls), ["key_a"], "left")
     numbered = number_within(known, ["id_site"], ["ts", "key_aa"], "_haul")
     # Few columns, and joined to every other table: written once.
     return durable(numbered.withColumn("id_haul", c.haul_id("id_site", "_haul")).drop("_haul"))
@@ -64,7 +64,7 @@ def place_sites(site: DataFrame, times: DataFrame, reach_river: DataFrame, study
     """Sites with hauls, numbered by their first haul."""
     firsts = times.groupBy("key_a").agg(F.min("ts").alias("_first"))
     order = number_rows(firsts, ["_first", "key_a"], "s_idx", start, unique=True).drop("_first")
-    dated = null_safe_join(site, order, ["key_a"], "inner").withColumns(
+    dated = null_safe_join(site, growing(order), ["key_a"], "inner").withColumns(
         {"study": F.lit(study), "date": parse_date("date")}
     )
     dated = dated.withColumn("year", F.year("date").cast("long"))
@@ -100,7 +100,7 @@ def stage_seine(raw: Tables, reach_river: DataFrame, study: str, stored_site: Da
     site = c.null_zero(site)
     times = haul_times(site, haul)
     site = place_sites(site, times, reach_river, study, start)
-    keys = sample_keys(site, times, group_bound(haul, ["key_aa"]))
+    keys = growing(sample_keys(site, times, group_bound(haul, ["key_aa"])))
     on = ["key_a", "key_aa"]
 
     measured = (F.col("haul_width") > 0) & (F.col("haul_lengt") > 0)
@@ -126,7 +126,7 @@ def stage_seine(raw: Tables, reach_river: DataFrame, study: str, stored_site: Da
     )
     depth = incoming("depth") if depths else None
     if depth is not None:
-        hauls = null_safe_join(hauls, pivot_wide(depth, on, "location", DEPTH_MEASURES, locations), on, "left")
+        hauls = null_safe_join(hauls, growing(pivot_wide(depth, on, "location", DEPTH_MEASURES, locations)), on, "left")
 
     count = incoming("count")
     fish = incoming("fish")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rivertally import schemas
 from rivertally.functions import cleaning as c
+from rivertally.operators.joins import growing
 from rivertally.operators.ordered import number_within
 from rivertally.operators.reshape import merge_parts
 from rivertally.plans import electrofish, products, reports, seine, views
@@ -431,7 +432,7 @@ def _raw_seine(spark: SparkSession, folder: str, *kinds: str) -> dict[str, DataF
     )
     species = s.species_of_parts(spark, folder).withColumnRenamed("l_partkey", "part")
     owners = s.table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), _key("o_custkey").alias("key_a"))
-    lines = _lines(spark, folder).join(species, "part").join(owners, "l_orderkey")
+    lines = _lines(spark, folder).join(species, "part").join(growing(owners), "l_orderkey")
     base = [F.col("key_a"), _key("l_orderkey", "h").alias("key_aa")]
     fish = lines.where("l_linenumber <= 3").select(
         *base,

@@ -115,3 +115,11 @@ def test_products(spark, rows, tmp_path):
     assert rows(every["cpue_nf"], "site_id", "reach", "fish_count") == [("o", None, 50), ("s", "LGR", 4)]
     products.write_products({"fish": out["fish"]}, str(tmp_path), "138_2021")
     assert spark.read.csv(str(tmp_path / "138_2021_fish.csv"), header=True).first()["species"] == "CS"
+
+
+def test_sides_that_grow_are_never_broadcast(raw, reaches):
+    # The tables are tiny, so Spark would broadcast them, as it does large ones in small files.
+    staged = seine.stage_seine(raw, reaches, "160se")
+    for frame in (*staged.values(), seine.seine_facts(staged)):
+        joins = [line for line in frame._jdf.queryExecution().toString().split("Physical Plan")[1].splitlines() if "BroadcastHashJoin" in line]
+        assert not [line for line in joins if any(key in line for key in ("key_a", "id_site", "id_haul", "_key"))]
