@@ -14,9 +14,9 @@ from rivertally.functions import cleaning as c
 from rivertally.functions.numbers import total
 from rivertally.functions.times import parse_date, wall_clock
 from rivertally.operators.joins import growing, lookup, null_safe_join, union_all, without_keys
-from rivertally.operators.ordered import group_bound, last_index, number_rows, number_within
+from rivertally.operators.ordered import HOT_ROWS, bucket_bound, group_bound, last_index, number_rows, number_within
 from rivertally.operators.quality import attach_site
-from rivertally.operators.reshape import Children, attach_children, pivot_wide, weight_of
+from rivertally.operators.reshape import MAX_WEIGHT, Children, attach_children, pivot_wide, weight_of
 from rivertally.session import durable
 from rivertally.sources.tables import conform, union_like
 from rivertally.sources.validation import load_checked
@@ -183,6 +183,8 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
     """
     tables = {name: c.drop_matching(df, fixed.HELPER_COLUMNS) for name, df in staged.items()}
     source = tables["site"]
+    # Groups up to this size aren't counted one by one: far less than a part holds, or any that a window takes if parts are small.
+    enough = MAX_WEIGHT // 8 if max_weight is None else HOT_ROWS
     water = source.select(
         F.col("id_site").alias("SiteID"),
         F.col("mc_temp").alias("WaterTemperatureMain_C"),
@@ -192,7 +194,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
         F.col("hab_secchi").isNull().alias("IsSecchiMaxDepth"),
         c.secchi_note("site_notes").alias("WaterQualityNotes"),
     )
-    children = {"WaterQuality": Children(water, water.columns[1:], water.columns[1:], most=group_bound(water, ["SiteID"]))}
+    children = {"WaterQuality": Children(water, water.columns[1:], water.columns[1:], most=bucket_bound(water, ["SiteID"], enough))}
 
     in_hauls = {}
     if "fish" in tables:
@@ -207,7 +209,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
             F.col("photo_num").cast("string").alias("PhotoURLorID"),
             F.col("fish_notes").alias("FishEncounterNotes"),
         )
-        in_hauls["FishData"] = Children(fish, fish.columns[1:], ["SpeciesCode", "TotalLength_mm"], most=group_bound(fish, ["HaulID"]))
+        in_hauls["FishData"] = Children(fish, fish.columns[1:], ["SpeciesCode", "TotalLength_mm"], most=bucket_bound(fish, ["HaulID"], enough))
     if "vial" in tables:
         vial = tables["vial"].select(
             F.col("id_haul").alias("HaulID"),
@@ -215,7 +217,7 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
             F.col("vial_type").alias("VialTypeCode"),
             F.col("vial_notes").alias("VialNotes"),
         )
-        in_hauls["HaulVial"] = Children(vial, vial.columns[1:], ["VialString"], most=group_bound(vial, ["HaulID"]))
+        in_hauls["HaulVial"] = Children(vial, vial.columns[1:], ["VialString"], most=bucket_bound(vial, ["HaulID"], enough))
 
     hauls = tables["haul"]
     depth = [F.col(name).alias(field) for name, field in DEPTH_FIELDS.items() if name in hauls.columns]
@@ -237,10 +239,10 @@ def seine_facts(staged: Tables, max_weight: int | None = None) -> DataFrame:
     hauls = attach_children(c.yes_no_columns(hauls), in_hauls, "HaulID", max_weight)
     fields = [n for n in hauls.columns if n != "SiteID"]
     weighed = hauls.withColumn("_weight", weight_of(*in_hauls))
-    # A part of a haul holds a fish or a vial at least.
+    # A part of a haul holds a fish or a vial at least, so the weight is no more than twice the rows.
     inside = [tables["haul"], *[tables[kind] for kind in ("fish", "vial") if kind in tables]]
-    most = sum(group_bound(df, ["id_site"]) for df in inside) if all("id_site" in df.columns for df in inside) else None
-    children["HaulData"] = Children(weighed, fields, ["HaulID", "Part"], "_weight", most)
+    most = sum(bucket_bound(df, ["id_site"], enough) for df in inside) if all("id_site" in df.columns for df in inside) else None
+    children["HaulData"] = Children(weighed, fields, ["HaulID", "Part"], "_weight", most, None if most is None else 2 * most)
 
     site = source.select(
         F.col("id_site").alias("SiteID"),

@@ -78,6 +78,47 @@ def test_merging_shuffles_split_keys_only(spark):
     assert "Parts#" in plan and "> 1" in plan
 
 
+def _rows_of_kinds(spark):
+    parents = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("", 4)], "k string, x int")
+    p = spark.createDataFrame([("a", 2), ("a", 1), ("a", 1), (None, 9), ("", 7)], "k string, v int")
+    f = spark.createDataFrame([("a", 5), ("b", None), ("b", 6)], "k string, w int")
+    return parents, p, f
+
+
+def test_no_sums_where_no_key_fills_a_part(spark, rows):
+    parents, p, f = _rows_of_kinds(spark)
+
+    def nested(most, heaviest, weight=None):
+        children = {"P": reshape.Children(p, ["v"], ["v"], most=most), "F": reshape.Children(f.withColumn("_w", F.lit(1)), ["w"], ["w"], weight, most, heaviest)}
+        return reshape.attach_children(parents, children, "k", 8)
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    want = rows(nested(None, None).withColumns({n: F.to_json(n) for n in ("P", "F")}))
+    for most, heaviest, weight, windows in [(3, None, None, False), (3, 5, "_w", False), (3, 6, "_w", True), (3, None, "_w", True), (5, None, None, True)]:
+        got = nested(most, heaviest, weight)
+        assert ("Window" in plan(got)) == windows
+        assert rows(got.withColumns({n: F.to_json(n) for n in ("P", "F")})) == want
+
+
+@pytest.mark.parametrize("max_weight", [1, None])
+def test_children_are_shuffled_once(spark, max_weight):
+    # What is summed up by parent already lies as the join with the parents needs it.
+    parents, p, f = _rows_of_kinds(spark)
+    children = {"P": reshape.Children(p, ["v"], ["v"], most=3), "F": reshape.Children(f, ["w"], ["w"], most=3)}
+    plan = reshape.attach_children(parents, children, "k", max_weight)._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert plan.count("Exchange") == 2
+
+
+def test_bound_by_buckets(spark, monkeypatch):
+    from rivertally.operators import ordered
+
+    df = spark.range(1000).select(F.when(F.col("id") < 40, None).otherwise(F.col("id") % 100).alias("k"))
+    assert ordered.bucket_bound(df, ["k"]) >= 40 and ordered.bucket_bound(df, ["k"], 39) == 40
+    assert ordered.bucket_bound(df.limit(0), ["k"]) == 0
+    monkeypatch.setattr(ordered, "BUCKETS", 1)
+    assert ordered.bucket_bound(df, ["k"]) == 1000 and ordered.bucket_bound(df, ["k"], 999) == 40
+
+
 def test_sums_before(spark, rows):
     from rivertally.operators.ordered import sum_before
 
